@@ -50,50 +50,36 @@ def detect_changes(staged: DataFrame, current: DataFrame, key: str, attributes:
     return changed.select(key, *attributes, "record_hash", is_new.alias("is_new"))
 
 
-def apply_changes(current: DataFrame, staged: DataFrame, key: str, attributes: Sequence[str], day: str,
+def apply_changes(versions: DataFrame, staged: DataFrame, key: str, attributes: Sequence[str], day: str,
                   compat: bool = False) -> DataFrame:
-    """Current versions after the load for ``day``, followed by the versions it expired.
+    """The versions after the load for ``day``.
 
-    Takes only the current rows: closed history never has to be read. A version that
-    starts on ``day`` itself is replaced, since closing it would end it before it began.
-    Current rows and staged rows have one row per key, and one join serves detection,
-    expiry and insert.
+    ``versions`` may be the whole table or only its current rows; closed rows pass
+    through. A version that starts on ``day`` itself is replaced, since closing it would
+    end it before it began. One join serves detection, expiry and insert, and the input
+    is used once, so loads chained one after another stay linear. Only current versions
+    meet the staged rows, and both have one row per key.
     """
     incoming = as_versions(staged, key, attributes, _day(day), compat)
-    old = current.select(*incoming.columns)
     fields = [c for c in incoming.columns if c != key]
-    paired = old.select(key, F.struct(*fields).alias("old")).join(
-        incoming.select(key, F.struct(*fields).alias("new")), key, "full"
-    )
+    old = versions.select(F.col(key).alias("__old_key"), F.struct(*fields).alias("old"))
+    new = incoming.select(F.col(key).alias("__new_key"), F.struct(*fields).alias("new"))
+    pairs = old.join(new, (F.col("__old_key") == F.col("__new_key")) & F.col("old.is_current"), "full")
     same = F.col("old.record_hash") == F.col("new.record_hash")
     unchanged = F.col("new").isNull() | F.coalesce(same, F.lit(False))
     replaced_today = F.col("old.valid_from") >= _day(day)
-    closed = F.struct(*[
-        {
-            "valid_to": F.date_sub(_day(day), 1),
-            "is_current": F.lit(False),
-        }.get(c, F.col(f"old.{c}")).alias(c)
-        for c in fields
-    ])
-    kept = F.array(F.col("old"))
-    opened = F.array(F.col("new"))
-    versions = (
-        F.when(unchanged, kept)
-        .when(F.col("old").isNull() | replaced_today, opened)
+    closing = {"valid_to": F.date_sub(_day(day), 1), "is_current": F.lit(False)}
+    closed = F.struct(*[closing.get(c, F.col(f"old.{c}")).alias(c) for c in fields])
+    rows = (
+        F.when(unchanged, F.array(F.col("old")))
+        .when(F.col("old").isNull() | replaced_today, F.array(F.col("new")))
         .otherwise(F.array(closed, F.col("new")))
     )
-    return paired.select(key, F.explode(versions).alias("v")).select(key, "v.*").select(*incoming.columns)
-
-
-def load_day(versions: DataFrame, staged: DataFrame, key: str, attributes: Sequence[str], day: str,
-             compat: bool = False) -> DataFrame:
-    """The whole versioned table after the load for ``day``."""
-    history = versions.filter(~F.col("is_current"))
-    current = versions.filter("is_current")
-    return history.unionByName(apply_changes(current, staged, key, attributes, day, compat))
+    key_value = F.coalesce("__old_key", "__new_key").alias(key)
+    return pairs.select(key_value, F.explode(rows).alias("v")).select(key, "v.*").select(*incoming.columns)
 
 
-def processing_log(changes: DataFrame, versions: DataFrame, day: str) -> DataFrame:
+def processing_log(changes: DataFrame, versions: DataFrame, day: str, pipeline: str, table: str) -> DataFrame:
     """New, changed, expired and total current records of one load."""
     before = F.date_sub(_day(day), 1)
     found = changes.agg(
@@ -104,15 +90,24 @@ def processing_log(changes: DataFrame, versions: DataFrame, day: str) -> DataFra
         F.count_if("is_current").alias("total_current_records"),
     )
     return found.select(
+        F.lit(pipeline).alias("pipeline_name"),
+        F.lit(table).alias("table_name"),
         _day(day).alias("execution_date"),
         "new_records",
         "changed_records",
         state.select("expired_records").scalar().alias("expired_records"),
         state.select("total_current_records").scalar().alias("total_current_records"),
         F.lit("success").alias("status"),
+        F.localtimestamp().alias("created_at"),
     )
 
 
+def latest_log(logs: DataFrame, pipeline: str, day: str) -> DataFrame:
+    """The newest log row of a pipeline for one day."""
+    mine = logs.filter((F.col("pipeline_name") == pipeline) & (F.col("execution_date") == _day(day)))
+    return mine.orderBy(F.desc("created_at")).limit(1)
+
+
 def run_load(spark: SparkSession, path: str, staged: DataFrame, key: str, attributes: Sequence[str], day: str,
              compat: bool = False) -> None:
     """Apply one day to a table stored by ``valid_to``.

@@ -389,6 +389,8 @@ class Uniqueness(Check):
 
     NULL keys are left out by default. Otherwise NULLs equal each other, unless
     ``null_as_distinct`` lets every row with a NULL key part stand for itself.
+    ``digest_keys`` counts text keys by their SHA-256, so that long texts are not sent
+    through the shuffle.
     """
 
     columns: Sequence[str]
@@ -397,6 +399,7 @@ class Uniqueness(Check):
     null_as_distinct: bool = False
     case_sensitive: bool = True
     trim_whitespace: bool = False
+    digest_keys: bool = False
 
     kind = "uniqueness"
 
@@ -414,13 +417,16 @@ class Uniqueness(Check):
             key = F.trim(key)
         return key if self.case_sensitive else F.upper(key)
 
-    def per_key(self, df: DataFrame) -> DataFrame:
+    def per_key(self, df: DataFrame, digest: bool = False) -> DataFrame:
         """Row count ``n`` per normalised key; partial counts keep a frequent key cheap."""
         if self.where:
             df = df.filter(F.expr(self.where))
         if self.exclude_nulls:
             df = df.dropna(subset=list(self.columns))
-        keys = df.select(*[self.key(c).alias(c) for c in self.columns])
+        texts = {f.name for f in df.schema.fields if digest and type_family(f.dataType) == "VARCHAR"}
+        keys = df.select(*[
+            (F.sha2(self.key(c), 256) if c in texts else self.key(c)).alias(c) for c in self.columns
+        ])
         return keys.groupBy(*self.columns).agg(F.count(F.lit(1)).alias("n"))
 
     def totals(self, df: DataFrame) -> DataFrame:
@@ -428,7 +434,7 @@ class Uniqueness(Check):
         if self.null_as_distinct:
             partial = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in self.columns])
             surplus = F.when(partial, F.lit(0)).otherwise(surplus)
-        return self.per_key(df).agg(
+        return self.per_key(df, self.digest_keys).agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
             F.coalesce(F.sum(surplus), F.lit(0)).alias("surplus"),
             F.count_if(surplus > 0).alias("keys"),

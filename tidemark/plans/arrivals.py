@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import money
 from tidemark.operators.quality.checks import Completeness, NullRate, Rule
 from tidemark.plans.registry import plain, query
 from tidemark.session import workspace
@@ -12,13 +11,13 @@ from tidemark.sources import landing, star
 from tidemark.streaming import loads as streams
 
 
-def landed_rows(spark, folder):
-    return star.table(spark, folder, "orders").select(
+def landed_rows(orders):
+    return orders.select(
         F.concat(F.lit("TXN-"), F.col("o_orderkey").cast("string")).alias("transaction_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
         F.col("o_orderpriority").alias("product_id"),
-        (F.month("o_orderdate")).cast("int").alias("quantity"),
-        money("o_totalprice").cast("decimal(12,2)").alias("amount"),
+        F.month("o_orderdate").alias("quantity"),
+        F.col("o_totalprice").cast("decimal(12,2)").alias("amount"),
     )
 
 
@@ -32,15 +31,11 @@ LANDED = """
 def land(spark, folder):
     """One drop of files per accepted format, and one in a format nobody reads."""
     path = workspace(spark, "landing")
-    rows = landed_rows(spark, folder)
-    status = star.table(spark, folder, "orders").select("o_orderstatus", F.concat(
-        F.lit("TXN-"), F.col("o_orderkey").cast("string")).alias("transaction_id"))
-    drops = {"F": "csv", "O": "json", "P": "parquet"}
-    for value, suffix in drops.items():
-        part = rows.join(status.filter(F.col("o_orderstatus") == value), "transaction_id", "left_semi")
-        writer = part.write.option("header", "true")
-        writer.format(suffix).save(f"{path}/sales_data_{value}.{suffix}")
-    rows.select("transaction_id").write.text(f"{path}/notes.txt")
+    orders = star.table(spark, folder, "orders")
+    for status, suffix in {"F": "csv", "O": "json", "P": "parquet"}.items():
+        rows = landed_rows(orders.filter(F.col("o_orderstatus") == status))
+        rows.write.option("header", "true").format(suffix).save(f"{path}/sales_data_{status}.{suffix}")
+    landed_rows(orders).select("transaction_id").write.text(f"{path}/notes.txt")
     return path
 
 
@@ -91,14 +86,11 @@ def file_records(spark, folder):
 def file_dedupe(spark, folder):
     """Old rows were processed before, and the new ones arrive twice."""
     path = workspace(spark, "redelivery")
-    rows = landed_rows(spark, folder)
-    dated = star.table(spark, folder, "orders").withColumn("n", F.lit(1))
-    keys = dated.select(F.concat(F.lit("TXN-"), F.col("o_orderkey").cast("string")).alias("transaction_id"), "o_orderdate")
-    cut = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
-    old = rows.join(keys.filter(cut), "transaction_id", "left_semi")
-    new = rows.join(keys.filter(~cut), "transaction_id", "left_semi")
-    for name, part in (("first", old), ("second/again", old), ("second/new", new), ("second/copy", new)):
-        part.orderBy("transaction_id").write.csv(f"{path}/{name}.csv", header=True)
+    orders = star.table(spark, folder, "orders")
+    before = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    old, new = landed_rows(orders.filter(before)), landed_rows(orders.filter(~before))
+    for name, rows in (("first", old), ("second/again", old), ("second/new", new), ("second/copy", new)):
+        rows.write.csv(f"{path}/{name}.csv", header=True)
     ledger = landing.file_metadata(spark, f"{path}/first.csv")
     ledger = ledger.select(landing.content_id(ledger).alias("content_id"))
     arrived = landing.file_metadata(spark, f"{path}/second").filter("is_supported_format")

@@ -172,7 +172,7 @@ def dq_uniqueness(spark, folder):
             Uniqueness(table="lineitem", severity="CRITICAL", columns=["l_orderkey", "l_linenumber"])], AS_OF),
         run_checks(star.table(spark, folder, "documents"), [
             Uniqueness(table="documents", severity="WARNING", columns=["text"], max_duplicate_percentage=10.0,
-                       case_sensitive=False, trim_whitespace=True)], AS_OF),
+                       case_sensitive=False, trim_whitespace=True, digest_keys=True)], AS_OF),
         run_checks(orders_with_gaps(spark, folder), [
             Uniqueness(table="orders", severity="INFO", columns=["o_custkey", "o_orderpriority"],
                        max_duplicate_percentage=60.0)], AS_OF),

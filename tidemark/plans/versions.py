@@ -29,7 +29,7 @@ def loaded(spark, folder, days=DAYS):
     first, *later = days
     versions = scd2.as_versions(staged(spark, folder, first), KEY, ATTRIBUTES, F.lit(first).cast("date"))
     for day in later:
-        versions = scd2.load_day(versions, staged(spark, folder, day), KEY, ATTRIBUTES, day)
+        versions = scd2.apply_changes(versions, staged(spark, folder, day), KEY, ATTRIBUTES, day)
     return versions
 
 
@@ -102,7 +102,7 @@ def scd2_changes(spark, folder):
 
 
 @query("scd2_stats", f"""{VERSIONS}
-    SELECT '{DAYS[2]}' AS execution_date,
+    SELECT 'customer_versions' AS pipeline_name, 'warehouse.dim_customer' AS table_name, '{DAYS[2]}' AS execution_date,
            (SELECT COUNT(*) FROM changed a WHERE ds = DATE '{DAYS[2]}'
              AND customer_id NOT IN (SELECT customer_id FROM changed WHERE ds < DATE '{DAYS[2]}')) AS new_records,
            (SELECT COUNT(*) FROM changed a WHERE ds = DATE '{DAYS[2]}'
@@ -113,8 +113,9 @@ def scd2_changes(spark, folder):
 def scd2_stats(spark, folder):
     before, incoming = loaded(spark, folder, DAYS[:2]), staged(spark, folder, DAYS[2])
     changes = scd2.detect_changes(incoming, before.filter("is_current"), KEY, ATTRIBUTES)
-    after = scd2.load_day(before, incoming, KEY, ATTRIBUTES, DAYS[2])
-    return plain(scd2.processing_log(changes, after, DAYS[2]))
+    after = scd2.apply_changes(before, incoming, KEY, ATTRIBUTES, DAYS[2])
+    log = scd2.processing_log(changes, after, DAYS[2], "customer_versions", "warehouse.dim_customer")
+    return plain(scd2.latest_log(log, "customer_versions", DAYS[2]).drop("created_at"))
 
 
 def damaged(spark, folder):
