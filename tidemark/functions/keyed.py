@@ -39,6 +39,12 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def input_bytes(df: DataFrame) -> int:
+    """The size of the tables ``df`` is read from, each in the columns it needs."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(n).stats().sizeInBytes()) for n in range(leaves.size()))
+
+
 def broadcast_limit(df: DataFrame) -> int:
     conf = df.sparkSession._jsparkSession.sessionState().conf()
     return int(conf.autoBroadcastJoinThreshold())
@@ -68,6 +74,7 @@ def lookup_join(
     how: str = "inner",
     residual: Column | None = None,
     hot_from: DataFrame | None = None,
+    unique: bool = False,
     share: float = 1e-4,
     salts: int = 256,
     limit: int | None = None,
@@ -75,7 +82,9 @@ def lookup_join(
     """Join a fact side to a keyed side; ``how``: inner, left, left_semi or left_anti.
 
     A keyed side under the broadcast threshold is left to Spark, which broadcasts it.
-    Beyond that the join shuffles, and the few hot keys are salted: their fact rows
+    Inside a ``unique`` side, with one row per key, joins add columns but no rows; the
+    optimizer multiplies their sizes, so there the inputs are measured instead.
+    Beyond the threshold the join shuffles, and the few hot keys are salted: their fact rows
     spread over ``salts`` partitions, their keyed rows are repeated once per salt.
     Fact rows without a key match nothing and are spread as well. ``hot_from`` may
     name a cheaper DataFrame to count the keys on. ``residual`` sees both sides by
@@ -85,6 +94,8 @@ def lookup_join(
     limit = broadcast_limit(dim) if limit is None else limit
     if estimated_bytes(dim) <= limit:
         return _equi(facts, dim, on, how, residual)
+    if unique and input_bytes(dim) <= limit:
+        return _equi(facts, F.broadcast(dim), on, how, residual)
 
     hot = hot_keys(facts if hot_from is None else hot_from, on, share).withColumn("__hot", F.lit(True))
     hot = F.broadcast(hot)  # at most 1/share rows

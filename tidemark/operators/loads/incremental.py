@@ -129,8 +129,9 @@ def run_incremental(spark: SparkSession, source: DataFrame, changed_at: str, tar
     A run that fails on the way leaves the old mark, so the next one repeats its rows,
     which the upsert absorbs. Returns the number of changed rows.
     """
-    marks = spark.read.parquet(marks_path)
-    low = watermark_or_epoch(marks, pipeline, table)
+    # One value, fetched so that the scan of the source is pruned by a plain constant.
+    saved = last_watermark(spark.read.parquet(marks_path), pipeline, table).first().last_watermark
+    low = F.lit(saved) if saved else moment(EPOCH)
     high = moment(execution_date)
     batch = changed_between(source, changed_at, low, high, buffer)
     touched = upsert_partitions(spark, target_path, batch, keys, [changed_at], partition)
@@ -140,8 +141,9 @@ def run_incremental(spark: SparkSession, source: DataFrame, changed_at: str, tar
     gate = duplicate_gate(rewritten, keys).first()
     if not gate.passed:
         raise QualityError(f"{gate.duplicate_keys} duplicate key(s) in {table}")
-    records = batch_statistics(source, changed_at, low, high).first().records_loaded
-    mark = new_watermark(source, changed_at, high).scalar()
-    watermark_row(spark, pipeline, table, mark, high, F.lit(records)).write.mode("append").parquet(marks_path)
-    return records
-
+    changed = changed_between(source, changed_at, low, high)
+    batch_found = changed.agg(F.count(F.lit(1)).alias("records"), F.max(changed_at).alias("newest")).first()
+    mark = F.lit(batch_found.newest) if batch_found.records else new_watermark(source, changed_at, high).scalar()
+    row = watermark_row(spark, pipeline, table, mark, high, F.lit(batch_found.records))
+    row.write.mode("append").parquet(marks_path)
+    return batch_found.records

@@ -13,14 +13,16 @@ from tidemark.sources.tables import reduce_union
 
 def enrich_sales(fact: DataFrame, customers: DataFrame, products: DataFrame, dates: DataFrame) -> DataFrame:
     """Facts with their dimension attributes; a fact lacking any dimension row is dropped."""
-    with_customer = lookup_join(
-        fact, customers.select("customer_id", "segment", "country"), ["customer_id"]
-    )
-    with_product = lookup_join(
-        with_customer, products.select("product_id", "product_name", "category"), ["product_id"], hot_from=fact
-    )
     calendar = dates.select(F.col("date_id").alias("sale_date_id"), "year", "month")
-    return lookup_join(with_product, calendar, ["sale_date_id"], hot_from=fact)
+    sides = {
+        "customer_id": customers.select("customer_id", "segment", "country"),
+        "product_id": products.select("product_id", "product_name", "category"),
+        "sale_date_id": calendar,
+    }
+    enriched = fact
+    for key, side in sides.items():
+        enriched = lookup_join(enriched, side, [key], hot_from=fact, unique=True)
+    return enriched
 
 
 def _orders() -> Column:

@@ -61,6 +61,11 @@ def append_jdbc(
     )
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Text files as one row per line, column ``value``."""
+    return spark.read.text(path)
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     """Append to a Parquet table; an empty input is an error, as for a bulk insert."""
     if df.isEmpty():
