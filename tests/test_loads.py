@@ -215,6 +215,21 @@ def test_staging_keeps_the_newest_snapshot(spark):
     assert rows(scd2.stage_snapshot(df, "k", "at", "2024-01-03"), "k", "v") == [(1, "new"), (2, "b")]
 
 
+def test_catch_up_equals_daily_loads(spark):
+    draw = random.Random(9)
+    feed = source(spark, *[(draw.randint(1, 12), draw.choice("abc"), draw.randint(1, 27)) for _ in range(120)])
+    feed = feed.withColumn("n", F.xxhash64("k", "v", "at"))
+    days = ["2024-01-03", "2024-01-09", "2024-01-10", "2024-01-20"]
+    daily = None
+    for day in days:
+        staged = scd2.stage_snapshot(feed, "k", "at", day, ["n"])
+        start = F.lit(day).cast("date")
+        daily = (scd2.as_versions(staged, "k", ["v"], start) if daily is None
+                 else scd2.apply_changes(daily, staged, "k", ["v"], day))
+    once = scd2.catch_up(feed, "k", "at", ["v"], days, ["n"])
+    assert rows(once.select(*daily.columns)) == rows(daily)
+
+
 def test_stored_versions(spark, tmp_path):
     path = str(tmp_path / "dim")
     scd2.write_versions(seed(spark, (1, "a", "x"), (2, "b", "y"), (3, "c", "z")), path)

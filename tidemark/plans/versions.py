@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import record_hash
+from tidemark.functions.keyed import lookup_join
 from tidemark.operators.loads import scd2
 from tidemark.operators.quality import relations
 from tidemark.plans.registry import plain, query
@@ -26,6 +28,7 @@ def staged(spark, folder, day):
 
 
 def loaded(spark, folder, days=DAYS):
+    """The dimension after one load per day, day by day."""
     first, *later = days
     versions = scd2.as_versions(staged(spark, folder, first), KEY, ATTRIBUTES, F.lit(first).cast("date"))
     for day in later:
@@ -33,6 +36,20 @@ def loaded(spark, folder, days=DAYS):
     return versions
 
 
+def history(spark, folder, days=DAYS):
+    """The same dimension in one pass over the feed.
+
+    Changes are compared by segment, the only attribute that varies; the fixed ones
+    join last, when a customer is down to a few rows.
+    """
+    built = scd2.catch_up(
+        star.customer_snapshots(spark, folder), KEY, "extract_timestamp", ["segment"], days, ["change_id"]
+    )
+    fixed = star.dim_customer(spark, folder).drop("segment")
+    complete = lookup_join(built.drop("record_hash"), fixed, [KEY], unique=True)
+    return complete.withColumn("record_hash", record_hash(ATTRIBUTES))
+
+
 MARKED = ", ".join(f"CASE WHEN {c} IS NULL THEN 'N' ELSE 'V' || {c} END" for c in ATTRIBUTES)
 VERSIONS = f"""
     WITH days AS (SELECT unnest([{', '.join(f"DATE '{d}'" for d in DAYS)}]) AS ds),
@@ -60,6 +77,11 @@ def scd2_apply(spark, folder):
     return plain(loaded(spark, folder).select(*SHOWN))
 
 
+@query("scd2_catch_up", f"{VERSIONS} SELECT {SHOWN_SQL} FROM versions")
+def scd2_catch_up(spark, folder):
+    return plain(history(spark, folder).select(*SHOWN))
+
+
 @query("scd2_table", f"{VERSIONS} SELECT {SHOWN_SQL} FROM versions")
 def scd2_table(spark, folder):
     """The stored form, with the last load run twice."""
@@ -121,7 +143,7 @@ def scd2_stats(spark, folder):
 def damaged(spark, folder):
     """Closed versions of urgent customers end too late, those of low priority too early."""
     closed = ~F.col("is_current")
-    return loaded(spark, folder).withColumn(
+    return history(spark, folder).withColumn(
         "valid_to",
         F.when(closed & (F.col("segment") == "1-URGENT"), F.date_add("valid_to", 400))
         .when(closed & (F.col("segment") == "5-LOW"), F.date_sub("valid_to", 100))
@@ -167,24 +189,24 @@ def scd2_overlap_pairs(spark, folder):
 
 @query("scd2_current", f"{VERSIONS} SELECT {SHOWN_SQL} FROM versions WHERE is_current ORDER BY customer_id LIMIT 10")
 def scd2_current(spark, folder):
-    return plain(scd2.current_view(loaded(spark, folder).select(*SHOWN), KEY, 10))
+    return plain(scd2.current_view(history(spark, folder).select(*SHOWN), KEY, 10))
 
 
 @query("scd2_history", f"""{VERSIONS} SELECT {SHOWN_SQL} FROM versions
     WHERE customer_id = (SELECT MIN(customer_id) FROM versions) ORDER BY versions.valid_from DESC""")
 def scd2_history(spark, folder):
-    return plain(scd2.key_history(loaded(spark, folder).select(*SHOWN), KEY))
+    return plain(scd2.key_history(history(spark, folder).select(*SHOWN), KEY))
 
 
 @query("scd2_change_count", f"{VERSIONS} SELECT customer_id, COUNT(*) - 1 AS num_changes FROM versions GROUP BY customer_id")
 def scd2_change_count(spark, folder):
-    return scd2.change_counts(loaded(spark, folder), KEY)
+    return scd2.change_counts(history(spark, folder), KEY)
 
 
 @query("scd2_valid_on", f"""{VERSIONS} SELECT {SHOWN_SQL} FROM versions
     WHERE DATE '1999-12-31' BETWEEN versions.valid_from AND versions.valid_to""")
 def scd2_valid_on(spark, folder):
-    return plain(scd2.valid_on(loaded(spark, folder).select(*SHOWN), "1999-12-31"))
+    return plain(scd2.valid_on(history(spark, folder).select(*SHOWN), "1999-12-31"))
 
 
 @query("scd2_asof_join", f"""{VERSIONS}
@@ -194,6 +216,6 @@ def scd2_asof_join(spark, folder):
     facts = star.table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias(KEY), F.to_date("o_orderdate").alias("sold_on")
     )
-    versions = loaded(spark, folder).select(KEY, "segment", "valid_from", "valid_to")
+    versions = history(spark, folder).select(KEY, "segment", "valid_from", "valid_to")
     joined = scd2.as_of_join(facts, versions, KEY, "sold_on")
     return plain(joined.select("order_id", KEY, "segment", "valid_from"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.functions.keyed import first_per_key
+
 # Accepted suffixes, and the size in MB from which a file counts as large.
 SUPPORTED_FORMATS = (".csv", ".json", ".parquet")
 LARGE_FILE_MB = 10.0
@@ -108,7 +110,5 @@ def content_id(files: DataFrame) -> Column:
 
 def unseen_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """One file per content that the ledger of processed contents does not hold yet."""
-    identified = files.withColumn("content_id", content_id(files))
-    fresh = identified.join(ledger.select("content_id"), "content_id", "left_anti")
-    first = fresh.groupBy("content_id").agg(F.min("filepath").alias("filepath"))
-    return fresh.join(first, ["content_id", "filepath"])
+    single = first_per_key(files.withColumn("content_id", content_id(files)), ["content_id"], ["filepath"])
+    return single.join(ledger.select("content_id"), "content_id", "left_anti")
