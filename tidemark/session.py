@@ -14,7 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "static",
+    # Call sites are recorded per column expression, which slows wide check suites down.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

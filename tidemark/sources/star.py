@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.functions.columns import date_key, money
+from tidemark.functions.columns import date_key
 from tidemark.functions.keyed import lookup_join
 from tidemark.sources.generate import date_dimension, days_covered
 
@@ -42,9 +42,12 @@ def dim_date(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sale_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items with exact amounts: gross, discount and total."""
-    gross = money("l_extendedprice")
-    discount = (gross * F.col("l_discount").cast("decimal(4,2)")).cast("decimal(18,4)")
+    """Line items with exact amounts: gross, discount and total.
+
+    All of them stay within 18 digits, up to which decimals are computed as plain longs.
+    """
+    gross = F.col("l_extendedprice").cast("decimal(12,2)")
+    discount = (gross * F.col("l_discount").cast("decimal(4,2)")).cast("decimal(16,4)")
     return table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_number"),
@@ -52,7 +55,7 @@ def sale_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_quantity").cast("int").alias("quantity"),
         gross.alias("gross_amount"),
         discount.alias("discount"),
-        (gross - discount).cast("decimal(18,4)").alias("total_amount"),
+        (gross - discount).cast("decimal(16,4)").alias("total_amount"),
     )
 
 
