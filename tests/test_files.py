@@ -191,6 +191,18 @@ def test_drawn_rates_do_not_depend_on_partitioning(spark):
     assert clean.select("transaction_id").distinct().count() == 20_000
 
 
+def test_drawn_customers_and_staging(spark):
+    ids = tables.number_series(spark, 1, 20_000)
+    people = generate.customers_at_rate(ids, null_email_rate=0.1)
+    shares = {r.segment: r["count"] / 20_000 for r in people.groupBy("segment").count().collect()}
+    assert abs(shares["Enterprise"] - 0.2) < 0.02 and abs(shares["SMB"] - 0.4) < 0.02
+    assert abs(people.filter("email IS NULL").count() / 20_000 - 0.1) < 0.01
+    staged = generate.staging_at_rates(ids)
+    assert staged.filter("customer_id IS NULL OR quantity < 1 OR is_processed").count() == 0
+    assert staged.filter("total_amount <> quantity * unit_price - discount").count() == 0
+    assert staged.first().transaction_id.startswith("TXN-STAGE-")
+
+
 def test_workspace_uses_the_shared_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert workspace(spark, "x").startswith(folder)

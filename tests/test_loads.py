@@ -149,6 +149,16 @@ def test_promotion(spark):
     assert again.count() == 0
 
 
+def test_promotion_is_stored_and_logged(spark, tmp_path):
+    staged = spark.createDataFrame([(n, n - 2, False) for n in range(6)], "id int, quantity int, is_processed boolean")
+    path = str(tmp_path / "promoted")
+    for _ in range(2):
+        judged = full.judge_staging(staged, {"positive": "quantity > 0"}, {})
+        log = full.write_promotion(judged, path, "p", "t", "2024-01-01 00:00:00").first()
+    assert (log.records_extracted, log.records_loaded, log.records_rejected) == (6, 3, 3)
+    assert rows(spark.read.parquet(path).groupBy("outcome").count()) == [("accepted", 3), ("rejected", 3)]
+
+
 ATTRIBUTES = ["name", "city"]
 
 

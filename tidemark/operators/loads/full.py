@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.columns import percent
 from tidemark.functions.keyed import lookup_join
-from tidemark.sources.tables import observed_write, reduce_union
+from tidemark.sources.tables import observed_write, reduce_union, replace_partitions
 
 LOAD_LOG = (
     "pipeline_name string, table_name string, execution_date timestamp_ntz, load_type string, "
@@ -87,6 +87,19 @@ def promote(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
     return accepted, judged.filter(F.size("reject_reasons") > 0)
 
 
+def write_promotion(judged: DataFrame, path: str, pipeline: str, table: str, execution_date: str) -> DataFrame:
+    """Write accepted and rejected rows below ``path/outcome=...`` and return the log row.
+
+    The judged rows are computed, split and counted in a single pass.
+    """
+    good = F.size("reject_reasons") == 0
+    split = judged.withColumn("outcome", F.when(good, "accepted").otherwise("rejected"))
+    counts = observed_write(split, path, "overwrite", ("outcome",), loaded=F.count_if(F.col("outcome") == "accepted"))
+    extracted, loaded = counts["rows"], counts["loaded"]
+    return log_row(judged.sparkSession, pipeline, table, execution_date, "incremental", extracted, loaded,
+                   extracted - loaded)
+
+
 def mark_processed(staged: DataFrame) -> DataFrame:
     """The staging table after promotion: every row of it has been judged."""
     return staged.withColumn("is_processed", F.lit(True))
@@ -102,6 +115,11 @@ def category_totals(df: DataFrame, category: str, valid: Column, amount: str) ->
     )
 
 
+def load_categories(df: DataFrame, category: str, valid: Column, path: str) -> None:
+    """Write the valid rows into one folder per category."""
+    replace_partitions(df.filter(valid), path, category)
+
+
 def category_fan_in(totals: DataFrame, category: str) -> DataFrame:
     """The category rows and an ``ALL`` row, each with its data quality rate."""
     everything = totals.agg(

@@ -271,7 +271,9 @@ class Freshness(Check):
             value = F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 1.0 - age / F.lit(float(limit)))), 3)
         else:
             value = _score(passed)
+        each = [moment.cast("string").alias(c) for c, moment in zip(self.columns, moments, strict=True)]
         metadata = {
+            "timestamps": F.struct(*each),
             "max_timestamp": newest.cast("string"),
             "age_hours": age,
             "age_minutes": F.round(raw * 60, 2),
@@ -340,6 +342,7 @@ class NullRate(Check):
             )
         )
         by_name = [F.round(r, 2).alias(c) for c, r in zip(self.columns, rates, strict=True)]
+        counted = [n.alias(c) for c, n in zip(self.columns, counts, strict=True)]
         return Verdict(
             passed=passed,
             value=F.when(empty, F.lit(0.0)).otherwise(F.round(average, 3)),
@@ -347,6 +350,7 @@ class NullRate(Check):
             rows_failed=m("some"),
             message=message,
             metadata={
+                "null_counts": F.struct(*counted),
                 "null_rates": F.struct(*by_name),
                 "failed_columns": failed,
                 "null_rate": F.round(percent(total, cells), 4),

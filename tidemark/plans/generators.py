@@ -131,6 +131,16 @@ def gen_sales_at_rates(spark, folder):
     return plain(generate.sales_at_rates(ids(spark, folder, "orders", "o_orderkey")))
 
 
+@query("gen_customers_at_rate")
+def gen_customers_at_rate(spark, folder):
+    return generate.customers_at_rate(ids(spark, folder, "customer", "c_custkey"))
+
+
+@query("gen_staging_at_rates")
+def gen_staging_at_rates(spark, folder):
+    return plain(generate.staging_at_rates(ids(spark, folder, "orders", "o_orderkey")))
+
+
 @query("insert_ignore", f"""
     WITH s AS ({SALES}), r AS ({REPEATED}),
     first AS (

@@ -207,6 +207,43 @@ def reject_staging(spark, folder):
     return rejected.select("transaction_id", F.array_join("reject_reasons", ",").alias("reasons"))
 
 
+@query("promotion_log", f"""
+    SELECT outcome, COUNT(*) AS stored, CAST(SUM(total_amount) AS DOUBLE) AS amount,
+           (SELECT COUNT(*) FROM ({JUDGED}) WHERE reasons = '') AS records_loaded,
+           (SELECT COUNT(*) FROM ({JUDGED}) WHERE reasons <> '') AS records_rejected
+    FROM (SELECT CASE WHEN reasons = '' THEN 'accepted' ELSE 'rejected' END AS outcome,
+                 CAST(total_amount AS DECIMAL(18,2)) AS total_amount FROM ({JUDGED}))
+    GROUP BY outcome""")
+def promotion_log(spark, folder):
+    """Both outcomes as stored by one pass, next to the counts of the load log."""
+    path = workspace(spark, "promotion")
+    log = full.write_promotion(judged_sales(spark, folder), path, PIPELINE, TABLE, "2024-10-15 00:00:00").first()
+    stored = spark.read.parquet(path).groupBy("outcome").agg(
+        F.count(F.lit(1)).alias("stored"), F.sum("total_amount").cast("double").alias("amount"))
+    return stored.select(
+        "outcome", "stored", "amount", F.lit(log.records_loaded).cast("bigint").alias("records_loaded"),
+        F.lit(log.records_rejected).cast("bigint").alias("records_rejected"),
+    )
+
+
+def sold_lines(spark, folder):
+    lines = star.table(spark, folder, "lineitem").select(
+        F.col("l_partkey").alias("product_id"), "l_returnflag", F.col("l_extendedprice").cast("decimal(12,2)").alias("amount")
+    )
+    products = star.dim_product(spark, folder).select("product_id", "category")
+    return lookup_join(lines, products, ["product_id"], unique=True)
+
+
+@query("category_load", """
+    SELECT p_type AS category, COUNT(*) AS loaded, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS amount
+    FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag <> 'R' GROUP BY p_type""")
+def category_load(spark, folder):
+    path = workspace(spark, "categories")
+    full.load_categories(sold_lines(spark, folder), "category", F.col("l_returnflag") != "R", path)
+    stored = spark.read.parquet(path).groupBy("category")
+    return plain(stored.agg(F.count(F.lit(1)).alias("loaded"), F.sum("amount").alias("amount")))
+
+
 @query("category_etl", """
     WITH c AS (
         SELECT p_type AS category, COUNT(*) AS extracted, COUNT(*) FILTER (WHERE l_returnflag <> 'R') AS transformed,
@@ -219,12 +256,7 @@ def reject_staging(spark, folder):
     SELECT category, extracted, transformed, rejected, CAST(loaded_amount AS DOUBLE) AS loaded_amount,
            transformed * 100.0::DOUBLE / extracted AS data_quality_rate FROM a""")
 def category_etl(spark, folder):
-    lines = star.table(spark, folder, "lineitem").select(
-        F.col("l_partkey").alias("product_id"), "l_returnflag", F.col("l_extendedprice").cast("decimal(18,2)").alias("amount")
-    )
-    products = star.dim_product(spark, folder).select("product_id", "category")
-    sold = lookup_join(lines, products, ["product_id"])
-    totals = full.category_totals(sold, "category", F.col("l_returnflag") != "R", "amount")
+    totals = full.category_totals(sold_lines(spark, folder), "category", F.col("l_returnflag") != "R", "amount")
     return plain(full.category_fan_in(totals, "category"))
 
 

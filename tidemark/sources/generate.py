@@ -185,6 +185,35 @@ def _draw(tag: str, seed: int) -> Column:
     return F.pmod(F.xxhash64("i", F.lit(tag), F.lit(seed)), F.lit(1_000_000)) / F.lit(1_000_000.0)
 
 
+def customers_at_rate(ids: DataFrame, seed: int = 42, null_email_rate: float = 0.02) -> DataFrame:
+    """Customers with attributes drawn per row; segments again split 20/40/40."""
+    i = F.col("i")
+    first, last = (_word(w, F.floor(_draw(t, seed) * len(w))) for t, w in (("first", FIRST_NAMES), ("last", LAST_NAMES)))
+    address = F.concat(F.lower(F.concat(first, F.lit("."), last)), i.cast("string"), F.lit("@example.com"))
+    segment = _draw("segment", seed)
+    return ids.select(
+        _txn("CUST-", i, 5).alias("customer_key"),
+        F.concat_ws(" ", first, last).alias("customer_name"),
+        F.when(_draw("email", seed) >= null_email_rate, address).alias("email"),
+        _word(COUNTRIES, F.floor(_draw("country", seed) * len(COUNTRIES))).alias("country"),
+        F.when(segment < 0.2, "Enterprise").when(segment < 0.6, "SMB").otherwise("Consumer").alias("segment"),
+    )
+
+
+def staging_at_rates(ids: DataFrame, seed: int = 42, source_system: str = "POS_SYSTEM", **rates) -> DataFrame:
+    """Unprocessed sales drawn per row, by default without defects."""
+    clean = {
+        "null_customer_rate": 0.0, "negative_quantity_rate": 0.0, "wrong_total_rate": 0.0, "duplicate_rate": 0.0,
+    }
+    drawn = sales_at_rates(ids, seed, **{**clean, **rates})
+    return drawn.select(
+        F.replace("transaction_id", F.lit("TXN-"), F.lit("TXN-STAGE-")).alias("transaction_id"),
+        *[c for c in drawn.columns if c != "transaction_id"],
+        F.lit(source_system).alias("source_system"),
+        F.lit(False).alias("is_processed"),
+    )
+
+
 def sales_at_rates(
     ids: DataFrame,
     seed: int = 42,

@@ -107,11 +107,15 @@ def run_query(spark: SparkSession, sql: str, tables: Mapping[str, DataFrame], **
     return spark.sql(sql, args=parameters, **tables)
 
 
-def observed_write(df: DataFrame, path: str, mode: str, **metrics: Column) -> dict:
+def observed_write(df: DataFrame, path: str, mode: str, partitions: Sequence[str] = (), **metrics: Column) -> dict:
     """Write Parquet and return aggregates gathered during that same pass."""
     observation = Observation()
     columns = [metric.alias(name) for name, metric in metrics.items()]
-    df.observe(observation, F.count(F.lit(1)).alias("rows"), *columns).write.mode(mode).parquet(path)
+    # Counted after the exchange, in the tasks that write: a task of an earlier stage
+    # that is repeated for a lost executor would be counted twice.
+    placed = df.hint("rebalance", *partitions) if partitions else df
+    observed = placed.observe(observation, F.count(F.lit(1)).alias("rows"), *columns)
+    observed.write.mode(mode).partitionBy(*partitions).parquet(path)
     return observation.get
 
 
