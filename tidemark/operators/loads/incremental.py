@@ -63,11 +63,16 @@ def batch_statistics(source: DataFrame, changed_at: str, low: Column, high: Colu
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """Target rows replaced or extended by the latest batch row of each key.
+    """Target rows replaced or extended by the latest batch row of each key."""
+    return replace_rows(target, latest_per_key(batch, keys, order_by), keys)
 
-    Both sides meet with one row per key, so a frequent key does not burden the join.
+
+def replace_rows(target: DataFrame, newest: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows replaced or extended by ``newest``.
+
+    Both sides have one row per key, so a frequent key does not burden the join.
     """
-    newest = latest_per_key(batch, keys, order_by).select(*target.columns)
+    newest = newest.select(*target.columns)
     return target.join(newest.select(*keys), list(keys), "left_anti").unionByName(newest)
 
 
@@ -116,7 +121,7 @@ def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: Se
     touched = [row[0] for row in newest.select(partition).distinct().collect()]
     if touched:
         stored = spark.read.parquet(path).filter(F.col(partition).isin(touched))
-        replace_partitions(upsert(stored, newest, keys, order_by), path, partition)
+        replace_partitions(replace_rows(stored, newest, keys), path, partition)
     newest.unpersist()
     return touched
 

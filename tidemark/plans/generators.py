@@ -125,18 +125,59 @@ def gen_scd_rows(spark, folder):
     return generate.scd_rows(ids(spark, folder, "customer", "c_custkey"))
 
 
-@query("gen_sales_at_rates")
+def _drawn(tag, seed=42):
+    shift = seed * 69621 + generate.DRAWS.index(tag) * 40692
+    prime = generate.DRAW_PRIME
+    start = f"(((i % {prime}) * 48271 + {shift}) % {prime})"
+    squared = f"(({start} * {start} + {shift}) % {prime})"
+    return f"((({squared} * {squared} + {start}) % {prime}) / {prime}::DOUBLE)"
+
+
+def _below(tag, count):
+    return f"CAST(floor({_drawn(tag)} * {count}) AS INTEGER)"
+
+
+DRAWN_SALES = f"""
+    SELECT lpad(CAST(number AS VARCHAR), 8, '0') AS number, customer_id, product_id,
+           CAST(strftime(DATE '2024-01-01' + day, '%Y%m%d') AS INTEGER) AS sale_date_id, quantity,
+           CAST(unit_price AS DOUBLE) AS unit_price, CAST(discount AS DOUBLE) AS discount,
+           CAST(quantity * unit_price - CASE WHEN wrong THEN 0 ELSE discount END AS DOUBLE) AS total_amount
+    FROM (SELECT CASE WHEN {_drawn("duplicate")} < {{duplicates}} THEN CAST(floor({_drawn("earlier")} * i) AS BIGINT)
+                      ELSE i END AS number,
+                 CASE WHEN {_drawn("orphan")} >= {{orphans}} THEN 1 + {_below("customer", 100)} END AS customer_id,
+                 1 + {_below("product", 50)} AS product_id, {_below("day", 366)} AS day,
+                 CASE WHEN {_drawn("negative")} < {{negatives}} THEN -(1 + {_below("returned", 5)})
+                      ELSE 1 + {_below("quantity", 10)} END AS quantity,
+                 {_below("price", 100)} AS unit_price, {_below("discount", 10)} AS discount,
+                 {_drawn("wrong")} < {{wrong}} AS wrong
+          FROM (SELECT o_orderkey AS i FROM orders))
+"""
+
+
+@query("gen_sales_at_rates", f"SELECT 'TXN-' || number AS transaction_id, * EXCLUDE (number) FROM ("
+       + DRAWN_SALES.format(duplicates=0.03, orphans=0.02, negatives=0.01, wrong=0.005) + ")")
 def gen_sales_at_rates(spark, folder):
-    """Drawn by a 64-bit hash other engines do not share, hence without SQL."""
     return plain(generate.sales_at_rates(ids(spark, folder, "orders", "o_orderkey")))
 
 
-@query("gen_customers_at_rate")
+def _drawn_word(words, tag):
+    return f"{_list(words)}[{_below(tag, len(words))} + 1]"
+
+
+@query("gen_customers_at_rate", f"""
+    SELECT 'CUST-' || lpad(CAST(i AS VARCHAR), 5, '0') AS customer_key, first || ' ' || last AS customer_name,
+           CASE WHEN email >= 0.02 THEN lower(first || '.' || last) || i || '@example.com' END AS email, country,
+           CASE WHEN segment < 0.2 THEN 'Enterprise' WHEN segment < 0.6 THEN 'SMB' ELSE 'Consumer' END AS segment
+    FROM (SELECT i, {_drawn_word(generate.FIRST_NAMES, "first")} AS first, {_drawn_word(generate.LAST_NAMES, "last")} AS last,
+                 {_drawn("email")} AS email, {_drawn_word(generate.COUNTRIES, "country")} AS country,
+                 {_drawn("segment")} AS segment FROM (SELECT c_custkey AS i FROM customer))""")
 def gen_customers_at_rate(spark, folder):
     return generate.customers_at_rate(ids(spark, folder, "customer", "c_custkey"))
 
 
-@query("gen_staging_at_rates")
+@query("gen_staging_at_rates", f"SELECT 'TXN-STAGE-' || number AS transaction_id, * EXCLUDE (number), "
+       "'POS_SYSTEM' AS source_system, FALSE AS is_processed FROM ("
+       + DRAWN_SALES.format(duplicates=0, orphans=0, negatives=0, wrong=0) + ")")
 def gen_staging_at_rates(spark, folder):
     return plain(generate.staging_at_rates(ids(spark, folder, "orders", "o_orderkey")))
 

@@ -180,9 +180,25 @@ def scd_rows(ids: DataFrame) -> DataFrame:
     )
 
 
+# Draws are numbered so that each has its own sequence of values.
+DRAWS = (
+    "first last email country segment duplicate earlier orphan customer product day "
+    "negative returned quantity price discount wrong"
+).split()
+DRAW_PRIME = 2147483647
+
+
 def _draw(tag: str, seed: int) -> Column:
-    """A number in [0, 1) fixed by id, tag and seed: stable under retries and repartitioning."""
-    return F.pmod(F.xxhash64("i", F.lit(tag), F.lit(seed)), F.lit(1_000_000)) / F.lit(1_000_000.0)
+    """A number in [0, 1) fixed by id, tag and seed.
+
+    Two squarings modulo a prime, in long arithmetic only: the same value under retries,
+    any partitioning, and in any other engine.
+    """
+    prime = F.lit(DRAW_PRIME).cast("bigint")
+    shift = seed * 69621 + DRAWS.index(tag) * 40692
+    start = ((F.col("i") % prime) * 48271 + shift) % prime
+    squared = (start * start + shift) % prime
+    return (squared * squared + start) % prime / F.lit(float(DRAW_PRIME))
 
 
 def customers_at_rate(ids: DataFrame, seed: int = 42, null_email_rate: float = 0.02) -> DataFrame:
