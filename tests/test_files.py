@@ -85,6 +85,19 @@ def test_arrival_stream_reads_each_file_once(spark, tmp_path):
     assert rows(spark.read.parquet(f"{out}/rows"), "transaction_id") == [("T1",), ("T2",)]
 
 
+def test_archived_files_leave_the_landing_folder(spark, tmp_path):
+    arriving, archive, out = tmp_path / "in", tmp_path / "archive", str(tmp_path / "out")
+    arriving.mkdir()
+    stream = streams.file_stream(
+        spark, f"{arriving}/sales_data_*.csv", landing.landing_schema(), "csv", 1, str(archive))
+    for n in range(4):
+        (arriving / f"sales_data_{n}.csv").write_text(HEADER + f"T{n},C1,P1,2,10.50\n")
+    streams.run_available(stream, f"{out}/checkpoint", streams.append_arrivals(f"{out}/rows"))
+    assert spark.read.parquet(f"{out}/rows").count() == 4
+    assert len(list(archive.rglob("*.csv"))) >= 2
+    assert len(list(archive.rglob("*.csv"))) + len(list(arriving.glob("*.csv"))) == 4
+
+
 def test_repeated_batch_replaces_itself(spark, tmp_path):
     write = streams.append_arrivals(str(tmp_path))
     for _ in range(2):

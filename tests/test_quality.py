@@ -289,6 +289,14 @@ def test_results_can_be_stored_and_read_back(spark, sales, tmp_path):
     assert str(newest.created_at) == "2024-06-02 00:00:00"
 
 
+def test_failures_are_stored_before_they_raise(spark, sales, tmp_path):
+    path = str(tmp_path / "recorded")
+    found = run_checks(sales, [Uniqueness(table="s", severity="CRITICAL", columns=["transaction_id"])], NOW)
+    with pytest.raises(results.QualityError):
+        reporting.record(found, path)
+    assert not spark.read.parquet(path).first().passed
+
+
 def test_suite_names_and_units():
     by_code = suites.load_suite(json.dumps([
         {"operator": "CompletenessChecker", "table_name": "t", "expected_count": 100, "tolerance_percent": 5},

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.operators.quality.results import SEVERITIES
+from tidemark.operators.quality.results import SEVERITIES, enforce
 
 
 def quality_report(results: DataFrame, by: str | None = "table_name") -> DataFrame:
@@ -52,6 +52,16 @@ def append_results(results: DataFrame, path: str) -> None:
     results.write.mode("append").parquet(path)
 
 
+def record(results: DataFrame, path: str) -> None:
+    """Store results, failed ones too, and then raise on blocking failures."""
+    rows = results.persist()
+    try:
+        append_results(rows, path)
+        enforce(rows)
+    finally:
+        rows.unpersist()
+
+
 def latest_results(stored: DataFrame, count: int = 10) -> DataFrame:
     """The newest stored results."""
     newest = stored.orderBy(F.desc("created_at"), "table_name", "check_type").limit(count)
