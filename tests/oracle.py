@@ -1,8 +1,12 @@
-"""Run registered queries and compare them with their SQL in DuckDB."""
+"""Run registered queries and compare them with their SQL in DuckDB.
+
+ORACLE_CONF may add settings, such as spark.sql.autoBroadcastJoinThreshold=-1 to force shuffled joins.
+"""
 
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -68,6 +72,7 @@ def main() -> int:
     folder = sys.argv[1]
     names = sys.argv[2:] or list(QUERIES)
     spark = build_session(master="local[8]", **{
+        **dict(pair.split("=", 1) for pair in os.environ.get("ORACLE_CONF", "").split(",") if pair),
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g",
     })
     spark.sparkContext.setLogLevel("ERROR")

@@ -50,12 +50,15 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(conf.autoBroadcastJoinThreshold())
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], share: float = 1e-4) -> DataFrame:
-    """Keys holding at least ``share`` of the rows; never more than 1/share of them."""
+def hot_keys(df: DataFrame, on: Sequence[str], share: float = 1e-4, min_rows: int = 100_000) -> DataFrame:
+    """Keys holding at least ``share`` of the rows, hence never more than 1/share of them.
+
+    Groups below ``min_rows`` are no burden to a task, whatever their share.
+    """
     keyed = df.select(*on).dropna(subset=list(on))
     total = keyed.agg(F.count(F.lit(1)).alias("n")).scalar()
     counted = keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-    return counted.filter(F.col("__n") >= total * F.lit(share)).select(*on)
+    return counted.filter(F.col("__n") >= F.greatest(total * F.lit(share), F.lit(min_rows))).select(*on)
 
 
 def _equi(facts: DataFrame, dim: DataFrame, on: Sequence[str], how: str, residual: Column | None):
@@ -76,6 +79,7 @@ def lookup_join(
     hot_from: DataFrame | None = None,
     unique: bool = False,
     share: float = 1e-4,
+    min_rows: int = 100_000,
     salts: int = 256,
     limit: int | None = None,
 ) -> DataFrame:
@@ -97,7 +101,7 @@ def lookup_join(
     if unique and input_bytes(dim) <= limit:
         return _equi(facts, F.broadcast(dim), on, how, residual)
 
-    hot = hot_keys(facts if hot_from is None else hot_from, on, share).withColumn("__hot", F.lit(True))
+    hot = hot_keys(facts if hot_from is None else hot_from, on, share, min_rows).withColumn("__hot", F.lit(True))
     hot = F.broadcast(hot)  # at most 1/share rows
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
     # The row's own content and its partition: the same again when a task is retried.

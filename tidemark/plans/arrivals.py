@@ -28,21 +28,30 @@ LANDED = """
 """
 
 
-def land(spark, folder):
-    """One drop of files per accepted format, and one in a format nobody reads."""
+DROPS = {"csv": "F", "json": "O", "parquet": "P"}
+
+
+def land(spark, folder, *formats):
+    """One drop of files per format, each of the orders of one status."""
     path = workspace(spark, "landing")
     orders = star.table(spark, folder, "orders")
-    for status, suffix in {"F": "csv", "O": "json", "P": "parquet"}.items():
-        rows = landed_rows(orders.filter(F.col("o_orderstatus") == status))
-        rows.write.option("header", "true").format(suffix).save(f"{path}/sales_data_{status}.{suffix}")
-    landed_rows(orders).select("transaction_id").write.text(f"{path}/notes.txt")
+    for suffix in formats:
+        rows = landed_rows(orders.filter(F.col("o_orderstatus") == DROPS[suffix]))
+        rows.write.option("header", "true").format(suffix).save(f"{path}/sales_data_{DROPS[suffix]}.{suffix}")
+    return path
+
+
+def land_all(spark, folder):
+    """Drops in all accepted formats, and one in a format nobody reads."""
+    path = land(spark, folder, *DROPS)
+    landed_rows(star.table(spark, folder, "orders")).select("transaction_id").write.text(f"{path}/notes.txt")
     return path
 
 
 @query("csv_landing", f"""
     SELECT transaction_id, customer_id, product_id, quantity, amount FROM ({LANDED}) WHERE o_orderstatus = 'F'""")
 def csv_landing(spark, folder):
-    path = f"{land(spark, folder)}/{landing.LANDING_PATTERN}"
+    path = f"{land(spark, folder, 'csv')}/{landing.LANDING_PATTERN}"
     return plain(landing.read_landing(spark, path, landing.landing_schema(), "csv").drop("filepath"))
 
 
@@ -52,7 +61,7 @@ def csv_landing(spark, folder):
     GROUP BY format""")
 def landing_formats(spark, folder):
     """Every accepted format by its own reader; the text file is passed over."""
-    rows = landing.read_all_formats(spark, land(spark, folder), landing.landing_schema())
+    rows = landing.read_all_formats(spark, land_all(spark, folder), landing.landing_schema())
     by_format = rows.groupBy(landing.file_suffix(F.col("filepath")).alias("format"))
     return plain(by_format.agg(F.count(F.lit(1)).alias("records"), F.sum("amount").alias("amount")))
 
@@ -60,7 +69,7 @@ def landing_formats(spark, folder):
 @query("file_metadata")
 def file_metadata(spark, folder):
     """File names and hashes differ from run to run, hence without SQL."""
-    return landing.with_route(landing.file_metadata(spark, land(spark, folder)))
+    return landing.with_route(landing.file_metadata(spark, land_all(spark, folder)))
 
 
 @query("file_records", """
@@ -69,7 +78,7 @@ def file_metadata(spark, folder):
            TRUE AS counts_agree FROM orders""")
 def file_records(spark, folder):
     """Line estimates against the records read, file by file."""
-    path = f"{land(spark, folder)}/{landing.LANDING_PATTERN}"
+    path = f"{land(spark, folder, 'csv')}/{landing.LANDING_PATTERN}"
     estimated = landing.with_chunks(landing.line_estimates(spark, path).filter(
         landing.file_suffix(F.col("filepath")) == ".csv"))
     read = landing.read_landing(spark, path, landing.landing_schema(), "csv")
@@ -107,7 +116,7 @@ def file_dedupe(spark, folder):
     SELECT transaction_id, customer_id, product_id, quantity, amount FROM ({LANDED}) WHERE o_orderstatus = 'F'""")
 def stream_files(spark, folder):
     """Arrivals by stream; the second run finds nothing new."""
-    path, out = land(spark, folder), workspace(spark, "arrivals")
+    path, out = land(spark, folder, "csv"), workspace(spark, "arrivals")
     stream = streams.file_stream(spark, f"{path}/{landing.LANDING_PATTERN}", landing.landing_schema(), "csv")
     for _ in range(2):
         streams.run_available(stream, f"{out}/checkpoint", streams.append_arrivals(f"{out}/rows"))
