@@ -72,7 +72,7 @@ def judge_staging(staged: DataFrame, rules: Mapping[str, str],
     judged = staged.filter(~F.col("is_processed")).withColumn("reject_reasons", failed_rules(rules))
     for column, (dim, dim_key) in references.items():
         known = dim.select(F.col(dim_key).alias(column)).distinct().withColumn("__known", F.lit(True))
-        judged = lookup_join(judged, known, [column], "left", hot_from=staged)
+        judged = lookup_join(judged, known, [column], "left", hot_from=staged, unique=True)
         unknown = F.col(column).isNotNull() & F.col("__known").isNull()
         reasons = F.when(
             unknown, F.concat("reject_reasons", F.array(F.lit(f"unknown_{column}")))

@@ -23,8 +23,9 @@ def stage_snapshot(source: DataFrame, key: str, changed_at: str, day: str, order
 
 
 def surrogate_key(key: str) -> Column:
-    """A key for the version that needs no counter shared between tasks."""
-    return F.xxhash64(F.col(key), F.col("valid_from"))
+    """A key for the version: a key has one version per start day, so both together are
+    unique, without a counter shared between tasks and without hash collisions."""
+    return F.concat_ws("@", F.col(key).cast("string"), F.col("valid_from").cast("string"))
 
 
 def as_versions(rows: DataFrame, key: str, attributes: Sequence[str], valid_from: Column, compat: bool = False) -> DataFrame:

@@ -398,7 +398,10 @@ def dq_report(spark, folder):
     return reporting.quality_report(suite_results(spark, folder))
 
 
-@query("dq_report_overall", f"{REPORT_SQL.replace('GROUP BY table_name', 'GROUP BY ALL').replace('SELECT table_name,', 'SELECT')} SELECT * FROM report")
+OVERALL_SQL = REPORT_SQL.replace("GROUP BY table_name", "GROUP BY ALL").replace("SELECT table_name,", "SELECT")
+
+
+@query("dq_report_overall", f"{OVERALL_SQL} SELECT * FROM report")
 def dq_report_overall(spark, folder):
     return reporting.quality_report(suite_results(spark, folder), by=None)
 
