@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, warc
+from tidemark.llm import bpe, line_dedup, simhash, warc
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,3 +91,36 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
         F.col("key").alias("page_id"), "warc_type", "record_id", "refers_to", "concurrent_to", "target_uri", "content_type",
         "content_length", "block_digest", "source_payload_digest",
     )
+
+
+@query("op2_simhash")
+def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"), shingle=4, bits=4)
+    return found.select("row.doc_id", "fingerprint", F.col("component").alias("component_id"))
+
+
+SPACE_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP3_SQL = f"""
+WITH numbered AS (
+  SELECT row_number() OVER () AS n, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), lines AS (
+  SELECT n, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM numbered
+), keyed AS (
+  SELECT *, {LOWER_SQL.format(f"trim(line, {SPACE_SQL})")} AS key FROM lines
+), common AS (
+  SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT n) >= 10
+), judged AS (
+  SELECT k.*, c.key IS NOT NULL AS dropped FROM keyed k LEFT JOIN common c USING (key)
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY n
+"""
+
+
+@query("op3_line_dedup", OP3_SQL)
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = line_dedup.drop_common_lines(table(spark, folder, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
+    return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
