@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, line_dedup, simhash, warc
+from tidemark.llm import bpe, line_dedup, simhash, url_filter, warc
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,15 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+@query("op1_url_filter")
+def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    weights = url_filter.train(url_filter.labelled_table(spark))
+    return url_filter.judge(table(spark, folder, "pages"), URL_RULES, weights)
+
+
 @query("op6_byte_bpe")
 def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = bpe.Vocabulary(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
