@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, line_dedup, simhash, url_filter, warc
+from tidemark.llm import bpe, labelled, line_dedup, quality, simhash, toxicity, url_filter, warc
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,3 +133,29 @@ FROM judged GROUP BY n
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = line_dedup.drop_common_lines(table(spark, folder, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
     return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op8_quality")
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    weights = quality.train(labelled.sample(docs, table(spark, folder, "labels"), "quality", 3, 1, quality.ROWS))
+    return _judged(quality.score(docs, weights), 3, 1)
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return _judged(toxicity.score(docs, toxicity_lexicon(spark, folder)), 5, 0)
+
+
+def toxicity_lexicon(spark: SparkSession, folder: str) -> toxicity.Lexicon:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return toxicity.learn(labelled.sample(docs, labels, "toxic", 5, 0, toxicity.ROWS))
+
+
+def _judged(scored: DataFrame, folds: int, held_out: int) -> DataFrame:
+    key = F.col("row.doc_id")
+    return scored.select(
+        key.alias("doc_id"), F.coalesce(labelled.fold(key, folds) == held_out, F.lit(False)).alias("held_out"),
+        "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
