@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, labelled, line_dedup, quality, simhash, toxicity, url_filter, warc
+from tidemark.llm import bpe, decontaminate, labelled, line_dedup, quality, simhash, toxicity, url_filter, warc
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -159,3 +159,44 @@ def _judged(scored: DataFrame, folds: int, held_out: int) -> DataFrame:
         key.alias("doc_id"), F.coalesce(labelled.fold(key, folds) == held_out, F.lit(False)).alias("held_out"),
         "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+WORDS_SQL = "coalesce(regexp_extract_all(" + LOWER_SQL.format("text") + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), [])"
+
+OP5_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS n, doc_id, {WORDS_SQL} AS words FROM documents
+), items AS (
+  SELECT DISTINCT item_id, {WORDS_SQL} AS words FROM benchmark
+), sized AS (
+  SELECT item_id, words, least(10, len(words)) AS size FROM items WHERE len(words) > 0
+), starts AS (
+  SELECT item_id, words, size, unnest(range(1, len(words) - size + 2)) AS s FROM sized
+), windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(words[s:s + size - 1], ' ') AS passage FROM starts
+), places AS (
+  SELECT n, words, size, unnest(range(1, len(words) - size + 2)) AS s
+  FROM docs, (SELECT DISTINCT size FROM windows) WHERE len(words) >= size
+), found AS (
+  SELECT n, s, p.size, item_id
+  FROM (SELECT n, s, size, array_to_string(words[s:s + size - 1], ' ') AS passage FROM places) p JOIN windows USING (size, passage)
+), hit AS (
+  SELECT n, count(DISTINCT place) AS n_hit FROM (SELECT n, unnest(range(s, s + size)) AS place FROM found) GROUP BY n
+), listed AS (
+  SELECT n, count(*) AS n_items, sha256(string_agg(id, ',' ORDER BY id)) AS items_sha256
+  FROM (SELECT DISTINCT n, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY n
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (n) LEFT JOIN listed USING (n)
+"""
+
+
+@query("op5_decontamination", OP5_SQL)
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark")
+    found = decontaminate.contamination(docs, items, window=10)
+    return found.select(
+        "row.doc_id", "n_words", "n_hit", F.size("ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
