@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, labelled, line_dedup, quality, simhash, toxicity, url_filter, warc
+from tidemark.llm import bpe, decontaminate, labelled, line_dedup, quality, simhash, suffix_dedup, toxicity, url_filter, warc
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -200,3 +200,13 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         "row.doc_id", "n_words", "n_hit", F.size("ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op7_suffix_dedup")
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"), length=400)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["begin"])
+    return found.select(
+        "row.doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
