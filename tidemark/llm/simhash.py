@@ -168,14 +168,15 @@ def links(values: DataFrame, bits: int, limit: int = 20_000, blocks: int | None
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, key: str = "doc_id", text: str = "text", limit: int = 20_000, blocks: int | None = None) -> DataFrame:
-    """(row, fingerprint, component): each row without its text, 16 hex digits, and the smallest id reachable."""
+    """(row, fingerprint, component, group): each row without its text, 16 hex digits, the smallest id reachable, and
+    a number that all rows of a component share, ids or not."""
     prints = stored(fingerprints(docs, shingle, text), "simhash")
     values = stored(prints.groupBy("fp").agg(F.min(f"row.`{key}`").alias("first")), "simhash-values")
     roots = components(links(values.select("fp"), bits, limit, blocks))
     rooted = values.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component"))
-    named = stored(rooted.join(smallest, "root").select("fp", "component"), "simhash-components")
-    return prints.join(named, "fp").select("row", _hex(F.col("fp")).alias("fingerprint"), "component")
+    named = stored(rooted.join(smallest, "root").select("fp", "component", F.col("root").alias("group")), "simhash-components")
+    return prints.join(named, "fp").select("row", _hex(F.col("fp")).alias("fingerprint"), "component", "group")
 
 
 def _hex(value: Column) -> Column:
