@@ -305,8 +305,9 @@ def dealt_strings(found: DataFrame, length: int) -> DataFrame:
         return each
 
     strings = stored(per_batch(found, "hash long, context long, string binary, left long", make), "strings")
-    twice = strings.groupBy("hash", "string").agg(F.count("*").alias("n")).filter("n > 1")
-    again = strings.join(twice, ["hash", "string"], "left_semi")
+    # By place of the anchor too: a periodic text has several anchors in one string, and equal strings agree on all of them.
+    twice = strings.groupBy("hash", "string", "left").agg(F.count("*").alias("n")).filter("n > 1")
+    again = strings.join(twice, ["hash", "string", "left"], "left_semi")
     return again.groupBy("hash", "context").agg(F.max("left").alias("left"), (F.lit(length) - F.min("left")).alias("right"))
 
 

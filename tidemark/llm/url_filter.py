@@ -46,6 +46,13 @@ LABELLED = [
     ("https://www.hospital.test/de/contact", 0), ("http://books.test/fr/author/16", 0), ("https://m.thenation.test/en/1048", 0),
     ("http://on.the.river.test/en/walks", 0), ("https://tration.test/en/3917", 0), ("http://www.retions.test/de/6652", 0),
     ("https://blog.inthand.test/fr/7424.html", 0), ("http://another.test/es/4163", 0),
+    ("https://quiet.garden.test/en/1", 0), ("http://www.citycouncil.test/en/services/14", 0), ("https://photos.test/de/album/61", 0),
+    ("https://observatory.test/stars/2", 0), ("http://m.railway.test/fr/timetable", 0), ("https://letters.test/en/1877/", 0),
+    ("http://choir.test/es/9", 0), ("https://www.mathematics.test/en/proof/5", 0), ("https://river.test/en/1034.html", 0),
+    ("http://bread.test/fr/4", 0), ("https://orchard.test/de/apfel", 0), ("http://www.theatre.test/en/4811?page=2", 0),
+    ("https://stone.test/en/2290#top", 0), ("http://northern.test/en/7", 0), ("https://blog.distant.test/es/88", 0),
+    ("http://thing.test/fr/903", 0), ("https://m.reading.test/en/51/", 0), ("http://ingredient.test/de/640", 0),
+    ("https://www.hands.test/en/2", 0), ("http://nothing.test/en/1502", 0), ("https://notary.test/fr/3", 0),
 ]
 
 
