@@ -12,8 +12,8 @@ an empty table an empty one, and columns other than the named ones are passed th
 from __future__ import annotations
 
 import base64
-import heapq
 from collections.abc import Callable, Sequence
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ from tidemark.llm.common import per_batch
 
 # The white space of the splitting engine, spelled out: Python's own class also holds U+001C to U+001F.
 WHITE_SPACE = r"\t-\r \x85\xa0  -     　"
-MEMO = 200_000  # pre-tokens a task remembers before it starts over
+MEMO = 500_000  # pre-tokens a task remembers before it starts over
 LONG = 64  # longer pre-tokens are not remembered
 
 
@@ -109,28 +109,35 @@ class Vocabulary:
 
     def merge(self, piece: bytes) -> list[int]:
         """Merge the neighbours of lowest rank, leftmost first, until no two neighbours form a token."""
-        ranks, n = self.ranks, len(piece)
+        rank_of, n = self.ranks.get, len(piece)
         parts = [piece[i:i + 1] for i in range(n)]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(rank, i) for i in range(n - 1) if (rank := ranks.get(piece[i:i + 2])) is not None]
-        heapq.heapify(heap)
+        pair = [rank_of(piece[i:i + 2]) for i in range(n - 1)] + [None]  # rank of a part joined to the next one
+        heap = [rank * n + i for i, rank in enumerate(pair) if rank is not None]  # rank, then place, as one number
+        heapify(heap)
         while heap:
-            rank, i = heapq.heappop(heap)
-            j = after[i]
-            # An entry is stale once its left part was merged away or either part has grown.
-            if parts[i] is None or j >= n or ranks.get(parts[i] + parts[j]) != rank:
+            rank, i = divmod(heappop(heap), n)
+            if pair[i] != rank:  # merged away, or one of the two has grown
                 continue
+            j = after[i]
             parts[i] += parts[j]
-            parts[j] = None
+            pair[i] = pair[j] = None
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (rank := ranks.get(parts[i] + parts[k])) is not None:
-                    heapq.heappush(heap, (rank, i))
+                pair[i] = rank = rank_of(parts[i] + parts[k])
+                if rank is not None:
+                    heappush(heap, rank * n + i)
             h = before[i]
-            if h >= 0 and (rank := ranks.get(parts[h] + parts[i])) is not None:
-                heapq.heappush(heap, (rank, h))
-        return [ranks[part] for part in parts if part is not None]
+            if h >= 0:
+                pair[h] = rank = rank_of(parts[h] + parts[i])
+                if rank is not None:
+                    heappush(heap, rank * n + h)
+        ids, i = [], 0
+        while i < n:
+            ids.append(rank_of(parts[i]))
+            i = after[i]
+        return ids
 
 
 def encoder(vocabulary: Vocabulary, pattern: str) -> Callable[[str], bytes]:
