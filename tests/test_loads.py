@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.loads import full, incremental, scd2
 from tidemark.operators.quality import relations
+from tidemark.operators.quality import relations
 from tidemark.operators.quality.results import QualityError
 from tidemark.sources import tables
+from tidemark.sources.stored import StoredTable
 
 
 def source(spark, *changes):
@@ -90,49 +92,99 @@ def test_type_one_can_set_a_value_to_null(spark):
 
 
 def stored_target(spark, path, df):
-    with_bucket = df.withColumn("bucket", F.col("k") % 4)
-    tables.replace_partitions(with_bucket, f"{path}/target", "bucket")
+    StoredTable(spark, f"{path}/target").rewrite(df)
     start = full.moment("2024-01-01 00:00:00")
     incremental.watermark_row(spark, "p", "t", start, start, F.lit(0)).write.parquet(f"{path}/marks")
     return f"{path}/target", f"{path}/marks"
 
 
 def run(spark, df, paths, day, **options):
-    return incremental.run_incremental(
-        spark, df.withColumn("bucket", F.col("k") % 4), "at", paths[0], paths[1], ["k"], "bucket", "p", "t",
-        f"{day} 00:00:00", **options,
-    )
+    return incremental.run_incremental(spark, df, "at", paths[0], paths[1], ["k"], "p", "t", f"{day} 00:00:00", **options)
+
+
+def held(spark, paths):
+    return rows(incremental.merged(StoredTable(spark, paths[0]), ["k"]), "k", "v")
+
+
+def files(folder):
+    return {str(p): p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
 
 
 def test_incremental_table(spark, tmp_path):
     changes = [(1, "a", 1), (2, "b", 1), (5, "e", 1)]
     paths = stored_target(spark, tmp_path, source(spark, *changes))
     later = source(spark, *changes, (1, "a2", 3), (6, "f", 4), (7, "g", 9))
-    untouched = {p.name for p in (tmp_path / "target" / "bucket=1").glob("*.parquet")}
+    before = files(tmp_path / "target" / "data")
     assert run(spark, later, paths, "2024-01-05") == 2
     expected = [(1, "a2"), (2, "b"), (5, "e"), (6, "f")]
-    assert rows(spark.read.parquet(paths[0]), "k", "v") == expected
-    assert untouched != {p.name for p in (tmp_path / "target" / "bucket=1").glob("*.parquet")}
+    assert held(spark, paths) == expected
+    after = files(tmp_path / "target" / "data")
+    assert before.items() <= after.items()
     # The same execution date again: nothing new, nothing changed.
     assert run(spark, later, paths, "2024-01-05") == 0
-    assert rows(spark.read.parquet(paths[0]), "k", "v") == expected
+    assert held(spark, paths) == expected and files(tmp_path / "target" / "data").keys() >= after.keys()
     marks = spark.read.parquet(paths[1])
     assert str(incremental.last_watermark(marks, "p", "t").first()[0]) == "2024-01-04 00:00:00"
     assert run(spark, later, paths, "2024-01-10") == 1
 
 
-def test_incremental_rewrites_only_touched_partitions(spark, tmp_path):
+def test_batches_fold_into_the_base(spark, tmp_path):
     paths = stored_target(spark, tmp_path, source(spark, (1, "a", 1), (2, "b", 1)))
-    before = {p.name for p in (tmp_path / "target" / "bucket=2").glob("*.parquet")}
-    run(spark, source(spark, (1, "a2", 3)), paths, "2024-01-05")
-    assert before == {p.name for p in (tmp_path / "target" / "bucket=2").glob("*.parquet")}
-
-
-def test_failed_check_leaves_the_mark(spark, tmp_path):
-    paths = stored_target(spark, tmp_path, source(spark, (1, "a", 1), (1, "b", 1), (5, "x", 1)))
+    for day in range(2, 7):
+        run(spark, source(spark, (1, f"a{day}", day), (day + 10, "n", day)), paths, f"2024-01-{day + 1:02d}", compact_after=3)
+    table = StoredTable(spark, paths[0])
+    assert sum(e.kind == "delta" for e in table.entries()) <= 3
+    expected = held(spark, paths)
+    assert sorted(expected) == [(1, "a6"), (2, "b"), *[(d + 10, "n") for d in range(2, 7)]]
+    assert table.remove_old_folders() > 0 and held(spark, paths) == expected
+
+
+def test_failed_check_leaves_table_and_mark(spark, tmp_path, monkeypatch):
+    paths = stored_target(spark, tmp_path, source(spark, (1, "a", 1), (5, "x", 1)))
+    monkeypatch.setattr(incremental, "latest_per_key", lambda df, *_: df)
     with pytest.raises(QualityError):
-        run(spark, source(spark, (5, "y", 3)), paths, "2024-01-05")
+        run(spark, source(spark, (5, "y", 3), (5, "z", 3)), paths, "2024-01-05")
+    monkeypatch.undo()
     assert spark.read.parquet(paths[1]).count() == 1
+    assert held(spark, paths) == [(1, "a"), (5, "x")]
+
+
+@pytest.mark.parametrize("stop", ["before the switch", "after the switch"])
+def test_a_stopped_run_loses_nothing(spark, tmp_path, monkeypatch, stop):
+    paths = stored_target(spark, tmp_path, source(spark, (1, "a", 1), (2, "b", 1)))
+    batch = source(spark, (1, "a2", 3), (6, "f", 4))
+    real = StoredTable.commit
+
+    def commit(self, *args):
+        if stop == "after the switch":
+            real(self, *args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(StoredTable, "commit", commit)
+    with pytest.raises(RuntimeError):
+        run(spark, batch, paths, "2024-01-05")
+    monkeypatch.undo()
+    expected = [(1, "a2"), (2, "b"), (6, "f")]
+    assert held(spark, paths) == (expected if stop == "after the switch" else [(1, "a"), (2, "b")])
+    assert run(spark, batch, paths, "2024-01-05") == 2
+    assert held(spark, paths) == expected
+
+
+def test_stored_table_partitions(spark, tmp_path):
+    table = StoredTable(spark, str(tmp_path / "t"))
+    df = spark.createDataFrame([(1, "a b/c"), (2, None), (3, "2024-01-01"), (4, "007")], "k int, p string")
+    table.rewrite(df, "p")
+    before = files(tmp_path / "t" / "data")
+    table.replace(spark.createDataFrame([(9, "007")], "k int, p string"), "p")
+    assert before.items() <= files(tmp_path / "t" / "data").items()
+    assert rows(table.read(), "k", "p") == [(1, "a b/c"), (2, None), (3, "2024-01-01"), (9, "007")]
+    assert rows(table.read(lambda e: e.part == "007"), "k") == [(9,)]
+    table.replace(df.limit(0), "p", ["a b/c"])
+    assert rows(table.read(), "k") == [(2,), (3,), (9,)]
+    table.rewrite(df.limit(0))
+    assert table.read().count() == 0 and table.read().columns == ["k", "p"]
+    with pytest.raises(ValueError):
+        StoredTable(spark, str(tmp_path / "none")).read()
 
 
 def test_promotion(spark):
@@ -145,18 +197,30 @@ def test_promotion(spark):
     accepted, rejected = full.promote(judged)
     assert rows(accepted, "id") == [(1,), (4,)]
     assert rows(rejected, "id", "reject_reasons") == [(2, ["unknown_customer_id"]), (3, ["positive"])]
-    again = full.judge_staging(full.mark_processed(staged), {"positive": "quantity > 0"}, {})
-    assert again.count() == 0
+    # A row that arrives after the judging stays unprocessed.
+    late = staged.union(spark.createDataFrame([(6, 10, 5, False)], staged.schema))
+    marked = full.mark_processed(late, judged, ["id"])
+    again = full.judge_staging(marked, {"positive": "quantity > 0"}, {})
+    assert rows(again, "id") == [(6,)]
 
 
-def test_promotion_is_stored_and_logged(spark, tmp_path):
-    staged = spark.createDataFrame([(n, n - 2, False) for n in range(6)], "id int, quantity int, is_processed boolean")
+def test_promotions_add_up(spark, tmp_path):
     path = str(tmp_path / "promoted")
-    for _ in range(2):
+
+    def promote(batch, *ids):
+        staged = spark.createDataFrame([(n, n - 2, False) for n in ids], "id int, quantity int, is_processed boolean")
         judged = full.judge_staging(staged, {"positive": "quantity > 0"}, {})
-        log = full.write_promotion(judged, path, "p", "t", "2024-01-01 00:00:00").first()
-    assert (log.records_extracted, log.records_loaded, log.records_rejected) == (6, 3, 3)
-    assert rows(spark.read.parquet(path).groupBy("outcome").count()) == [("accepted", 3), ("rejected", 3)]
+        log = full.write_promotion(judged, path, ["id"], batch, "p", "t", "2024-01-01 00:00:00").first()
+        return log.records_extracted, log.records_loaded, log.records_rejected
+
+    for _ in range(2):
+        assert promote("first", *range(6), 5) == (6, 3, 3)
+    # A key that an earlier batch brought is not inserted again; the earlier batch stays.
+    for _ in range(2):
+        assert promote("second", 1, 5, 8) == (2, 1, 1)
+    stored = full.read_promoted(spark, path)
+    assert rows(stored.filter("outcome = 'accepted'"), "id", "batch") == [(3, "first"), (4, "first"), (5, "first"), (8, "second")]
+    assert rows(stored.filter("outcome = 'rejected'"), "id", "batch") == [(0, "first"), (1, "first"), (1, "second"), (2, "first")]
 
 
 ATTRIBUTES = ["name", "city"]
@@ -251,17 +315,31 @@ def test_stored_versions(spark, tmp_path):
         (2, "b", "y", "2024-01-01", "2024-01-31", False), (2, "b", "Y", "2024-02-01", "9999-12-31", True),
         (3, "c", "z", "2024-01-01", "9999-12-31", True),
     ]
-    assert versions_of(spark.read.parquet(path)) == expected
+    assert versions_of(scd2.read_versions(spark, path)) == expected
     scd2.run_load(spark, path, people(spark, (2, "b", "Y")), "k", ATTRIBUTES, "2024-02-01")
-    assert versions_of(spark.read.parquet(path)) == expected
+    assert versions_of(scd2.read_versions(spark, path)) == expected
+
+
+def test_backdated_loads(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    scd2.write_versions(seed(spark, (1, "a", "x"), (2, "b", "y")), path)
+    scd2.run_load(spark, path, people(spark, (1, "a", "Z"), (3, "c", "late")), "k", ATTRIBUTES, "2024-03-01")
+    for _ in range(2):
+        scd2.run_load(spark, path, people(spark, (1, "a", "M"), (2, "b", "N"), (3, "c", "early")), "k", ATTRIBUTES, "2024-02-01")
+    assert versions_of(scd2.read_versions(spark, path)) == [
+        (1, "a", "x", "2024-01-01", "2024-01-31", False), (1, "a", "M", "2024-02-01", "2024-02-29", False),
+        (1, "a", "Z", "2024-03-01", "9999-12-31", True),
+        (2, "b", "y", "2024-01-01", "2024-01-31", False), (2, "b", "N", "2024-02-01", "9999-12-31", True),
+        (3, "c", "early", "2024-02-01", "2024-02-29", False), (3, "c", "late", "2024-03-01", "9999-12-31", True),
+    ]
+    checks = relations.version_integrity(scd2.read_versions(spark, path), "k").collect()
+    assert all(row.passed for row in checks)
 
 
 def test_log_counts(spark):
     first = seed(spark, (1, "a", "x"), (2, "b", "y"))
     staged = people(spark, (1, "a", "X"), (3, "c", "z"))
-    changes = scd2.detect_changes(staged, first.filter("is_current"), "k", ATTRIBUTES)
-    after = scd2.apply_changes(first, staged, "k", ATTRIBUTES, "2024-02-01")
-    log = scd2.processing_log(changes, after, "2024-02-01", "p", "t").first()
+    log = scd2.processing_log(first, staged, "k", ATTRIBUTES, "2024-02-01", "p", "t").first()
     assert (log.new_records, log.changed_records, log.expired_records, log.total_current_records) == (1, 1, 1, 3)
 
 
@@ -305,7 +383,7 @@ def test_month_folders(spark, tmp_path):
     df = source(spark, (1, "a", 1), (2, "b", 2))
     tables.write_by_month(df, path, "at")
     tables.write_by_month(source(spark, (3, "c", 3)).withColumn("at", F.col("at") + F.expr("INTERVAL 40 DAYS")), path, "at")
-    stored = spark.read.parquet(path)
+    stored = StoredTable(spark, path).read()
     assert rows(stored, "k", "year", "month") == [(1, 2024, 1), (2, 2024, 1), (3, 2024, 2)]
 
 
@@ -323,10 +401,11 @@ def test_table_writers(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "csv"), header=True).count() == 3
 
 
-@pytest.mark.parametrize("name", ["", "a b", "a;b", "a.b.c", "1a", "a'--"])
-def test_table_names(name):
+@pytest.mark.parametrize("name", ["", "a b", "a;b", "a.b.c", "a'--"])
+def test_table_names(spark, name):
     with pytest.raises(ValueError):
-        tables.valid_table_name(name)
+        tables.valid_table_name(spark, name)
+    assert tables.valid_table_name(spark, "sales.fact_1") == "sales.fact_1"
 
 
 def test_bound_parameters(spark):

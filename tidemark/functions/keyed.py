@@ -5,33 +5,37 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-
-def _rest(df: DataFrame, named: Sequence[str]) -> list[str]:
-    return [c for c in df.columns if c not in named]
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], pick) -> DataFrame:
-    # A struct min/max is combined on the map side, so unlike row_number() over a
-    # window no task ever holds all rows of one key. The remaining columns take
-    # part in the comparison, which makes the choice total.
+    # max_by/min_by is combined on the map side, so unlike row_number() over a window no task ever holds
+    # all rows of one key. Only the order and a tie-break are compared, so other columns may be of any type.
     order = [c for c in order_by if c not in keys]
-    fields = order + _rest(df, [*keys, *order])
-    picked = df.groupBy(*keys).agg(pick(F.struct(*fields)).alias("__row"))
-    return picked.select(
-        *[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns]
-    )
+    rest = [c for c in df.columns if c not in keys]
+    kinds = dict(zip(df.columns, (field.dataType for field in df.schema.fields), strict=True))
+    plain = [c for c in rest if c not in order and not _holds_map(kinds[c])]
+    maps = [F.to_json(c) for c in rest if c not in order and _holds_map(kinds[c])]
+    ranking = F.struct(*[F.col(c) for c in [*order, *plain]], *maps) if rest else F.lit(0)
+    row = F.struct(*rest) if rest else F.struct(F.lit(0).alias("none"))
+    picked = df.groupBy(*keys).agg(pick(row, ranking).alias("__row"))
+    return picked.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
+
+
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(field.dataType) for field in kind.fields)
+    return isinstance(kind, T.MapType | T.VariantType) or isinstance(kind, T.ArrayType) and _holds_map(kind.elementType)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per key: the greatest by ``order_by``, then by the other columns."""
-    return _pick(df, keys, order_by, F.max)
+    return _pick(df, keys, order_by, F.max_by)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per key: the smallest by ``order_by`` (NULLs first), then by the other columns."""
-    return _pick(df, keys, order_by, F.min)
+    return _pick(df, keys, order_by, F.min_by)
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -50,15 +54,18 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(conf.autoBroadcastJoinThreshold())
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], share: float = 1e-4, min_rows: int = 100_000) -> DataFrame:
-    """Keys holding at least ``share`` of the rows, hence never more than 1/share of them.
+def _key_hash(on: Sequence[str]) -> Column:
+    return F.xxhash64(*on)
 
-    Groups below ``min_rows`` are no burden to a task, whatever their share.
+
+def hot_keys(df: DataFrame, on: Sequence[str], count: int = 100, share: float = 1e-3) -> list[int]:
+    """Hashes of the keys that hold about ``share`` of the rows or more, ``count`` at most.
+
+    One pass with a mergeable sketch. A wrong guess changes how rows are spread, never which rows there are.
     """
-    keyed = df.select(*on).dropna(subset=list(on))
-    total = keyed.agg(F.count(F.lit(1)).alias("n")).scalar()
-    counted = keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-    return counted.filter(F.col("__n") >= F.greatest(total * F.lit(share), F.lit(min_rows))).select(*on)
+    keyed = df.select(*on).dropna(subset=list(on)).select(_key_hash(on).alias("h"))
+    found = keyed.agg(F.expr(f"approx_top_k(h, {count}, {100 * count})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return [row["item"] for row in found.top or [] if row["count"] >= max(2, share * found.n)]
 
 
 def _equi(facts: DataFrame, dim: DataFrame, on: Sequence[str], how: str, residual: Column | None):
@@ -76,46 +83,35 @@ def lookup_join(
     on: Sequence[str],
     how: str = "inner",
     residual: Column | None = None,
-    hot_from: DataFrame | None = None,
     unique: bool = False,
-    share: float = 1e-4,
-    min_rows: int = 100_000,
+    skewed: bool = False,
     salts: int = 256,
     limit: int | None = None,
 ) -> DataFrame:
     """Join a fact side to a keyed side; ``how``: inner, left, left_semi or left_anti.
 
-    A keyed side under the broadcast threshold is left to Spark, which broadcasts it.
-    Inside a ``unique`` side, with one row per key, joins add columns but no rows; the
-    optimizer multiplies their sizes, so there the inputs are measured instead.
-    Beyond the threshold the join shuffles, and the few hot keys are salted: their fact rows
-    spread over ``salts`` partitions, their keyed rows are repeated once per salt.
-    Fact rows without a key match nothing and are spread as well. ``hot_from`` may
-    name a cheaper DataFrame to count the keys on. ``residual`` sees both sides by
-    column name, so apart from the keys the names must differ.
+    A keyed side under the broadcast threshold is broadcast by Spark. Inside a ``unique`` side,
+    with one row per key, joins add columns but no rows; the optimizer multiplies their sizes, so there the
+    inputs are measured instead, with room for computed columns. Beyond the threshold the
+    join shuffles both sides once and the adaptive planner splits large partitions. A caller who knows that
+    ``on`` is skewed may say so: then the frequent keys are looked up first, their fact rows spread over ``salts``
+    partitions and their keyed rows repeated. ``residual`` sees both sides by column name, so apart from the keys
+    the names must differ.
     """
     on = list(on)
     limit = broadcast_limit(dim) if limit is None else limit
     if estimated_bytes(dim) <= limit:
         return _equi(facts, dim, on, how, residual)
-    if unique and input_bytes(dim) <= limit:
+    if unique and 4 * input_bytes(dim) <= limit:
         return _equi(facts, F.broadcast(dim), on, how, residual)
-
-    hot = hot_keys(facts if hot_from is None else hot_from, on, share, min_rows).withColumn("__hot", F.lit(True))
-    hot = F.broadcast(hot)  # at most 1/share rows
-    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
+    hot = hot_keys(facts, on) if skewed else []
+    if not hot:
+        return _equi(facts, dim, on, how, residual)
+    is_hot = F.coalesce(_key_hash(on).isin(hot), F.lit(False))
     # The row's own content and its partition: the same again when a task is retried.
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in facts.columns]), F.lit(salts))
-    flagged = facts.join(hot, on, "left").select(
-        *[F.col(c) for c in facts.columns],
-        F.when(F.col("__hot") | no_key, spread).otherwise(F.lit(0).cast("bigint")).alias("__salt"),
-    )
+    flagged = facts.withColumn("__salt", F.when(is_hot, spread).otherwise(F.lit(0).cast("bigint")))
     every = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
     none = F.array(F.lit(0).cast("bigint"))
-    repeated = (
-        dim.join(hot, on, "left")
-        .withColumn("__salt", F.explode(F.when(F.col("__hot"), every).otherwise(none)))
-        .drop("__hot")
-        .select(*dim.columns, "__salt")
-    )
+    repeated = dim.withColumn("__salt", F.explode(F.when(is_hot, every).otherwise(none)))
     return _equi(flagged, repeated, [*on, "__salt"], how, residual).drop("__salt")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.columns import percent
-from tidemark.functions.keyed import lookup_join
-from tidemark.sources.tables import observed_write, reduce_union, replace_partitions
+from tidemark.functions.keyed import first_per_key, lookup_join
+from tidemark.sources.stored import StoredTable
+from tidemark.sources.tables import observed_write, reduce_union
 
 LOAD_LOG = (
     "pipeline_name string, table_name string, execution_date timestamp_ntz, load_type string, "
@@ -72,7 +73,7 @@ def judge_staging(staged: DataFrame, rules: Mapping[str, str],
     judged = staged.filter(~F.col("is_processed")).withColumn("reject_reasons", failed_rules(rules))
     for column, (dim, dim_key) in references.items():
         known = dim.select(F.col(dim_key).alias(column)).distinct().withColumn("__known", F.lit(True))
-        judged = lookup_join(judged, known, [column], "left", hot_from=staged, unique=True)
+        judged = lookup_join(judged, known, [column], "left", unique=True)
         unknown = F.col(column).isNotNull() & F.col("__known").isNull()
         reasons = F.when(
             unknown, F.concat("reject_reasons", F.array(F.lit(f"unknown_{column}")))
@@ -87,22 +88,41 @@ def promote(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
     return accepted, judged.filter(F.size("reject_reasons") > 0)
 
 
-def write_promotion(judged: DataFrame, path: str, pipeline: str, table: str, execution_date: str) -> DataFrame:
-    """Write accepted and rejected rows below ``path/outcome=...`` and return the log row.
+def write_promotion(judged: DataFrame, path: str, keys: Sequence[str], batch: str, pipeline: str, table: str,
+                    execution_date: str) -> DataFrame:
+    """Store one batch of judged rows and return its log row.
 
-    The judged rows are computed, split and counted in a single pass.
+    Accepted rows are inserted unless another batch brought their key before, rejected
+    rows are kept with their reasons. Batches are folders of their own: other batches stay, and the same
+    batch again replaces itself. Of repeated keys within the batch one row is inserted.
     """
+    spark = judged.sparkSession
+    target = StoredTable(spark, path)
     good = F.size("reject_reasons") == 0
-    split = judged.withColumn("outcome", F.when(good, "accepted").otherwise("rejected"))
-    counts = observed_write(split, path, "overwrite", ("outcome",), loaded=F.count_if(F.col("outcome") == "accepted"))
-    extracted, loaded = counts["rows"], counts["loaded"]
-    return log_row(judged.sparkSession, pipeline, table, execution_date, "incremental", extracted, loaded,
-                   extracted - loaded)
+    accepted = first_per_key(judged.filter(good), keys, [])
+    others = [entry for entry in target.entries() if entry.part != batch]
+    if others:
+        known = target.read(lambda entry: entry.part != batch).filter("outcome = 'accepted'").select(*keys)
+        accepted = accepted.join(known, list(keys), "left_anti")
+    outcome = accepted.withColumn("outcome", F.lit("accepted")).unionByName(
+        judged.filter(~good).withColumn("outcome", F.lit("rejected")))
+    is_good = F.col("outcome") == "accepted"
+    counts = target.replace(outcome.withColumn("batch", F.lit(batch)), "batch", [batch], loaded=F.count_if(is_good),
+                            rejected=F.count_if(~is_good))
+    return log_row(spark, pipeline, table, execution_date, "incremental", counts["rows"], counts["loaded"], counts["rejected"])
 
 
-def mark_processed(staged: DataFrame) -> DataFrame:
-    """The staging table after promotion: every row of it has been judged."""
-    return staged.withColumn("is_processed", F.lit(True))
+def read_promoted(spark: SparkSession, path: str) -> DataFrame:
+    """All batches' rows with ``outcome`` and ``batch``."""
+    return StoredTable(spark, path).read()
+
+
+def mark_processed(staged: DataFrame, judged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The staging table after promotion: rows that were judged are marked, rows that came later are not."""
+    done = judged.select(*keys).distinct().withColumn("__judged", F.lit(True))
+    joined = staged.join(done, list(keys), "left")
+    marked = F.col("is_processed") | F.coalesce("__judged", F.lit(False))
+    return joined.withColumn("is_processed", marked).select(*staged.columns)
 
 
 def category_totals(df: DataFrame, category: str, valid: Column, amount: str) -> DataFrame:
@@ -116,8 +136,8 @@ def category_totals(df: DataFrame, category: str, valid: Column, amount: str) ->
 
 
 def load_categories(df: DataFrame, category: str, valid: Column, path: str) -> None:
-    """Write the valid rows into one folder per category."""
-    replace_partitions(df.filter(valid), path, category)
+    """Write the valid rows into one folder per category; categories without rows stay as they are."""
+    StoredTable(df.sparkSession, path).replace(df.filter(valid), category)
 
 
 def category_fan_in(totals: DataFrame, category: str) -> DataFrame:

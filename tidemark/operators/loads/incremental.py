@@ -10,7 +10,8 @@ from tidemark.functions.keyed import first_per_key, latest_per_key
 from tidemark.operators.loads.full import moment
 from tidemark.operators.quality.relations import duplicate_gate
 from tidemark.operators.quality.results import QualityError
-from tidemark.sources.tables import replace_partitions
+from tidemark.sources.stored import StoredTable
+from tidemark.sources.tables import reduce_union
 
 EPOCH = "1970-01-01 00:00:00"
 
@@ -108,27 +109,45 @@ def upsert_keeping(target: DataFrame, batch: DataFrame, key: str, replaced: Sequ
     return joined.select(*columns)
 
 
-def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
-                      order_by: Sequence[str], partition: str) -> list:
-    """Upsert into a Parquet table, rewriting only the partitions the batch falls into.
+def merged(table: StoredTable, keys: Sequence[str]) -> DataFrame:
+    """The rows of an incrementally loaded table: its base, replaced by what later batches brought."""
+    deltas = [entry for entry in table.entries() if entry.kind == "delta"]
+    base = table.read(lambda entry: entry.kind != "delta")
+    if not deltas:
+        return base
+    # Folder names sort by commit; a later batch wins whatever its change times are.
+    numbered = [
+        table.read(lambda entry, folder=delta.folder: entry.folder == folder).withColumn("__batch", F.lit(number))
+        for number, delta in enumerate(sorted(deltas, key=lambda entry: entry.folder))
+    ]
+    newest = latest_per_key(reduce_union(numbered), keys, ["__batch"]).drop("__batch")
+    return replace_rows(base, newest, keys)
 
-    The partition column must follow from the key, so that a key never changes folder.
-    Files go to a staging folder first and replace the partitions when all are written.
-    Returns the values of the rewritten partitions.
+
+def upsert_batch(table: StoredTable, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> None:
+    """Add a batch to the table; costs what the batch costs, since the folders before it stay as they are.
+
+    The batch is written, checked for duplicate keys, and only then becomes part of the table.
     """
-    newest = latest_per_key(batch, keys, order_by).persist()
-    # Partition values only, as many as the batch has folders to rewrite.
-    touched = [row[0] for row in newest.select(partition).distinct().collect()]
-    if touched:
-        stored = spark.read.parquet(path).filter(F.col(partition).isin(touched))
-        replace_partitions(replace_rows(stored, newest, keys), path, partition)
-    newest.unpersist()
-    return touched
+    staged = table.stage(latest_per_key(batch, keys, order_by), kind="delta")
+    gate = duplicate_gate(staged.read(), keys).first()
+    if not gate.passed:
+        raise QualityError(f"{gate.duplicate_keys} duplicate key(s) in {table.path}")
+    if staged.metrics["rows"]:
+        staged.publish()
+
+
+def compact(table: StoredTable, keys: Sequence[str], after: int = 0) -> bool:
+    """Fold the batches into the base once there are more than ``after`` of them."""
+    if sum(entry.kind == "delta" for entry in table.entries()) <= after:
+        return False
+    table.rewrite(merged(table, keys))
+    return True
 
 
 def run_incremental(spark: SparkSession, source: DataFrame, changed_at: str, target_path: str, marks_path: str,
-                    keys: Sequence[str], partition: str, pipeline: str, table: str, execution_date: str,
-                    buffer: str | None = None) -> int:
+                    keys: Sequence[str], pipeline: str, table: str, execution_date: str,
+                    buffer: str | None = None, compact_after: int = 8) -> int:
     """One incremental run: extract, upsert, check, and only then save the mark.
 
     A run that fails on the way leaves the old mark, so the next one repeats its rows,
@@ -138,14 +157,9 @@ def run_incremental(spark: SparkSession, source: DataFrame, changed_at: str, tar
     saved = last_watermark(spark.read.parquet(marks_path), pipeline, table).first().last_watermark
     low = F.lit(saved) if saved else moment(EPOCH)
     high = moment(execution_date)
-    batch = changed_between(source, changed_at, low, high, buffer)
-    touched = upsert_partitions(spark, target_path, batch, keys, [changed_at], partition)
-
-    # A key lives in one folder, so only the rewritten ones can have gained duplicates.
-    rewritten = spark.read.parquet(target_path).filter(F.col(partition).isin(touched))
-    gate = duplicate_gate(rewritten, keys).first()
-    if not gate.passed:
-        raise QualityError(f"{gate.duplicate_keys} duplicate key(s) in {table}")
+    target = StoredTable(spark, target_path)
+    upsert_batch(target, changed_between(source, changed_at, low, high, buffer), keys, [changed_at])
+    compact(target, keys, compact_after)
     changed = changed_between(source, changed_at, low, high)
     batch_found = changed.agg(F.count(F.lit(1)).alias("records"), F.max(changed_at).alias("newest")).first()
     mark = F.lit(batch_found.newest) if batch_found.records else new_watermark(source, changed_at, high).scalar()

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.columns import OPEN_END, record_hash
 from tidemark.functions.keyed import latest_per_key, lookup_join
 from tidemark.operators.loads.full import end_of_day
-from tidemark.sources.tables import replace_partitions
+from tidemark.sources.stored import StoredTable
 
 
 def _day(value: str) -> Column:
@@ -51,33 +52,59 @@ def detect_changes(staged: DataFrame, current: DataFrame, key: str, attributes:
     return changed.select(key, *attributes, "record_hash", is_new.alias("is_new"))
 
 
-def apply_changes(versions: DataFrame, staged: DataFrame, key: str, attributes: Sequence[str], day: str,
-                  compat: bool = False) -> DataFrame:
-    """The versions after the load for ``day``.
+def _paired(versions: DataFrame, staged: DataFrame, key: str, attributes: Sequence[str], day: str, compat: bool) -> DataFrame:
+    """(key, old, new): a key's versions in order and its staged row, if any, brought together by one aggregation.
 
-    ``versions`` may be the whole table or only its current rows; closed rows pass
-    through. A version that starts on ``day`` itself is replaced, since closing it would
-    end it before it began. One join serves detection, expiry and insert, and the input
-    is used once, so loads chained one after another stay linear. Only current versions
-    meet the staged rows, and both have one row per key.
+    A key has as many versions as loads that changed it, so its list stays short however many rows there are.
     """
     incoming = as_versions(staged, key, attributes, _day(day), compat)
     fields = [c for c in incoming.columns if c != key]
-    old = versions.select(F.col(key).alias("__old_key"), F.struct(*fields).alias("old"))
-    new = incoming.select(F.col(key).alias("__new_key"), F.struct(*fields).alias("new"))
-    pairs = old.join(new, (F.col("__old_key") == F.col("__new_key")) & F.col("old.is_current"), "full")
-    same = F.col("old.record_hash") == F.col("new.record_hash")
-    unchanged = F.col("new").isNull() | F.coalesce(same, F.lit(False))
-    replaced_today = F.col("old.valid_from") >= _day(day)
-    closing = {"valid_to": F.date_sub(_day(day), 1), "is_current": F.lit(False)}
-    closed = F.struct(*[closing.get(c, F.col(f"old.{c}")).alias(c) for c in fields])
-    rows = (
-        F.when(unchanged, F.array(F.col("old")))
-        .when(F.col("old").isNull() | replaced_today, F.array(F.col("new")))
-        .otherwise(F.array(closed, F.col("new")))
+    rows = versions.select(F.col(key), F.lit(False).alias("staged"), F.struct(*fields).alias("v")).unionByName(
+        incoming.select(F.col(key), F.lit(True).alias("staged"), F.struct(*fields).alias("v")))
+    listed = rows.groupBy(key).agg(
+        F.collect_list(F.when(~F.col("staged"), F.col("v"))).alias("old"), F.max_by("v", F.col("staged")).alias("last"),
+        F.bool_or("staged").alias("present"),
     )
-    key_value = F.coalesce("__old_key", "__new_key").alias(key)
-    return pairs.select(key_value, F.explode(rows).alias("v")).select(key, "v.*").select(*incoming.columns)
+    return listed.select(key, "old", F.when(F.col("present"), F.col("last")).alias("new"))
+
+
+def _applied(paired: DataFrame, day: str) -> DataFrame:
+    """``paired`` with what the load for ``day`` does: ``is_new``, ``is_changed`` and the versions ``after`` it."""
+    on = _day(day)
+    covers = F.get(F.filter("old", lambda v: on.between(v["valid_from"], v["valid_to"])), F.lit(0))
+    following = F.array_min(F.transform(F.filter("old", lambda v: v["valid_from"] > on), lambda v: v["valid_from"]))
+    rows = paired.withColumns({"covers": covers, "following": following})
+    same = F.col("covers").isNotNull() & (F.col("covers")["record_hash"] == F.col("new")["record_hash"])
+    rows = rows.withColumn("acts", F.col("new").isNotNull() & ~F.coalesce(same, F.lit(False)))
+    # Up to the end of the version it falls into, else to the day before the next one, else open.
+    ends = F.coalesce(F.col("covers")["valid_to"], F.date_sub("following", 1), _day(OPEN_END))
+    opened = F.col("new").withField("valid_to", ends).withField("is_current", ends == _day(OPEN_END))
+    replaced = lambda v: on.between(v["valid_from"], v["valid_to"]) & (v["valid_from"] == on)
+    closed = lambda v: F.when(
+        on.between(v["valid_from"], v["valid_to"]),
+        v.withField("valid_to", F.date_sub(on, 1)).withField("is_current", F.lit(False)),
+    ).otherwise(v)
+    changed = F.concat(F.transform(F.filter("old", lambda v: ~replaced(v)), closed), F.array(opened))
+    return rows.withColumns({
+        "is_new": F.col("acts") & (F.size("old") == 0), "is_changed": F.col("acts") & (F.size("old") > 0),
+        "after": F.when(F.col("acts"), changed).otherwise(F.col("old")),
+    })
+
+
+def apply_changes(versions: DataFrame, staged: DataFrame, key: str, attributes: Sequence[str], day: str,
+                  compat: bool = False) -> DataFrame:
+    """The versions after the load for ``day``.
+
+    ``versions`` may be the whole table or only its rows that end on ``day`` or later;
+    others pass through. A staged row that differs from the version its day falls into ends that
+    version the day before and takes over to its end, so a load for an earlier day goes
+    between the versions around it. A version that starts on the day itself is replaced, since closing it
+    would end it before it began. Both inputs are used once, so loads chained one after another stay linear.
+    """
+    applied = _applied(_paired(versions, staged, key, attributes, day, compat), day)
+    rows = applied.select(key, F.explode("after").alias("v")).select(key, "v.*")
+    order = [key, *attributes, "valid_from", "valid_to", "is_current", "record_hash", "surrogate_key"]
+    return rows.select(*order)
 
 
 def catch_up(source: DataFrame, key: str, changed_at: str, attributes: Sequence[str], days: Sequence[str],
@@ -111,24 +138,22 @@ def catch_up(source: DataFrame, key: str, changed_at: str, attributes: Sequence[
     )
 
 
-def processing_log(changes: DataFrame, versions: DataFrame, day: str, pipeline: str, table: str) -> DataFrame:
-    """New, changed, expired and total current records of one load."""
+def processing_log(versions: DataFrame, staged: DataFrame, key: str, attributes: Sequence[str], day: str, pipeline: str,
+                   table: str, compat: bool = False) -> DataFrame:
+    """New, changed, expired and total current records of the load for ``day``, in one pass over its inputs."""
+    applied = _applied(_paired(versions, staged, key, attributes, day, compat), day)
     before = F.date_sub(_day(day), 1)
-    found = changes.agg(
-        F.count_if("is_new").alias("new_records"), F.count_if(~F.col("is_new")).alias("changed_records")
+    counted = applied.agg(
+        F.count_if("is_new").alias("new_records"),
+        F.count_if("is_changed").alias("changed_records"),
+        F.coalesce(F.sum(F.size(F.filter("after", lambda v: v["valid_to"] == before))), F.lit(0)).alias("expired_records"),
+        F.coalesce(F.sum(F.size(F.filter("after", lambda v: v["is_current"]))), F.lit(0)).alias("total_current_records"),
     )
-    state = versions.agg(
-        F.count_if(F.col("valid_to") == before).alias("expired_records"),
-        F.count_if("is_current").alias("total_current_records"),
-    )
-    return found.select(
+    return counted.select(
         F.lit(pipeline).alias("pipeline_name"),
         F.lit(table).alias("table_name"),
         _day(day).alias("execution_date"),
-        "new_records",
-        "changed_records",
-        state.select("expired_records").scalar().alias("expired_records"),
-        state.select("total_current_records").scalar().alias("total_current_records"),
+        "new_records", "changed_records", "expired_records", "total_current_records",
         F.lit("success").alias("status"),
         F.localtimestamp().alias("created_at"),
     )
@@ -144,21 +169,24 @@ def run_load(spark: SparkSession, path: str, staged: DataFrame, key: str, attrib
              compat: bool = False) -> None:
     """Apply one day to a table stored by ``valid_to``.
 
-    Only two folders are rewritten: the open versions, and those that end the day
-    before. The latter keeps what an earlier load for the same day put there, so a
-    repeated load changes nothing.
+    Read and replaced are the folders that end the day before or later: for the newest day the open
+    versions and those the same day's load closed before, for an earlier day also what was closed since.
+    A repeated load changes nothing, and a load that fails leaves the table as it was.
     """
-    stored = spark.read.parquet(path)
-    closing = F.date_sub(_day(day), 1)
-    current = stored.filter(F.col("valid_to") == _day(OPEN_END))
-    closed_before = stored.filter(F.col("valid_to") == closing)
-    result = apply_changes(current, staged, key, attributes, day, compat)
-    write_versions(closed_before.select(*result.columns).unionByName(result), path)
+    table = StoredTable(spark, path)
+    before = str(date.fromisoformat(day) - timedelta(days=1))
+    touched = [entry.part for entry in table.entries() if entry.part >= before]
+    affected = table.read(lambda entry: entry.part in touched)
+    table.replace(apply_changes(affected, staged, key, attributes, day, compat), "valid_to", touched)
 
 
 def write_versions(versions: DataFrame, path: str) -> None:
-    """Store versions by ``valid_to``, replacing the folders present in ``versions``."""
-    replace_partitions(versions, path, "valid_to")
+    """Store versions by ``valid_to``, as the whole table."""
+    StoredTable(versions.sparkSession, path).rewrite(versions, "valid_to")
+
+
+def read_versions(spark: SparkSession, path: str) -> DataFrame:
+    return StoredTable(spark, path).read()
 
 
 def current_view(versions: DataFrame, key: str, count: int | None = None) -> DataFrame:
@@ -166,10 +194,9 @@ def current_view(versions: DataFrame, key: str, count: int | None = None) -> Dat
     return ordered if count is None else ordered.limit(count)
 
 
-def key_history(versions: DataFrame, key: str, value: Column | None = None) -> DataFrame:
-    """All versions of one key, newest first; by default of the smallest key."""
-    wanted = versions.agg(F.min(key).alias("k")).scalar() if value is None else value
-    return versions.filter(F.col(key) == wanted).orderBy(F.desc("valid_from"))
+def key_history(versions: DataFrame, key: str, value: Column) -> DataFrame:
+    """All versions of one key, newest first. The filter on the key reaches a stored or a computed table alike."""
+    return versions.filter(F.col(key) == value).orderBy(F.desc("valid_from"))
 
 
 def change_counts(versions: DataFrame, key: str) -> DataFrame:

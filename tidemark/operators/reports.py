@@ -12,11 +12,11 @@ from tidemark.sources.tables import reduce_union
 
 
 def enrich_sales(fact: DataFrame, customers: DataFrame, products: DataFrame, dates: DataFrame,
-                 hot_from: Mapping[str, DataFrame] | None = None) -> DataFrame:
+                 skewed: Sequence[str] = ()) -> DataFrame:
     """Facts with their dimension attributes; a fact lacking any dimension row is dropped.
 
-    ``hot_from`` may name, per key column, a table cheaper than ``fact`` to find its
-    frequent keys in. It decides how rows are spread, never which rows come out.
+    ``skewed`` names key columns known to be dominated by few keys. It decides how rows are spread, never which
+    rows come out.
     """
     calendar = dates.select(F.col("date_id").alias("sale_date_id"), "year", "month")
     sides = {
@@ -26,7 +26,7 @@ def enrich_sales(fact: DataFrame, customers: DataFrame, products: DataFrame, dat
     }
     enriched = fact
     for key, side in sides.items():
-        enriched = lookup_join(enriched, side, [key], hot_from=(hot_from or {}).get(key, fact), unique=True)
+        enriched = lookup_join(enriched, side, [key], unique=True, skewed=key in skewed)
     return enriched
 
 

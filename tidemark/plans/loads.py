@@ -11,6 +11,7 @@ from tidemark.plans.generators import ids
 from tidemark.plans.registry import plain, query
 from tidemark.session import workspace
 from tidemark.sources import generate, star
+from tidemark.sources.stored import StoredTable
 from tidemark.sources.tables import write_by_month
 
 PIPELINE, TABLE = "sales_load", "warehouse.fact_sales"
@@ -121,19 +122,17 @@ def load_late_buffer(spark, folder):
 
 @query("load_incremental_table", LATEST_LINES)
 def load_incremental_table(spark, folder):
-    """The stored form: a table of 16 key buckets, loaded by two runs behind a saved mark."""
-    source = line_source(spark, folder).withColumn("bucket", F.pmod(F.col("order_id"), F.lit(16)).cast("int"))
+    """The stored form: a base and two runs behind a saved mark."""
+    source = line_source(spark, folder)
     path = workspace(spark, "incremental")
     target, marks = f"{path}/fact_sales", f"{path}/watermarks"
     first = source.filter(F.col("last_modified") <= full.moment("1996-01-01 00:00:00"))
-    initial = incremental.latest_per_key(first, LINE_KEYS, ["last_modified"])
-    incremental.replace_partitions(initial, target, "bucket")
+    StoredTable(spark, target).rewrite(incremental.latest_per_key(first, LINE_KEYS, ["last_modified"]))
     start = full.moment("1996-01-01 00:00:00")
     incremental.watermark_row(spark, PIPELINE, TABLE, start, start, F.lit(0)).write.parquet(marks)
     for moment in (LOW, HIGH):
-        incremental.run_incremental(spark, source, "last_modified", target, marks, LINE_KEYS, "bucket", PIPELINE,
-                                    TABLE, moment)
-    return spark.read.parquet(target).drop("bucket")
+        incremental.run_incremental(spark, source, "last_modified", target, marks, LINE_KEYS, PIPELINE, TABLE, moment)
+    return incremental.merged(StoredTable(spark, target), LINE_KEYS)
 
 
 @query("scd1_upsert", """
@@ -217,8 +216,9 @@ def reject_staging(spark, folder):
 def promotion_log(spark, folder):
     """Both outcomes as stored by one pass, next to the counts of the load log."""
     path = workspace(spark, "promotion")
-    log = full.write_promotion(judged_sales(spark, folder), path, PIPELINE, TABLE, "2024-10-15 00:00:00").first()
-    stored = spark.read.parquet(path).groupBy("outcome").agg(
+    log = full.write_promotion(judged_sales(spark, folder), path, ["transaction_id"], "b1", PIPELINE, TABLE,
+                               "2024-10-15 00:00:00").first()
+    stored = full.read_promoted(spark, path).groupBy("outcome").agg(
         F.count(F.lit(1)).alias("stored"), F.sum("total_amount").cast("double").alias("amount"))
     return stored.select(
         "outcome", "stored", "amount", F.lit(log.records_loaded).cast("bigint").alias("records_loaded"),
@@ -226,6 +226,25 @@ def promotion_log(spark, folder):
     )
 
 
+@query("promote_batches", f"""
+    SELECT transaction_id, outcome, CASE WHEN outcome = 'rejected' OR i % 2 = 0 THEN 'even' ELSE 'odd' END AS batch, total_amount
+    FROM (SELECT transaction_id, CAST(substr(transaction_id, 5) AS BIGINT) AS i, total_amount,
+                 CASE WHEN reasons = '' THEN 'accepted' ELSE 'rejected' END AS outcome FROM ({JUDGED}))
+    UNION ALL
+    SELECT transaction_id, 'rejected', 'odd', total_amount FROM ({JUDGED}) WHERE reasons <> ''""")
+def promote_batches(spark, folder):
+    """Two batches, the first delivered twice; the second repeats all rejected rows and a third of the first."""
+    path = workspace(spark, "promotion_batches")
+    judged = judged_sales(spark, folder)
+    number = F.substring("transaction_id", 5, 20).cast("bigint")
+    rejected = F.size("reject_reasons") > 0
+    batches = {"even": (number % 2 == 0) | rejected, "odd": (number % 2 == 1) | (number % 3 == 0) | rejected}
+    for batch in ("even", "odd", "even"):
+        full.write_promotion(judged.filter(batches[batch]), path, ["transaction_id"], batch, PIPELINE, TABLE,
+                             "2024-10-15 00:00:00")
+    return plain(full.read_promoted(spark, path).select("transaction_id", "outcome", "batch", "total_amount"))
+
+
 def sold_lines(spark, folder):
     lines = star.table(spark, folder, "lineitem").select(
         F.col("l_partkey").alias("product_id"), "l_returnflag", F.col("l_extendedprice").cast("decimal(12,2)").alias("amount")
@@ -240,7 +259,7 @@ def sold_lines(spark, folder):
 def category_load(spark, folder):
     path = workspace(spark, "categories")
     full.load_categories(sold_lines(spark, folder), "category", F.col("l_returnflag") != "R", path)
-    stored = spark.read.parquet(path).groupBy("category")
+    stored = StoredTable(spark, path).read().groupBy("category")
     return plain(stored.agg(F.count(F.lit(1)).alias("loaded"), F.sum("amount").alias("amount")))
 
 
@@ -271,5 +290,5 @@ def partitioned_write(spark, folder):
     write_by_month(orders, path, "o_orderdate")
     write_by_month(orders.filter(F.year("o_orderdate") >= 1999), path, "o_orderdate")
     amount = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("amount")
-    stored = spark.read.parquet(path).groupBy("year", "month").agg(F.count(F.lit(1)).alias("orders_stored"), amount)
+    stored = StoredTable(spark, path).read().groupBy("year", "month").agg(F.count(F.lit(1)).alias("orders_stored"), amount)
     return plain(stored)

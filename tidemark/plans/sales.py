@@ -24,11 +24,9 @@ REVENUE = "CAST(SUM(total_amount) AS DOUBLE)"
 
 
 def enriched(spark, folder):
-    lines, orders = star.sale_lines(spark, folder), star.sale_orders(spark, folder)
     return reports.enrich_sales(
         star.fact_sales(spark, folder), star.dim_customer(spark, folder), star.dim_product(spark, folder),
         star.dim_date(spark, folder),
-        hot_from={"customer_id": orders, "product_id": lines, "sale_date_id": orders},
     )
 
 

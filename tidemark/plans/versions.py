@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import record_hash
 from tidemark.functions.keyed import lookup_join
-from tidemark.operators.loads import scd2
+from tidemark.operators.loads import full, scd2
 from tidemark.operators.quality import relations
 from tidemark.plans.registry import plain, query
 from tidemark.session import workspace
@@ -51,8 +51,9 @@ def history(spark, folder, days=DAYS):
 
 
 MARKED = ", ".join(f"CASE WHEN {c} IS NULL THEN 'N' ELSE 'V' || {c} END" for c in ATTRIBUTES)
+DAY_LIST = ", ".join(f"DATE '{d}'" for d in DAYS)
 VERSIONS = f"""
-    WITH days AS (SELECT unnest([{', '.join(f"DATE '{d}'" for d in DAYS)}]) AS ds),
+    WITH days AS (SELECT unnest([{DAY_LIST}]) AS ds),
     snaps AS (
         SELECT ds, o_custkey AS customer_id, o_orderpriority AS segment FROM (
             SELECT *, row_number() OVER (PARTITION BY ds, o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
@@ -89,7 +90,43 @@ def scd2_table(spark, folder):
     scd2.write_versions(loaded(spark, folder, DAYS[:1]), path)
     for day in (*DAYS[1:], DAYS[-1]):
         scd2.run_load(spark, path, staged(spark, folder, day), KEY, ATTRIBUTES, day)
-    return plain(spark.read.parquet(path).select(*SHOWN))
+    return plain(scd2.read_versions(spark, path).select(*SHOWN))
+
+
+LATE = DAYS[2]
+IN_ORDER = VERSIONS.replace(DAY_LIST, ", ".join(f"DATE '{d}'" for d in DAYS if d != LATE))
+
+
+@query("scd2_backdated", f"""{IN_ORDER}, late AS (
+        SELECT o_custkey AS customer_id, o_orderpriority AS segment FROM (
+            SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+            FROM orders WHERE o_orderdate <= DATE '{LATE}' + 1) WHERE rn = 1),
+    around AS (
+        SELECT l.customer_id, l.segment, v.segment AS covering, v.valid_to AS covered_to,
+               (SELECT min(n.valid_from) FROM versions n WHERE n.customer_id = l.customer_id AND n.valid_from > DATE '{LATE}') AS following
+        FROM late l LEFT JOIN versions v ON v.customer_id = l.customer_id AND DATE '{LATE}' BETWEEN v.valid_from AND v.valid_to),
+    acting AS (SELECT * FROM around WHERE covering IS NULL OR covering <> segment),
+    opened AS (
+        SELECT customer_id, c_name AS customer_key, c_name AS customer_name,
+               lower(replace(c_name, '#', '.')) || '@example.com' AS email, n_name AS country, segment,
+               DATE '{LATE}' AS valid_from, coalesce(covered_to, following - 1, DATE '9999-12-31') AS valid_to
+        FROM acting JOIN customer ON customer_id = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+    result AS (
+        SELECT * REPLACE (
+            CASE WHEN acts THEN DATE '{LATE}' - 1 ELSE valid_to END AS valid_to, is_current AND NOT acts AS is_current)
+        FROM (SELECT *, DATE '{LATE}' BETWEEN valid_from AND valid_to
+                        AND customer_id IN (SELECT customer_id FROM acting) AS acts FROM versions)
+        UNION ALL
+        SELECT customer_id, customer_key, customer_name, email, country, segment, valid_from, valid_to,
+               valid_to = DATE '9999-12-31', md5(concat_ws(chr(31), {MARKED})), false FROM opened)
+    SELECT {SHOWN_SQL.replace("strftime(valid", "strftime(result.valid")} FROM result""")
+def scd2_backdated(spark, folder):
+    """Loads out of order: the day before the last comes last, and twice."""
+    path = workspace(spark, "dim_customer_backdated")
+    scd2.write_versions(loaded(spark, folder, DAYS[:1]), path)
+    for day in (DAYS[1], DAYS[3], LATE, LATE):
+        scd2.run_load(spark, path, staged(spark, folder, day), KEY, ATTRIBUTES, day)
+    return plain(scd2.read_versions(spark, path).select(*SHOWN))
 
 
 @query("scd2_seed", f"""
@@ -134,9 +171,7 @@ def scd2_changes(spark, folder):
            'success' AS status""")
 def scd2_stats(spark, folder):
     before, incoming = loaded(spark, folder, DAYS[:2]), staged(spark, folder, DAYS[2])
-    changes = scd2.detect_changes(incoming, before.filter("is_current"), KEY, ATTRIBUTES)
-    after = scd2.apply_changes(before, incoming, KEY, ATTRIBUTES, DAYS[2])
-    log = scd2.processing_log(changes, after, DAYS[2], "customer_versions", "warehouse.dim_customer")
+    log = scd2.processing_log(before, incoming, KEY, ATTRIBUTES, DAYS[2], "customer_versions", "warehouse.dim_customer")
     return plain(scd2.latest_log(log, "customer_versions", DAYS[2]).drop("created_at"))
 
 
@@ -195,7 +230,9 @@ def scd2_current(spark, folder):
 @query("scd2_history", f"""{VERSIONS} SELECT {SHOWN_SQL} FROM versions
     WHERE customer_id = (SELECT MIN(customer_id) FROM versions) ORDER BY versions.valid_from DESC""")
 def scd2_history(spark, folder):
-    return plain(scd2.key_history(history(spark, folder).select(*SHOWN), KEY))
+    smallest = star.customer_snapshots(spark, folder).filter(
+        F.col("extract_timestamp") <= full.end_of_day(DAYS[-1])).agg(F.min(KEY).alias("k")).scalar()
+    return plain(scd2.key_history(history(spark, folder).select(*SHOWN), KEY, smallest))
 
 
 @query("scd2_change_count", f"{VERSIONS} SELECT customer_id, COUNT(*) - 1 AS num_changes FROM versions GROUP BY customer_id")

@@ -70,7 +70,7 @@ def sale_orders(spark: SparkSession, folder: str) -> DataFrame:
 def fact_sales(spark: SparkSession, folder: str) -> DataFrame:
     """One row per line item with its customer, product and date keys."""
     lines, orders = sale_lines(spark, folder), sale_orders(spark, folder)
-    sold = lookup_join(lines, orders, ["order_id"], hot_from=lines)
+    sold = lookup_join(lines, orders, ["order_id"])
     return sold.withColumn(
         "transaction_id",
         F.concat_ws("-", F.lit("TXN"), F.col("order_id").cast("string"), F.col("line_number").cast("string")),

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import ParseException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-TABLE_NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
+from tidemark.sources.stored import StoredTable
 
-
-def valid_table_name(name: str) -> str:
-    if not name or not TABLE_NAME.match(name):
+def valid_table_name(spark: SparkSession, name: str) -> str:
+    """A name of one or two parts, as Spark's own parser reads it."""
+    try:
+        parts = list(spark._jsparkSession.sessionState().sqlParser().parseMultipartIdentifier(name).mkString(".").split("."))
+    except ParseException as error:
+        raise ValueError(f"not a table name: {name!r}") from error
+    if len(parts) > 2 or "`" in name:
         raise ValueError(f"not a table name: {name!r}")
     return name
 
@@ -36,7 +40,7 @@ def read_jdbc(
         spark.read.format("jdbc")
         .options(**(properties or {}))
         .option("url", url)
-        .option("dbtable", valid_table_name(table))
+        .option("dbtable", valid_table_name(spark, table))
         .option("partitionColumn", column)
         .option("lowerBound", lower)
         .option("upperBound", upper)
@@ -54,7 +58,7 @@ def append_jdbc(
         df.write.format("jdbc")
         .options(**(properties or {}))
         .option("url", url)
-        .option("dbtable", valid_table_name(table))
+        .option("dbtable", valid_table_name(df.sparkSession, table))
         .option("batchsize", batch_size)
         .mode("append")
         .save()
@@ -82,24 +86,10 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
 
 
-def replace_partitions(df: DataFrame, path: str, *partitions: str) -> None:
-    """Write below partition folders, replacing only the folders ``df`` has rows for.
-
-    Rows are rebalanced by folder first: small folders get one file instead of one per
-    task, and a folder with a third of all rows is split over many tasks.
-    """
-    (
-        df.hint("rebalance", *partitions)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
-
-
 def write_by_month(df: DataFrame, path: str, day: str) -> None:
-    """Write below year=/month= folders taken from a date column."""
-    replace_partitions(df.withColumn("year", F.year(day)).withColumn("month", F.month(day)), path, "year", "month")
+    """Replace the months ``df`` has rows for in a stored table partitioned by month; other months keep their files."""
+    dated = df.withColumns({"year": F.year(day), "month": F.month(day), "year_month": F.date_format(day, "yyyy-MM")})
+    StoredTable(df.sparkSession, path).replace(dated, "year_month")
 
 
 def run_query(spark: SparkSession, sql: str, tables: Mapping[str, DataFrame], **parameters) -> DataFrame:
