@@ -34,12 +34,28 @@ def test_metadata(spark, folder):
     assert (found["README.TXT"].file_format, found["README.TXT"].route) == (".txt", "handle_unsupported_format")
 
 
-def test_large_files_are_not_loaded(spark, folder):
-    found = landing.file_metadata(spark, str(folder), hash_limit=20)
-    assert {r.filename: r.file_hash is None for r in found.collect()} == {
-        "sales_data_1.csv": True, "sales_data_2.json": True, "README.TXT": False,
-    }
-    assert landing.unseen_files(found, spark.createDataFrame([], "content_id string")).count() == 3
+def test_large_files_have_the_same_hash(spark, folder, monkeypatch):
+    monkeypatch.setattr(landing, "PIECE_BYTES", 7)
+    (folder / "a b+c").mkdir()
+    (folder / "a b+c" / "again.csv").write_bytes((folder / "sales_data_1.csv").read_bytes())
+    whole = landing.file_metadata(spark, str(folder))
+    pieces = landing.file_metadata(spark, str(folder), whole=20)
+    assert rows(whole, "filepath", "file_hash") == rows(pieces, "filepath", "file_hash")
+    # The same content under another name is known, whatever its size.
+    ledger = whole.filter("filename = 'sales_data_1.csv'").select(landing.content_id(whole).alias("content_id"))
+    assert rows(landing.unseen_files(pieces, ledger), "filename") == [("README.TXT",), ("sales_data_2.json",)]
+
+
+def test_paths_agree_between_readers(spark, folder):
+    (folder / "a b+c%d").mkdir()
+    (folder / "a b+c%d" / "x é.csv").write_bytes((folder / "sales_data_1.csv").read_bytes())
+    found = {r.filepath for r in landing.file_metadata(spark, str(folder)).collect()}
+    assert {r.filepath for r in landing.line_estimates(spark, str(folder)).collect()} == found
+    read = landing.read_landing(spark, str(folder), landing.landing_schema(), "csv")
+    assert {r.filepath for r in read.collect()} == {p for p in found if p.endswith(".csv")}
+    results = {r.filepath: r for r in landing.processing_results(spark, str(folder), landing.landing_schema()).collect()}
+    assert results.keys() == {p for p in found if not p.endswith(".TXT")}
+    assert all(r.file_hash and r.chunks == 1 and r.records_processed in (1, 3) for r in results.values())
 
 
 def test_routes(spark):

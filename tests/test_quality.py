@@ -74,7 +74,7 @@ def test_exact_count_without_tolerance(spark):
     assert one(spark.range(10), check).passed
     row = one(spark.range(9), check)
     assert not row.passed
-    assert row.message == "Row count 9 below minimum 10"
+    assert row.message == "9 rows, at least 10 wanted"
 
 
 def test_partition_and_filter(sales):
@@ -94,6 +94,10 @@ def test_change_against_previous_run(spark):
     row = one(spark.range(1200), check, history=before)
     assert details(row)["percent_change"] == 20.0
     assert not row.passed
+    # A check of other rows of the table is another check.
+    other = Completeness(table="t", where="id < 10")
+    mixed = before.unionByName(run_checks(spark.range(1000), [other], "2024-05-31 18:00:00"))
+    assert details(one(spark.range(1200), check, history=mixed))["percent_change"] == 20.0
     # The very first run has nothing to compare with.
     assert one(spark.range(1200), check, history=before.limit(0)).passed
 
@@ -119,7 +123,7 @@ def test_freshness_without_data_fails(spark):
     assert not row.passed
     assert row.value == 0.0
     assert details(row)["no_data"] is True
-    assert row.message == "No data found in t"
+    assert row.message == "no timestamp in t"
 
 
 def test_future_data_is_flagged(spark):
@@ -132,7 +136,7 @@ def test_future_data_is_flagged(spark):
 def test_uniqueness_counts_surplus_rows(sales):
     row = one(sales, Uniqueness(table="s", columns=["transaction_id"]))
     assert (row.rows_checked, row.rows_failed, row.failure_rate) == (4, 1, 25.0)
-    assert row.message == "Found 1 duplicate(s) (25.00%) exceeds maximum 0.0%"
+    assert row.message == "1 surplus row(s), 25.00% of all, limit 0.0%"
     assert one(sales, Uniqueness(table="s", columns=["transaction_id"], max_duplicate_percentage=25.0)).passed
 
 
@@ -215,7 +219,8 @@ def test_schema(sales):
     assert not one(sales, Schema(table="s", columns=swapped, check_column_order=True)).passed
     assert one(sales, Schema(table="s", columns=swapped)).passed
     wrong = [{**columns[0], "type": "text"}, *columns[1:]]
-    assert details(one(sales, Schema(table="s", columns=wrong)))["type_mismatches"] == ["sale_id"]
+    assert details(one(sales, Schema(table="s", columns=wrong)))["type_mismatches"] == [
+        {"column": "sale_id", "expected": "VARCHAR", "actual": "INTEGER"}]
     assert one(sales, Schema(table="s", columns=wrong, check_types=False)).passed
     strict = [{**c, "nullable": False} for c in columns]
     row = one(sales, Schema(table="s", columns=strict, check_nullability=True))
@@ -226,7 +231,8 @@ def test_schema_of_landed_text(spark):
     df = spark.createDataFrame([("1", "2024-01-01"), ("x", "2024-02-30"), (None, None)], "n string, d string")
     columns = [{"name": "n", "type": "integer"}, {"name": "d", "type": "date"}]
     row = one(df, Schema(table="t", columns=columns, castable=True))
-    assert details(row)["type_mismatches"] == ["n", "d"]
+    assert details(row)["type_mismatches"] == [
+        {"column": "n", "expected": "INTEGER", "actual": "VARCHAR"}, {"column": "d", "expected": "DATE", "actual": "VARCHAR"}]
     assert one(df.filter("n = '1'"), Schema(table="t", columns=columns, castable=True)).passed
 
 
@@ -281,9 +287,9 @@ def test_report_alerts_and_gate(sales):
 def test_results_can_be_stored_and_read_back(spark, sales, tmp_path):
     path = str(tmp_path / "results")
     for day in ("2024-06-01", "2024-06-02"):
-        reporting.append_results(
-            run_checks(sales, [Completeness(table="s", min_count=1)], f"{day} 00:00:00"), path)
-    stored = spark.read.parquet(path)
+        for _ in range(2):  # a repeated run replaces itself
+            reporting.store_results(run_checks(sales, [Completeness(table="s", min_count=1)], f"{day} 00:00:00"), path, day)
+    stored = reporting.read_results(spark, path)
     assert stored.count() == 2
     newest = reporting.latest_results(stored, 1).first()
     assert str(newest.created_at) == "2024-06-02 00:00:00"
@@ -293,8 +299,8 @@ def test_failures_are_stored_before_they_raise(spark, sales, tmp_path):
     path = str(tmp_path / "recorded")
     found = run_checks(sales, [Uniqueness(table="s", severity="CRITICAL", columns=["transaction_id"])], NOW)
     with pytest.raises(results.QualityError):
-        reporting.record(found, path)
-    assert not spark.read.parquet(path).first().passed
+        reporting.record(found, path, "r1")
+    assert not reporting.read_results(spark, path).first().passed
 
 
 def test_suite_names_and_units():
@@ -365,3 +371,30 @@ def test_gate_opens_and_closes(spark):
 def test_date_gaps(spark):
     df = spark.sql("SELECT explode(array(DATE'2024-01-01', DATE'2024-01-04', DATE'2024-01-04')) AS d")
     assert [str(r[0]) for r in rows(relations.date_gaps(df, "d"))] == ["2024-01-02", "2024-01-03"]
+
+
+def test_schema_knows_spark_and_database_names(spark):
+    df = spark.sql("SELECT 1 AS i, 'a' AS s, 1.50BD AS d, 2.5D AS f, TIMESTAMP_NTZ'2024-01-01' AS t")
+    for names in (("int", "string", "decimal(10,2)", "double", "timestamp_ntz"),
+                  ("integer", "character varying(20)", "numeric(10,2)", "double precision", "timestamp without time zone")):
+        columns = [{"name": c, "type": n} for c, n in zip(df.columns, names, strict=True)]
+        assert one(df, Schema(table="t", columns=columns)).passed, names
+
+
+def test_pooled_rate_has_its_own_limit(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, CAST(null AS INT)), (2, 3) AS t(b, a)")
+    pooled = NullRate(table="t", columns=["a", "b"], max_null_percentage=1.0, limits={"a": 50.0}, pooled=True)
+    assert not one(df, pooled).passed
+
+
+def test_enforce_names_every_failure(sales):
+    failing = [Completeness(table=f"t{n}", min_count=10**9) for n in range(25)]
+    with pytest.raises(results.QualityError) as raised:
+        results.enforce(run_checks(sales, failing, NOW))
+    assert str(raised.value).count("ERROR") == 25
+
+
+def test_all_files_of_a_suite_folder_are_read(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.json").write_text(json.dumps([{"expectation_type": f"expect_{name}", "kwargs": {}}]))
+    assert [e["expectation_type"] for e in suites.read_expectations(spark, str(tmp_path))] == ["expect_a", "expect_b"]

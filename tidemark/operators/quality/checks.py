@@ -39,10 +39,14 @@ class Check:
     def __post_init__(self) -> None:
         check_settings(self.table, self.severity, self.threshold)
 
-    def scope(self) -> tuple[str, ...]:
-        """The row filters of this check; equal scopes share a scan."""
+    def scope(self) -> tuple[str | tuple[str, object], ...]:
+        """The row filters of this check, each a predicate or a (column, value) pair; equal scopes share a scan."""
         return (self.where,) if self.where else ()
 
+    def identity(self) -> str:
+        """What tells this check from others of its kind on the table: its rows and columns, not its limits."""
+        return json.dumps([self.kind, [str(part) for part in self.scope()], list(getattr(self, "columns_named", lambda: ())())])
+
     def metrics(self, df: DataFrame) -> dict[str, Column]:
         raise NotImplementedError
 
@@ -112,29 +116,31 @@ class Schema(Check):
             if self.check_types and "type" in column:
                 actual = type_family(df.schema[name].dataType)
                 target = self._cast_target(df, column)
+                detail = F.struct(F.lit(name).alias("column"), F.lit(named_family(column["type"])).alias("expected"), F.lit(actual).alias("actual"))
                 if target:
-                    mismatches.append(F.when(m(f"cast{position}") > 0, F.lit(name)))
+                    mismatches.append(F.when(m(f"cast{position}") > 0, detail))
                 elif actual != named_family(column["type"]):
-                    mismatches.append(F.lit(name))
+                    mismatches.append(detail)
             if self.check_nullability and not column.get("nullable", True):
                 nulls.append(F.when(m(f"null{position}") > 0, F.lit(name)))
 
-        def names(columns: list[Column]) -> Column:
-            return F.array_compact(F.array(*columns)) if columns else F.array().cast("array<string>")
+        def listed(found: list[Column], kind: str) -> Column:
+            return F.array_compact(F.array(*found)) if found else F.array().cast(f"array<{kind}>")
 
-        bad_types, bad_nulls = names(mismatches), names(nulls)
+        bad_types = listed(mismatches, "struct<column:string,expected:string,actual:string>")
+        bad_nulls = listed(nulls, "string")
         fixed = not missing and not extra and not misplaced
         passed = F.lit(fixed) & (F.size(bad_types) == 0) & (F.size(bad_nulls) == 0)
         parts = []
         if missing:
-            parts.append(F.lit("Missing columns: " + ", ".join(missing)))
+            parts.append(F.lit("columns not found: " + ", ".join(missing)))
         if extra:
-            parts.append(F.lit("Extra columns: " + ", ".join(extra)))
+            parts.append(F.lit("unexpected columns: " + ", ".join(extra)))
         if misplaced:
-            parts.append(F.lit("Columns out of order"))
-        parts.append(F.when(F.size(bad_types) > 0, F.format_string("%d type mismatch(es)", F.size(bad_types))))
+            parts.append(F.lit("column order differs"))
+        parts.append(F.when(F.size(bad_types) > 0, F.format_string("type differs in %d column(s)", F.size(bad_types))))
         parts.append(
-            F.when(F.size(bad_nulls) > 0, F.format_string("%d nullability mismatch(es)", F.size(bad_nulls)))
+            F.when(F.size(bad_nulls) > 0, F.format_string("NULLs in %d required column(s)", F.size(bad_nulls)))
         )
         return Verdict(
             passed=passed,
@@ -175,8 +181,7 @@ class Completeness(Check):
     def scope(self):
         parts = list(super().scope())
         if self.partition_column and self.partition_value is not None:
-            value = str(self.partition_value).replace("\\", "\\\\").replace("'", "\\'")
-            parts.append(f"`{self.partition_column}` = '{value}'")
+            parts.append((self.partition_column, self.partition_value))
         return tuple(parts)
 
     def bounds(self) -> tuple[int | None, int | None]:
@@ -192,12 +197,13 @@ class Completeness(Check):
         return {"rows": F.count(F.lit(1))}
 
     def previous_count(self, history: DataFrame, as_of: Column) -> Column:
-        """The row count of this table's latest earlier completeness result."""
+        """The row count of the latest earlier result of the same check: same table, filter and partition."""
         earlier = history.filter(
-            (F.col("table_name") == self.table) & (F.col("check_type") == self.kind)
+            (F.col("table_name") == self.table) & (F.col("check_id") == self.identity())
             & (F.col("execution_date") < as_of)
         )
-        return earlier.agg(F.max_by("rows_checked", "execution_date").alias("rows")).scalar()
+        order = F.struct("execution_date", "created_at", "rows_checked")
+        return earlier.agg(F.max_by("rows_checked", order).alias("rows")).scalar()
 
     def verdict(self, m, df, as_of, history):
         rows = m("rows")
@@ -227,9 +233,9 @@ class Completeness(Check):
         else:
             value = _score(passed)
         messages = [
-            F.when(~enough, F.format_string("Row count %d below minimum %d", rows, F.lit(low or 0))),
-            F.when(~few, F.format_string("Row count %d above maximum %d", rows, F.lit(high or 0))),
-            F.when(drifted, F.format_string("Row count %d differs too much from the previous run", rows)),
+            F.when(~enough, F.format_string("%d rows, at least %d wanted", rows, F.lit(low or 0))),
+            F.when(~few, F.format_string("%d rows, at most %d wanted", rows, F.lit(high or 0))),
+            F.when(drifted, F.format_string("%d rows, too far from the run before", rows)),
         ]
         return Verdict(passed, value, rows, F.lit(0), F.concat_ws("; ", *messages), metadata)
 
@@ -250,6 +256,9 @@ class Freshness(Check):
         if not self.columns:
             raise ValueError("a timestamp column is required")
 
+    def columns_named(self):
+        return self.columns
+
     def limit(self) -> float | None:
         if self.max_age_hours is None and self.max_age_minutes is not None:
             return self.max_age_minutes / 60.0
@@ -283,8 +292,8 @@ class Freshness(Check):
         if self.sla_hours is not None:
             metadata["sla_compliant"] = age <= self.sla_hours
             metadata["sla_hours"] = F.lit(float(self.sla_hours))
-        stale = F.format_string("Data is stale: age %.1f hours exceeds maximum %s hours", age, F.lit(f"{limit}"))
-        message = F.when(newest.isNull(), F.lit(f"No data found in {self.table}")).otherwise(stale)
+        stale = F.format_string("newest row is %.1f hours old, limit %s", age, F.lit(f"{limit}"))
+        message = F.when(newest.isNull(), F.lit(f"no timestamp in {self.table}")).otherwise(stale)
         value = F.when(newest.isNull(), F.lit(0.0)).otherwise(value)
         return Verdict(passed, value, m("rows"), F.lit(0), message, metadata)
 
@@ -294,7 +303,7 @@ class NullRate(Check):
     """Share of NULLs in one or more columns, all counted in the same pass.
 
     ``limits`` may set a percentage per column; the others use ``max_null_percentage``.
-    ``pooled`` judges the rate over all cells instead of each column.
+    ``pooled`` judges the rate over all cells by ``max_null_percentage`` instead of each column.
     """
 
     columns: Sequence[str]
@@ -310,6 +319,9 @@ class NullRate(Check):
         if not self.columns:
             raise ValueError("at least one column is required")
 
+    def columns_named(self):
+        return self.columns
+
     def limit(self, column: str) -> float:
         if self.expect_not_null:
             return 0.0
@@ -327,7 +339,8 @@ class NullRate(Check):
         cells = rows * len(counts)
         total = reduce(lambda a, b: a + b, counts)
         if self.pooled:
-            over = [F.when(percent(total, cells) > self.limit(self.columns[0]), F.lit("all columns"))]
+            limit = 0.0 if self.expect_not_null else float(self.max_null_percentage)
+            over = [F.when(percent(total, cells) > limit, F.lit("all columns"))]
         else:
             over = [
                 F.when(rate > self.limit(c), F.lit(c)) for c, rate in zip(self.columns, rates, strict=True)
@@ -336,9 +349,9 @@ class NullRate(Check):
         empty = rows == 0
         passed = F.when(empty, F.lit(not self.expect_not_null)).otherwise(F.size(failed) == 0)
         average = reduce(lambda a, b: a + b, [1.0 - r / 100.0 for r in rates]) / len(rates)
-        message = F.when(empty, F.lit(f"Table {self.table} is empty")).otherwise(
+        message = F.when(empty, F.lit(f"{self.table} has no rows")).otherwise(
             F.format_string(
-                "%d column(s) exceed NULL rate threshold: %s", F.size(failed), F.concat_ws(", ", failed)
+                "too many NULLs in %d column(s): %s", F.size(failed), F.concat_ws(", ", failed)
             )
         )
         by_name = [F.round(r, 2).alias(c) for c, r in zip(self.columns, rates, strict=True)]
@@ -415,6 +428,9 @@ class Uniqueness(Check):
             if not column.replace("_", "a").isalnum() or column[0].isdigit():
                 raise ValueError(f"not a column name: {column!r}")
 
+    def columns_named(self):
+        return self.columns
+
     def key(self, column: str) -> Column:
         key = F.col(column)
         if self.trim_whitespace:
@@ -448,7 +464,7 @@ class Uniqueness(Check):
         rows, surplus = m("rows"), m("surplus")
         rate = percent(surplus, rows)
         message = F.format_string(
-            "Found %d duplicate(s) (%.2f%%) exceeds maximum %s%%",
+            "%d surplus row(s), %.2f%% of all, limit %s%%",
             surplus, rate, F.lit(f"{self.max_duplicate_percentage}"),
         )
         return Verdict(
@@ -465,12 +481,16 @@ class Uniqueness(Check):
             },
         )
 
-    def duplicates(self, df: DataFrame, limit: int = 100) -> DataFrame:
+    def duplicates(self, df: DataFrame, limit: int = 100) -> DataFrame:  # a top-k report
         """The most repeated keys, in their normalised form."""
         repeated = self.per_key(df).filter("n > 1").withColumnRenamed("n", "count")
         return repeated.orderBy(F.desc("count"), *self.columns).limit(limit)
 
 
+def _condition(part: str | tuple[str, object]) -> Column:
+    return F.expr(part) if isinstance(part, str) else F.col(part[0]) == F.lit(part[1])
+
+
 def run_checks(
     df: DataFrame,
     checks: Sequence[Check],
@@ -487,7 +507,7 @@ def run_checks(
 
     def report(check: Check, prefix: str = "") -> Column:
         found = check.verdict(lambda name: F.col(prefix + name), df, now, history)
-        return result_struct(check.table, check.kind, check.severity, check.threshold, found, now, created)
+        return result_struct(check.table, check.kind, check.identity(), check.severity, check.threshold, found, now, created)
 
     frames = []
     scopes: dict[tuple[str, ...], list[Check]] = {}
@@ -497,7 +517,7 @@ def run_checks(
         else:
             scopes.setdefault(check.scope(), []).append(check)
     for scope, members in scopes.items():
-        rows = reduce(lambda d, condition: d.filter(F.expr(condition)), scope, df)
+        rows = reduce(lambda d, part: d.filter(_condition(part)), scope, df)
         wanted = [
             metric.alias(f"c{n}_{name}")
             for n, check in enumerate(members)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.operators.quality.results import SEVERITIES, enforce
+from tidemark.sources.stored import StoredTable
 
 
 def quality_report(results: DataFrame, by: str | None = "table_name") -> DataFrame:
@@ -48,18 +49,19 @@ def check_alerts(results: DataFrame) -> DataFrame:
     )
 
 
-def append_results(results: DataFrame, path: str) -> None:
-    results.write.mode("append").parquet(path)
+def store_results(results: DataFrame, path: str, run: str) -> None:
+    """Store the results of one run; the same run again replaces what it stored."""
+    StoredTable(results.sparkSession, path).replace(results.withColumn("run_id", F.lit(run)), "run_id", [run])
 
 
-def record(results: DataFrame, path: str) -> None:
+def read_results(spark: SparkSession, path: str) -> DataFrame:
+    return StoredTable(spark, path).read()
+
+
+def record(results: DataFrame, path: str, run: str) -> None:
     """Store results, failed ones too, and then raise on blocking failures."""
-    rows = results.persist()
-    try:
-        append_results(rows, path)
-        enforce(rows)
-    finally:
-        rows.unpersist()
+    store_results(results, path, run)
+    enforce(read_results(results.sparkSession, path).filter(F.col("run_id") == run))
 
 
 def latest_results(stored: DataFrame, count: int = 10) -> DataFrame:

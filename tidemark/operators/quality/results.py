@@ -11,7 +11,7 @@ SEVERITIES = ("INFO", "WARNING", "ERROR", "CRITICAL")
 BLOCKING = ("ERROR", "CRITICAL")
 
 RESULT_COLUMNS = (
-    "table_name string, check_type string, severity string, passed boolean, value double, "
+    "table_name string, check_type string, check_id string, severity string, passed boolean, value double, "
     "expected double, threshold double, rows_checked bigint, rows_failed bigint, failure_rate double, "
     "message string, metadata string, execution_date timestamp_ntz, created_at timestamp_ntz"
 )
@@ -34,12 +34,14 @@ class Verdict:
 
 
 def check_settings(table: str, severity: str, threshold: float | None) -> None:
-    if not table or not table.strip():
-        raise ValueError("a table name is required")
-    if severity not in SEVERITIES:
-        raise ValueError(f"severity must be one of {SEVERITIES}, got {severity!r}")
-    if threshold is not None and not 0.0 <= threshold <= 1.0:
-        raise ValueError(f"threshold must be between 0.0 and 1.0, got {threshold}")
+    """Raise with everything that is wrong with a check's settings."""
+    faults = {
+        "no table is named": not (table or "").strip(),
+        f"severity {severity!r} is none of {', '.join(SEVERITIES)}": severity not in SEVERITIES,
+        f"threshold {threshold} lies outside [0, 1]": threshold is not None and not 0.0 <= threshold <= 1.0,
+    }
+    if any(faults.values()):
+        raise ValueError("; ".join(text for text, wrong in faults.items() if wrong))
 
 
 def apply_threshold(passed: Column, value: Column, threshold: Column) -> Column:
@@ -47,7 +49,7 @@ def apply_threshold(passed: Column, value: Column, threshold: Column) -> Column:
     return F.coalesce(value >= threshold, passed)
 
 
-def result_struct(table: str, check_type: str, severity: str, threshold: float | None,
+def result_struct(table: str, check_type: str, check_id: str, severity: str, threshold: float | None,
                   verdict: Verdict, as_of: Column, created_at: Column) -> Column:
     limit = F.lit(threshold).cast("double")
     passed = apply_threshold(verdict.passed, verdict.value, limit)
@@ -58,6 +60,7 @@ def result_struct(table: str, check_type: str, severity: str, threshold: float |
     return F.struct(
         F.lit(table).alias("table_name"),
         F.lit(check_type).alias("check_type"),
+        F.lit(check_id).alias("check_id"),
         F.lit(severity).alias("severity"),
         passed.alias("passed"),
         verdict.value.cast("double").alias("value"),
@@ -85,10 +88,10 @@ def blocking_failures(results: DataFrame) -> DataFrame:
 
 
 def enforce(results: DataFrame) -> None:
-    """Raise when a check of severity ERROR or CRITICAL failed.
+    """Raise when a check of severity ERROR or CRITICAL failed, naming all that did.
 
-    Result tables hold one row per check; at most twenty failures are quoted.
+    Results are those of one run: one row per check.
     """
-    failed = blocking_failures(results).select("severity", "message").limit(20).collect()
+    failed = blocking_failures(results).select("severity", "message").collect()
     if failed:
         raise QualityError("; ".join(f"{row.severity}: {row.message}" for row in failed))

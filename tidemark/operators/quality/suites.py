@@ -190,11 +190,12 @@ def load_expectations(text: str) -> list[dict]:
 
 
 def read_expectations(spark: SparkSession, path: str) -> list[dict]:
-    """Expectations from a JSON file in any storage Spark can read."""
-    lines = spark.read.text(path, wholetext=True).limit(1).collect()
-    if not lines:
+    """The expectations of one JSON file, or of all files of a folder in order of their names."""
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    texts = [row.value for row in files.orderBy("file").collect()]
+    if not texts:
         raise FileNotFoundError(path)
-    return load_expectations(lines[0].value)
+    return [expectation for text in texts for expectation in load_expectations(text)]
 
 
 def run_expectations(df: DataFrame, expectations: Sequence[Mapping]) -> DataFrame:

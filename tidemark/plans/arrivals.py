@@ -41,6 +41,16 @@ def land(spark, folder, *formats):
     return path
 
 
+def land_orders(spark, folder):
+    """All orders as CSV, one drop per status; a blank in the folder's name must not matter."""
+    path = f"{workspace(spark, 'landing')}/all orders"
+    rows = star.table(spark, folder, "orders")
+    for status in DROPS.values():
+        drop = landed_rows(rows.filter(F.col("o_orderstatus") == status))
+        drop.write.option("header", "true").csv(f"{path}/sales_data_{status}.csv")
+    return path
+
+
 def land_all(spark, folder):
     """Drops in all accepted formats, and one in a format nobody reads."""
     path = land(spark, folder, *DROPS)
@@ -49,9 +59,9 @@ def land_all(spark, folder):
 
 
 @query("csv_landing", f"""
-    SELECT transaction_id, customer_id, product_id, quantity, amount FROM ({LANDED}) WHERE o_orderstatus = 'F'""")
+    SELECT transaction_id, customer_id, product_id, quantity, amount FROM ({LANDED})""")
 def csv_landing(spark, folder):
-    path = f"{land(spark, folder, 'csv')}/{landing.LANDING_PATTERN}"
+    path = f"{land_orders(spark, folder)}/{landing.LANDING_PATTERN}"
     return plain(landing.read_landing(spark, path, landing.landing_schema(), "csv").drop("filepath"))
 
 
@@ -66,19 +76,32 @@ def landing_formats(spark, folder):
     return plain(by_format.agg(F.count(F.lit(1)).alias("records"), F.sum("amount").alias("amount")))
 
 
-@query("file_metadata")
+@query("file_metadata", """
+    WITH files AS (
+        SELECT strftime(o_orderdate, '%Y-%m') AS month,
+               'transaction_id' || chr(10) || string_agg('TXN-' || o_orderkey, chr(10) ORDER BY o_orderkey) || chr(10) AS content
+        FROM orders GROUP BY 1)
+    SELECT month, CAST(strlen(content) AS BIGINT) AS file_size_bytes, '.csv' AS file_format, TRUE AS is_supported_format,
+           'process_small_file' AS route, sha256(content) AS file_hash FROM files""")
 def file_metadata(spark, folder):
-    """File names and hashes differ from run to run, hence without SQL."""
-    return landing.with_route(landing.file_metadata(spark, land_all(spark, folder)))
+    """A file per order month, its lines in order, so that its content is known; half of them hashed in pieces."""
+    path = workspace(spark, "monthly files")
+    orders = star.table(spark, folder, "orders").select(
+        F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_orderkey",
+        F.concat(F.lit("TXN-"), F.col("o_orderkey").cast("string")).alias("transaction_id"))
+    files = orders.repartition("month").sortWithinPartitions("month", "o_orderkey").drop("o_orderkey")
+    files.write.partitionBy("month").csv(path, header=True)
+    found = landing.with_route(landing.file_metadata(spark, path, whole=2000))
+    month = F.regexp_extract("filepath", "month=([^/]+)/", 1).alias("month")
+    return found.select(month, "file_size_bytes", "file_format", "is_supported_format", "route", "file_hash")
 
 
 @query("file_records", """
-    SELECT CAST(COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS BIGINT) AS estimated_records,
-           CAST(COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS BIGINT) AS records_processed,
+    SELECT CAST(COUNT(*) AS BIGINT) AS estimated_records, CAST(COUNT(*) AS BIGINT) AS records_processed,
            TRUE AS counts_agree FROM orders""")
 def file_records(spark, folder):
     """Line estimates against the records read, file by file."""
-    path = f"{land(spark, folder, 'csv')}/{landing.LANDING_PATTERN}"
+    path = f"{land_orders(spark, folder)}/{landing.LANDING_PATTERN}"
     estimated = landing.with_chunks(landing.line_estimates(spark, path).filter(
         landing.file_suffix(F.col("filepath")) == ".csv"))
     read = landing.read_landing(spark, path, landing.landing_schema(), "csv")
@@ -105,28 +128,30 @@ def file_dedupe(spark, folder):
     arrived = landing.file_metadata(spark, f"{path}/second").filter("is_supported_format")
     fresh = landing.unseen_files(arrived, ledger)
     lines = landing.line_estimates(spark, f"{path}/second")
-    # Both scans name the same files; only the URI style of their paths differs.
-    plain_path = F.regexp_replace("filepath", "^[a-z0-9]+:/+", "/")
-    wanted = fresh.select(plain_path.alias("file"))
-    counted = lines.select(plain_path.alias("file"), "estimated_records").join(wanted, "file", "left_semi")
+    counted = lines.join(fresh.select("filepath"), "filepath", "left_semi")
     return counted.agg(F.sum("estimated_records").alias("new_records"))
 
 
 @query("stream_files", f"""
-    SELECT transaction_id, customer_id, product_id, quantity, amount FROM ({LANDED}) WHERE o_orderstatus = 'F'""")
+    SELECT transaction_id, customer_id, product_id, quantity, amount FROM ({LANDED})""")
 def stream_files(spark, folder):
-    """Arrivals by stream; the second run finds nothing new."""
-    path, out = land(spark, folder, "csv"), workspace(spark, "arrivals")
-    stream = streams.file_stream(spark, f"{path}/{landing.LANDING_PATTERN}", landing.landing_schema(), "csv")
+    """Arrivals by stream, a file per batch; the second run finds nothing new."""
+    path, out = land_orders(spark, folder), workspace(spark, "arrivals")
+    stream = streams.file_stream(spark, f"{path}/{landing.LANDING_PATTERN}", landing.landing_schema(), "csv", files_per_batch=1)
     for _ in range(2):
         streams.run_available(stream, f"{out}/checkpoint", streams.append_arrivals(f"{out}/rows"))
     return plain(spark.read.parquet(f"{out}/rows").drop("batch_id"))
 
 
+EVENT_FILES = 4
+
+
 def event_stream(spark, folder):
-    schema = star.table(spark, folder, "events").schema
-    # A glob, so that a single file and a folder of files are both accepted.
-    return streams.file_stream(spark, f"{folder}/event[s].parquet", schema)
+    """The events as files of which each batch takes one; users recur in all of them."""
+    events = star.table(spark, folder, "events")
+    path = workspace(spark, "event_files")
+    events.repartition(EVENT_FILES, F.xxhash64("event_id")).write.parquet(path)
+    return streams.file_stream(spark, path, events.schema, files_per_batch=1)
 
 
 @query("stream_upsert", """

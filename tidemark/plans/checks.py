@@ -13,6 +13,7 @@ from tidemark.operators.quality.checks import (
 )
 from tidemark.plans.generators import ids
 from tidemark.plans.registry import plain, query
+from tidemark.session import workspace
 from tidemark.sources import generate, star
 from tidemark.sources.tables import reduce_union
 
@@ -54,9 +55,13 @@ SCHEMA_PASSED = "(bad_prices = 0 AND nulls = 0 AND FALSE)"
     WITH m AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE o_orderstatus = 'P') AS bad_prices,
                       COUNT(*) FILTER (WHERE o_orderpriority IS NULL) AS nulls FROM {GAPPY})
     {_row("orders", "schema", "CRITICAL", SCHEMA_PASSED, "0.0", "n", "0",
-          "concat_ws('; ', 'Missing columns: email', 'Extra columns: o_custkey', "
-          "CASE WHEN bad_prices > 0 THEN '1 type mismatch(es)' END, "
-          "CASE WHEN nulls > 0 THEN '1 nullability mismatch(es)' END)")} FROM m""")
+          "concat_ws('; ', 'columns not found: email', 'unexpected columns: o_custkey', "
+          "CASE WHEN bad_prices > 0 THEN 'type differs in 1 column(s)' END, "
+          "CASE WHEN nulls > 0 THEN 'NULLs in 1 required column(s)' END)", """,
+           '["email"]' AS missing_columns, '["o_custkey"]' AS extra_columns,
+           CASE WHEN bad_prices > 0 THEN '[{"column":"o_totalprice","expected":"NUMERIC","actual":"VARCHAR"}]' ELSE '[]' END
+               AS type_mismatches,
+           CASE WHEN nulls > 0 THEN '["o_orderpriority"]' ELSE '[]' END AS nullability_mismatches""")} FROM m""")
 def dq_schema(spark, folder):
     """Orders as a text landing file: prices of pending orders are not numbers."""
     landed = orders_with_gaps(spark, folder).select(
@@ -72,12 +77,13 @@ def dq_schema(spark, folder):
         {"name": "email", "type": "text"},
     ]
     check = Schema(table="orders", severity="CRITICAL", columns=expected, check_nullability=True, castable=True)
-    return verdicts(run_checks(landed, [check], AS_OF))
+    return verdicts(run_checks(landed, [check], AS_OF), missing_columns="string", extra_columns="string",
+                    type_mismatches="string", nullability_mismatches="string")
 
 
 def _count_message(low, high):
-    return (f"concat_ws('; ', CASE WHEN n < {low} THEN printf('Row count %d below minimum {low}', n) END, "
-            f"CASE WHEN n > {high} THEN printf('Row count %d above maximum {high}', n) END)")
+    return (f"concat_ws('; ', CASE WHEN n < {low} THEN printf('%d rows, at least {low} wanted', n) END, "
+            f"CASE WHEN n > {high} THEN printf('%d rows, at most {high} wanted', n) END)")
 
 
 def _bounded(name, severity, low, high, source, expected=None):
@@ -109,16 +115,19 @@ PREVIOUS_PASSED = "(abs((n - p) * 100.0::DOUBLE / p) <= 10)"
 @query("dq_completeness_prev", f"""
     WITH m AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE o_orderdate < '2000-06-01') AS p FROM orders)
     {_row("orders", "completeness", "WARNING", PREVIOUS_PASSED, f"CASE WHEN {PREVIOUS_PASSED} THEN 1 ELSE 0 END",
-          "n", "0", "printf('Row count %d differs too much from the previous run', n)",
+          "n", "0", "printf('%d rows, too far from the run before', n)",
           ", p AS previous_count, round((n - p) * 100.0::DOUBLE / p, 2) AS percent_change")} FROM m""")
 def dq_completeness_prev(spark, folder):
     orders = star.table(spark, folder, "orders")
     earlier = orders.filter(F.col("o_orderdate") < F.lit("2000-06-01").cast("timestamp_ntz"))
     oldest = orders.filter(F.col("o_orderdate") < F.lit("1999-06-01").cast("timestamp_ntz"))
     plain_check = Completeness(table="orders", min_count=1)
-    history = run_checks(earlier, [plain_check], "2000-06-01 00:00:00").unionByName(
-        run_checks(oldest, [plain_check], "1999-06-01 00:00:00")
-    )
+    # Other checks of the same kind and table are stored beside it, and one run is stored twice.
+    pending = Completeness(table="orders", where="o_orderstatus = 'P'", min_count=1)
+    path = workspace(spark, "completeness_results")
+    for rows, day in ((earlier, "2000-06-01"), (oldest, "1999-06-01"), (earlier, "2000-06-01")):
+        reporting.store_results(run_checks(rows, [plain_check, pending], f"{day} 00:00:00"), path, day)
+    history = reporting.read_results(spark, path)
     check = Completeness(table="orders", severity="WARNING", compare_with_previous=True,
                          comparison_tolerance_percent=10.0)
     found = run_checks(orders, [check], AS_OF, history=history)
@@ -131,7 +140,7 @@ AGE = "round(date_diff('microsecond', newest, TIMESTAMP '2024-01-31') / 3.6e9::D
 def _fresh(source, limit, severity, sla):
     passed = f"({AGE} <= {limit})"
     value = f"round(least(1.0::DOUBLE, greatest(0.0::DOUBLE, 1.0 - {AGE} / {limit}::DOUBLE)), 3)"
-    message = f"printf('Data is stale: age %.1f hours exceeds maximum {limit}.0 hours', {AGE})"
+    message = f"printf('newest row is %.1f hours old, limit {limit}.0', {AGE})"
     more = f", {AGE} AS age_hours, {AGE} <= {sla} AS sla_compliant"
     row = _row("events", "freshness", severity, passed, value, "n", "0", message, more)
     return f"{row} FROM (SELECT MAX(ts) AS newest, COUNT(*) AS n FROM {source})"
@@ -153,7 +162,7 @@ def dq_freshness(spark, folder):
 
 def _unique(table, severity, source, keys, limit=0.0):
     pct = "CASE WHEN n > 0 THEN d * 100.0::DOUBLE / n ELSE 0.0::DOUBLE END"
-    message = f"printf('Found %d duplicate(s) (%.2f%%) exceeds maximum {limit}%%', d, {pct})"
+    message = f"printf('%d surplus row(s), %.2f%% of all, limit {limit}%%', d, {pct})"
     row = _row(table, "uniqueness", severity, f"({pct} <= {limit})", f"round(1.0 - ({pct}) / 100.0::DOUBLE, 3)",
                "n", "d", message)
     return f"""{row} FROM (SELECT CAST(SUM(k) AS BIGINT) AS n, CAST(SUM(k) - COUNT(*) AS BIGINT) AS d
@@ -192,7 +201,7 @@ NULL_PCT = "(d * 100.0::DOUBLE / n)"
 
 @query("dq_null_rate", f"""
     {_row("orders", "null_rate", "ERROR", f"({NULL_PCT} <= 10)", f"round(1.0 - {NULL_PCT} / 100.0::DOUBLE, 3)", "n", "d",
-          "'1 column(s) exceed NULL rate threshold: o_orderpriority'")}
+          "'too many NULLs in 1 column(s): o_orderpriority'")}
     FROM (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE o_orderpriority IS NULL) AS d FROM {GAPPY})""")
 def dq_null_rate(spark, folder):
     check = NullRate(table="orders", columns=["o_orderpriority"], max_null_percentage=10.0)
@@ -213,7 +222,7 @@ def dq_null_rates(spark, folder):
 @query("dq_required_columns", f"""
     {_row("orders", "null_rate", "CRITICAL", "(d * 100.0::DOUBLE / (n * 3) <= 5.0)",
           "round((3.0 - d / n::DOUBLE) / 3.0::DOUBLE, 3)", "n", "d",
-          "'1 column(s) exceed NULL rate threshold: all columns'",
+          "'too many NULLs in 1 column(s): all columns'",
           ", round(d * 100.0::DOUBLE / (n * 3), 4) AS null_rate")}
     FROM (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE o_orderpriority IS NULL) AS d FROM {GAPPY})""")
 def dq_required_columns(spark, folder):
@@ -350,14 +359,14 @@ SUITE_SQL = f"""
         UNION ALL
         {_row("orders", "null_rate", "WARNING", SUITE_PASSED_RATE,
               "round(((1.0 - s / n::DOUBLE) + (1.0 - p / n::DOUBLE)) / 2, 3)", "n", "e",
-              "'1 column(s) exceed NULL rate threshold: o_orderpriority'")}
+              "'too many NULLs in 1 column(s): o_orderpriority'")}
         FROM (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE o_orderstatus IS NULL) AS s,
                      COUNT(*) FILTER (WHERE o_orderpriority IS NULL) AS p,
                      COUNT(*) FILTER (WHERE o_orderstatus IS NULL OR o_orderpriority IS NULL) AS e FROM {GAPPY})
         UNION ALL
         {_row("events", "freshness", "ERROR", f"({AGE} <= 24)",
               f"round(least(1.0::DOUBLE, greatest(0.0::DOUBLE, 1.0 - {AGE} / 24::DOUBLE)), 3)", "n", "0",
-              f"printf('Data is stale: age %.1f hours exceeds maximum 24.0 hours', {AGE})")}
+              f"printf('newest row is %.1f hours old, limit 24.0', {AGE})")}
         FROM (SELECT MAX(ts) AS newest, COUNT(*) AS n FROM events)
         UNION ALL {_unique("lineitem", "CRITICAL", "lineitem", "l_orderkey, l_linenumber")}
         UNION ALL {_unique("customer", "CRITICAL", "customer", "c_name")}
@@ -437,17 +446,17 @@ RUNS = ("1997-01-01", "1998-01-01", "1999-01-01", "2000-01-01", "2001-01-01")
 
 
 def stored_runs(spark, folder):
-    """Results of yearly runs over the orders known at each date."""
+    """Stored results of yearly runs over the orders known at each date, one of them repeated."""
     orders = orders_with_gaps(spark, folder)
     checks = [
         Completeness(table="orders", severity="WARNING", min_count=7500),
         NullRate(table="orders", columns=["o_orderpriority"], max_null_percentage=20.0),
     ]
-    runs = []
-    for day in RUNS:
+    path = workspace(spark, "check_results")
+    for day in (*RUNS, RUNS[2]):
         known = orders.filter(F.col("o_orderdate") < F.lit(day).cast("timestamp_ntz"))
-        runs.append(run_checks(known, checks, f"{day} 00:00:00"))
-    return reduce_union(runs)
+        reporting.store_results(run_checks(known, checks, f"{day} 00:00:00"), path, day)
+    return reporting.read_results(spark, path)
 
 
 RUN_SQL = " UNION ALL ".join(f"""

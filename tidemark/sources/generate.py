@@ -11,18 +11,28 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.columns import date_key, sunday_week
 
 # Word lists the generated names and attributes are drawn from.
-FIRST_NAMES = (
-    "John Jane Michael Sarah David Emily Robert Lisa James Jennifer "
-    "William Linda Richard Patricia Joseph Elizabeth Thomas Maria Charles Susan"
-).split()
-LAST_NAMES = (
-    "Smith Johnson Williams Brown Jones Garcia Miller Davis Rodriguez Martinez "
-    "Hernandez Lopez Gonzalez Wilson Anderson Thomas Taylor Moore Jackson Martin"
-).split()
-COUNTRIES = "USA Canada UK Germany France Spain Italy Australia Japan Brazil".split()
-PRODUCT_LETTERS = "A B C D E F G H I J".split()
-PRODUCT_GRADES = "Premium Standard Economy Deluxe Professional Basic Advanced Ultimate Classic Modern".split()
-PRODUCT_KINDS = "Widget Gadget Device Tool Instrument Apparatus Equipment Machine System Component".split()
+FIRST_NAMES = [
+    "John", "Jane", "Michael", "Sarah", "David", "Emily", "Robert", "Lisa", "James", "Jennifer", "William",
+    "Linda", "Richard", "Patricia", "Joseph", "Elizabeth", "Thomas", "Maria", "Charles", "Susan",
+]
+LAST_NAMES = [
+    "Smith", "Johnson", "Williams", "Brown", "Jones", "Garcia", "Miller", "Davis", "Rodriguez", "Martinez",
+    "Hernandez", "Lopez", "Gonzalez", "Wilson", "Anderson", "Thomas", "Taylor", "Moore", "Jackson", "Martin",
+]
+COUNTRIES = [
+    "USA", "Canada", "UK", "Germany", "France", "Spain", "Italy", "Australia", "Japan", "Brazil",
+]
+PRODUCT_LETTERS = [
+    "A", "B", "C", "D", "E", "F", "G", "H", "I", "J",
+]
+PRODUCT_GRADES = [
+    "Premium", "Standard", "Economy", "Deluxe", "Professional", "Basic", "Advanced", "Ultimate", "Classic",
+    "Modern",
+]
+PRODUCT_KINDS = [
+    "Widget", "Gadget", "Device", "Tool", "Instrument", "Apparatus", "Equipment", "Machine", "System",
+    "Component",
+]
 CATEGORIES = ["Electronics", "Clothing", "Food", "Books", "Home"]
 SUBCATEGORIES = ["Accessories", "Main Items", "Supplies", "Parts", "Bundles"]
 HOLIDAYS = [(1, 1), (7, 4), (12, 25)]

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.keyed import first_per_key
@@ -10,8 +14,9 @@ from tidemark.functions.keyed import first_per_key
 SUPPORTED_FORMATS = (".csv", ".json", ".parquet")
 LARGE_FILE_MB = 10.0
 CHUNK_ROWS = 1000
-# Content is hashed as one value per file, so larger files are identified without it.
-HASH_LIMIT_BYTES = 512 * 1024 * 1024
+# Files up to this size are hashed as one value; larger ones are read piece by piece. The hash is the same.
+WHOLE_FILE_BYTES = 256 * 1024 * 1024
+PIECE_BYTES = 8 * 1024 * 1024
 
 LANDING_PATTERN = "sales_data_*.csv"
 
@@ -31,17 +36,49 @@ def file_suffix(path: Column) -> Column:
     return F.lower(F.regexp_extract(file_name(path), r"(\.[^.]+)$", 1))
 
 
-def file_metadata(spark: SparkSession, path: str, hash_limit: int = HASH_LIMIT_BYTES) -> DataFrame:
+def plain_path(path: Column) -> Column:
+    """One spelling of a file's path, whichever reader names it: not URI-encoded, one slash after a local scheme."""
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "file:/")
+
+
+def _source_file() -> Column:
+    return plain_path(F.col("_metadata.file_path"))
+
+
+def _hashed_in_pieces(files: DataFrame) -> DataFrame:
+    """``files`` with the SHA-256 of content too large for one value; a task holds one piece at a time."""
+    schema = T.StructType([*files.schema.fields, T.StructField("file_hash", T.StringType())])
+
+    def run(batches):
+        for batch in batches:
+            hashes = []
+            for uri in batch.column(0).to_pylist():
+                # Local names may hold blanks, which a URI may not.
+                local = uri.startswith("file:")
+                system, name = (pyarrow.fs.LocalFileSystem(), uri.removeprefix("file:")) if local else pyarrow.fs.FileSystem.from_uri(uri)
+                digest = hashlib.sha256()
+                with system.open_input_stream(name) as stream:
+                    while piece := stream.read(PIECE_BYTES):
+                        digest.update(piece)
+                hashes.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes, pa.string())], schema.names)
+
+    return files.repartition(F.col("path")).mapInArrow(run, schema)
+
+
+def file_metadata(spark: SparkSession, path: str, whole: int = WHOLE_FILE_BYTES) -> DataFrame:
     """Name, path, size, SHA-256, format and support flag of every file below ``path``.
 
     The content is read and hashed on the executors, one task per group of files, and
-    dropped at once. Files above ``hash_limit`` are never loaded; their hash stays NULL.
+    dropped at once; files above ``whole`` bytes are read in pieces.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    small = files.filter(F.col("length") <= hash_limit).withColumn("file_hash", F.sha2("content", 256))
-    large = files.filter(F.col("length") > hash_limit).withColumn("file_hash", F.lit(None).cast("string"))
-    kept = ["path", "length", "modificationTime", "file_hash"]
-    found = small.select(*kept).unionByName(large.select(*kept))
+    kept = ["path", "length", "modificationTime"]
+    small = files.filter(F.col("length") <= whole).select(*kept, F.sha2("content", 256).alias("file_hash"))
+    large = _hashed_in_pieces(files.filter(F.col("length") > whole).select(*kept))
+    # The binary reader names files without encoding.
+    found = small.unionByName(large).withColumn("path", F.regexp_replace("path", "^file:/+", "file:/"))
     suffix = file_suffix(F.col("path"))
     return found.select(
         file_name(F.col("path")).alias("filename"),
@@ -58,7 +95,7 @@ def file_metadata(spark: SparkSession, path: str, hash_limit: int = HASH_LIMIT_B
 def line_estimates(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
     """Records per text file: its lines less the header. Large files are read in splits."""
     lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    counted = lines.groupBy(F.col("_metadata.file_path").alias("filepath")).agg(F.count(F.lit(1)).alias("lines"))
+    counted = lines.groupBy(_source_file().alias("filepath")).agg(F.count(F.lit(1)).alias("lines"))
     return counted.select("filepath", (F.col("lines") - F.lit(1 if header else 0)).alias("estimated_records"))
 
 
@@ -87,7 +124,7 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType, file_form
     reader = reader.option("pathGlobFilter", f"*.{file_format}")
     if file_format == "csv":
         reader = reader.option("header", "true")
-    return reader.format(file_format).load(path).select("*", F.col("_metadata.file_path").alias("filepath"))
+    return reader.format(file_format).load(path).select("*", _source_file().alias("filepath"))
 
 
 def read_all_formats(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -101,11 +138,17 @@ def processed_records(rows: DataFrame) -> DataFrame:
 
 
 def content_id(files: DataFrame) -> Column:
-    """Identity of a file's content: its hash, or path, size and time where it has none."""
-    return F.coalesce(
-        F.col("file_hash"),
-        F.sha2(F.concat_ws("|", "filepath", "file_size_bytes", F.col("modified_at").cast("string")), 256),
-    )
+    """Identity of a file's content, whatever its size, name and time."""
+    return files["file_hash"]
+
+
+def processing_results(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """One row per supported file: how it is routed, its records as estimated and as read, its chunks and its hash."""
+    files = with_route(file_metadata(spark, path)).filter("is_supported_format")
+    read = processed_records(read_all_formats(spark, path, schema))
+    joined = files.join(read, "filepath", "left").withColumn("records_processed", F.coalesce("records_processed", F.lit(0)))
+    counted = with_chunks(joined.withColumn("estimated_records", F.col("records_processed"))).drop("estimated_records")
+    return counted.select("filepath", "route", "records_processed", "chunks", "file_hash", F.lit("success").alias("status"))
 
 
 def unseen_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
