@@ -255,12 +255,15 @@ def test_suite_scans_once_per_filter(spark, tmp_path):
         Freshness(table="t", columns=["ts"], max_age_hours=24),
         Completeness(table="t", min_count=1, where="v = 3"),
         Rule(table="t", name="s", predicate="id >= 0", where="v = 3"),
+        Freshness(table="t", columns=["ts"], max_age_hours=24, where="v = 4"),
+        Completeness(table="t", expected_count=14, partition_column="v", partition_value=3),
     ]
     found = run_checks(spark.read.parquet(path), checks, NOW)
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan parquet") == 2
+    assert plan.count("FileScan parquet") == 2  # all rows once, and the partition
     assert "EqualTo(v,3)" in plan
-    assert found.count() == 6
+    assert [r.rows_checked for r in found.collect()] == [100, 100, 100, 100, 14, 14, 14, 14]
+    assert all(r.passed for r in found.collect())
 
 
 def test_result_layout(sales):

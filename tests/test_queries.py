@@ -60,6 +60,34 @@ def test_load_bounds_reach_the_scan(spark):
     assert "GreaterThan(l_shipdate" in plan_of(QUERIES["load_incremental"](spark, FOLDER))
 
 
+def scans(frame, table):
+    lines = plan_of(frame).splitlines()
+    return sum("FileScan parquet" in line and f"/{table}.parquet" in line for line in lines)
+
+
+def test_joins_beyond_the_broadcast_limit_scan_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = QUERIES["sales_by_category"](spark, FOLDER)
+        assert scans(frame, "lineitem") == 1 and scans(frame, "orders") <= 2
+        assert "BroadcastHashJoin" not in plan_of(frame)
+        assert scans(QUERIES["promote_staging"](spark, FOLDER), "orders") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_one_pass_queries(spark):
+    assert scans(QUERIES["dq_completeness"](spark, FOLDER), "lineitem") == 2  # all rows, and one partition
+    assert scans(QUERIES["load_watermark"](spark, FOLDER), "orders") == 1
+    assert scans(QUERIES["scd2_stats"](spark, FOLDER), "orders") == 3  # one per load
+    assert scans(QUERIES["scd2_history"](spark, FOLDER), "orders") <= 2
+
+
+def test_incremental_table_reads_what_it_needs(spark):
+    frame = QUERIES["load_incremental_table"](spark, FOLDER)
+    assert scans(frame, "lineitem") == 0 and "-base" in "".join(frame.inputFiles()) and "-delta" in "".join(frame.inputFiles())
+
+
 def test_suite_scans_each_table_once(spark):
     plan = plan_of(QUERIES["dq_suite_json"](spark, FOLDER))
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line]

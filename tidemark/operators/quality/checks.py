@@ -1,7 +1,7 @@
 """The checks: each declares aggregates over its table and a verdict on them.
 
 ``run_checks`` puts the aggregates of all checks that read the same rows into one
-``agg``, so a suite costs one scan per distinct filter. Uniqueness needs a shuffle on
+``agg``, predicates included, so a suite costs one scan, and one more per partition that a check names. Uniqueness needs a shuffle on
 its own key and runs as a separate aggregation.
 """
 
@@ -23,6 +23,12 @@ from tidemark.sources.tables import reduce_union
 Metrics = Callable[[str], Column]
 
 
+def _rows(*conditions: Column | None) -> Column:
+    """The number of rows that meet all the conditions given."""
+    given = [condition for condition in conditions if condition is not None]
+    return F.count_if(reduce(lambda a, b: a & b, given)) if given else F.count(F.lit(1))
+
+
 def _score(condition: Column) -> Column:
     return F.when(condition, F.lit(1.0)).otherwise(F.lit(0.0))
 
@@ -40,14 +46,18 @@ class Check:
         check_settings(self.table, self.severity, self.threshold)
 
     def scope(self) -> tuple[str | tuple[str, object], ...]:
-        """The row filters of this check, each a predicate or a (column, value) pair; equal scopes share a scan."""
+        """The row filters of this check: a predicate, and (column, value) pairs that name partitions."""
         return (self.where,) if self.where else ()
 
+    def within(self) -> Column | None:
+        return F.expr(f"({self.where})") if self.where else None
+
     def identity(self) -> str:
         """What tells this check from others of its kind on the table: its rows and columns, not its limits."""
         return json.dumps([self.kind, [str(part) for part in self.scope()], list(getattr(self, "columns_named", lambda: ())())])
 
-    def metrics(self, df: DataFrame) -> dict[str, Column]:
+    def metrics(self, df: DataFrame, within: Column | None = None) -> dict[str, Column]:
+        """Aggregates over ``df``, restricted to the rows ``within``."""
         raise NotImplementedError
 
     def verdict(self, m: Metrics, df: DataFrame, as_of: Column, history: DataFrame | None) -> Verdict:
@@ -92,15 +102,15 @@ class Schema(Check):
         expected = named_family(column["type"])
         return CASTABLE.get(expected) if actual == "VARCHAR" and expected != actual else None
 
-    def metrics(self, df: DataFrame) -> dict[str, Column]:
-        found = {"rows": F.count(F.lit(1))}
+    def metrics(self, df: DataFrame, within: Column | None = None) -> dict[str, Column]:
+        found = {"rows": _rows(within)}
         for position, (name, column) in enumerate(self._present(df).items()):
             target = self._cast_target(df, column)
             if target:
                 bad = F.col(name).isNotNull() & F.col(name).try_cast(target).isNull()
-                found[f"cast{position}"] = F.count_if(bad)
+                found[f"cast{position}"] = _rows(within, bad)
             if self.check_nullability and not column.get("nullable", True):
-                found[f"null{position}"] = F.count_if(F.col(name).isNull())
+                found[f"null{position}"] = _rows(within, F.col(name).isNull())
         return found
 
     def verdict(self, m, df, as_of, history):
@@ -193,8 +203,8 @@ class Completeness(Check):
             highs.append(self.expected_count + slack)
         return max(lows, default=None), min(highs, default=None)
 
-    def metrics(self, df):
-        return {"rows": F.count(F.lit(1))}
+    def metrics(self, df, within=None):
+        return {"rows": _rows(within)}
 
     def previous_count(self, history: DataFrame, as_of: Column) -> Column:
         """The row count of the latest earlier result of the same check: same table, filter and partition."""
@@ -264,9 +274,10 @@ class Freshness(Check):
             return self.max_age_minutes / 60.0
         return self.max_age_hours
 
-    def metrics(self, df):
-        newest = {f"newest{n}": F.max(F.col(c).cast("timestamp_ntz")) for n, c in enumerate(self.columns)}
-        return {"rows": F.count(F.lit(1)), **newest}
+    def metrics(self, df, within=None):
+        moments = [F.col(c).cast("timestamp_ntz") for c in self.columns]
+        newest = {f"newest{n}": F.max(m if within is None else F.when(within, m)) for n, m in enumerate(moments)}
+        return {"rows": _rows(within), **newest}
 
     def verdict(self, m, df, as_of, history):
         moments = [m(f"newest{n}") for n in range(len(self.columns))]
@@ -327,10 +338,10 @@ class NullRate(Check):
             return 0.0
         return float((self.limits or {}).get(column, self.max_null_percentage))
 
-    def metrics(self, df):
-        nulls = {f"null{n}": F.count_if(F.col(c).isNull()) for n, c in enumerate(self.columns)}
+    def metrics(self, df, within=None):
+        nulls = {f"null{n}": _rows(within, F.col(c).isNull()) for n, c in enumerate(self.columns)}
         some = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in self.columns])
-        return {"rows": F.count(F.lit(1)), "some": F.count_if(some), **nulls}
+        return {"rows": _rows(within), "some": _rows(within, some), **nulls}
 
     def verdict(self, m, df, as_of, history):
         rows = m("rows")
@@ -385,8 +396,8 @@ class Rule(Check):
     def kind(self) -> str:
         return f"rule:{self.name}"
 
-    def metrics(self, df):
-        return {"rows": F.count(F.lit(1)), "broken": F.count_if(~F.expr(f"({self.predicate})"))}
+    def metrics(self, df, within=None):
+        return {"rows": _rows(within), "broken": _rows(within, ~F.expr(f"({self.predicate})"))}
 
     def verdict(self, m, df, as_of, history):
         rows, broken = m("rows"), m("broken")
@@ -487,10 +498,6 @@ class Uniqueness(Check):
         return repeated.orderBy(F.desc("count"), *self.columns).limit(limit)
 
 
-def _condition(part: str | tuple[str, object]) -> Column:
-    return F.expr(part) if isinstance(part, str) else F.col(part[0]) == F.lit(part[1])
-
-
 def run_checks(
     df: DataFrame,
     checks: Sequence[Check],
@@ -510,18 +517,20 @@ def run_checks(
         return result_struct(check.table, check.kind, check.identity(), check.severity, check.threshold, found, now, created)
 
     frames = []
-    scopes: dict[tuple[str, ...], list[Check]] = {}
+    scopes: dict[tuple, list[Check]] = {}
     for check in checks:
         if isinstance(check, Uniqueness):
             frames.append(check.totals(df).select(F.inline(F.array(report(check)))))
         else:
-            scopes.setdefault(check.scope(), []).append(check)
-    for scope, members in scopes.items():
-        rows = reduce(lambda d, part: d.filter(_condition(part)), scope, df)
+            # Partitions are read on their own, so that they can be pruned; predicates are counted in one scan.
+            partition = tuple(part for part in check.scope() if not isinstance(part, str))
+            scopes.setdefault(partition, []).append(check)
+    for partition, members in scopes.items():
+        rows = reduce(lambda d, part: d.filter(F.col(part[0]) == F.lit(part[1])), partition, df)
         wanted = [
             metric.alias(f"c{n}_{name}")
             for n, check in enumerate(members)
-            for name, metric in check.metrics(df).items()
+            for name, metric in check.metrics(df, check.within()).items()
         ]
         reports = [report(check, f"c{n}_") for n, check in enumerate(members)]
         frames.append(rows.agg(*wanted).select(F.inline(F.array(*reports))))

@@ -230,8 +230,8 @@ def scd2_current(spark, folder):
 @query("scd2_history", f"""{VERSIONS} SELECT {SHOWN_SQL} FROM versions
     WHERE customer_id = (SELECT MIN(customer_id) FROM versions) ORDER BY versions.valid_from DESC""")
 def scd2_history(spark, folder):
-    smallest = star.customer_snapshots(spark, folder).filter(
-        F.col("extract_timestamp") <= full.end_of_day(DAYS[-1])).agg(F.min(KEY).alias("k")).scalar()
+    known = star.customer_snapshots(spark, folder).filter(F.col("extract_timestamp") <= full.end_of_day(DAYS[-1]))
+    smallest = F.lit(known.agg(F.min(KEY).alias("k")).first().k)
     return plain(scd2.key_history(history(spark, folder).select(*SHOWN), KEY, smallest))
 
 

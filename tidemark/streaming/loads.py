@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tidemark.functions.keyed import latest_per_key
 from tidemark.operators.loads.full import failed_rules
 from tidemark.operators.quality.checks import Check, run_checks
+from tidemark.sources.stored import StoredTable
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -60,22 +61,25 @@ def append_newest(path: str, keys: Sequence[str], order_by: Sequence[str]) -> Ba
     """Keep the newest row per key of each micro-batch.
 
     A batch only adds its own folder, however large the state has become; readers
-    reduce over the folders with ``current_state``.
+    reduce over the folders with ``current_state``. A repeated batch replaces its folder, and if that was
+    compacted away meanwhile, the newest row per key is the same with it.
     """
     def write(rows: DataFrame, batch: int) -> None:
-        latest_per_key(rows, keys, order_by).write.mode("overwrite").parquet(batch_folder(path, batch))
+        own = f"batch-{batch}"
+        staged = StoredTable(rows.sparkSession, path).stage(latest_per_key(rows, keys, order_by), kind=own)
+        staged.publish(lambda entry: entry.kind != own)
 
     return write
 
 
 def current_state(spark: SparkSession, path: str, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """The newest row per key over all batches."""
-    return latest_per_key(spark.read.parquet(path).drop("batch_id"), keys, order_by)
+    return latest_per_key(StoredTable(spark, path).read(), keys, order_by)
 
 
-def compact_state(spark: SparkSession, path: str, compacted: str, keys: Sequence[str], order_by: Sequence[str]) -> None:
-    """Write the state as a single starting folder at another path."""
-    current_state(spark, path, keys, order_by).write.mode("overwrite").parquet(batch_folder(compacted, -1))
+def compact_state(spark: SparkSession, path: str, keys: Sequence[str], order_by: Sequence[str]) -> None:
+    """Fold all batches into one folder; the stream goes on at the same path."""
+    StoredTable(spark, path).rewrite(current_state(spark, path, keys, order_by))
 
 
 def check_batches(path: str, checks: Sequence[Check], rules: Mapping[str, str], as_of: str) -> BatchWriter:
