@@ -8,17 +8,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
-def _pick(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], pick) -> DataFrame:
-    # max_by/min_by is combined on the map side, so unlike row_number() over a window no task ever holds
-    # all rows of one key. Only the order and a tie-break are compared, so other columns may be of any type.
+def _pick(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], largest: bool) -> DataFrame:
+    # A struct's min or max is combined on the map side, so unlike row_number() over a window no task ever
+    # holds all rows of one key. The remaining columns take part in the comparison, which makes the choice total.
     order = [c for c in order_by if c not in keys]
-    rest = [c for c in df.columns if c not in keys]
-    kinds = dict(zip(df.columns, (field.dataType for field in df.schema.fields), strict=True))
-    plain = [c for c in rest if c not in order and not _holds_map(kinds[c])]
-    maps = [F.to_json(c) for c in rest if c not in order and _holds_map(kinds[c])]
-    ranking = F.struct(*[F.col(c) for c in [*order, *plain]], *maps) if rest else F.lit(0)
-    row = F.struct(*rest) if rest else F.struct(F.lit(0).alias("none"))
-    picked = df.groupBy(*keys).agg(pick(row, ranking).alias("__row"))
+    fields = order + [c for c in df.columns if c not in keys and c not in order]
+    maps = {f.name for f in df.schema.fields if f.name in fields and _holds_map(f.dataType)}
+    if not fields:
+        return df.select(*keys).distinct().select(*df.columns)
+    if maps:
+        # Maps cannot be compared; they are carried beside a ranking that has their text instead.
+        ranking = F.struct(*[F.to_json(c) if c in maps else F.col(c) for c in fields])
+        row = (F.max_by if largest else F.min_by)(F.struct(*fields), ranking)
+    else:
+        row = (F.max if largest else F.min)(F.struct(*fields))
+    picked = df.groupBy(*keys).agg(row.alias("__row"))
     return picked.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
 
 
@@ -30,12 +34,12 @@ def _holds_map(kind: T.DataType) -> bool:
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per key: the greatest by ``order_by``, then by the other columns."""
-    return _pick(df, keys, order_by, F.max_by)
+    return _pick(df, keys, order_by, largest=True)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per key: the smallest by ``order_by`` (NULLs first), then by the other columns."""
-    return _pick(df, keys, order_by, F.min_by)
+    return _pick(df, keys, order_by, largest=False)
 
 
 def estimated_bytes(df: DataFrame) -> int:
