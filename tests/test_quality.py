@@ -401,3 +401,10 @@ def test_all_files_of_a_suite_folder_are_read(spark, tmp_path):
     for name in ("a", "b"):
         (tmp_path / f"{name}.json").write_text(json.dumps([{"expectation_type": f"expect_{name}", "kwargs": {}}]))
     assert [e["expectation_type"] for e in suites.read_expectations(spark, str(tmp_path))] == ["expect_a", "expect_b"]
+
+
+def test_duplicates_in_the_result(spark):
+    df = spark.createDataFrame([(k,) for k in (1, 1, 1, 2, 2, 3)], "k int")
+    entry = {"type": "uniqueness", "table": "t", "key_columns": ["k"], "return_duplicates": True}
+    row = one(df, suites.build_check(entry))
+    assert details(row)["duplicates"] == [{"count": 3, "k": 1}, {"count": 2, "k": 2}]

@@ -418,7 +418,7 @@ class Uniqueness(Check):
     NULL keys are left out by default. Otherwise NULLs equal each other, unless
     ``null_as_distinct`` lets every row with a NULL key part stand for itself.
     ``digest_keys`` counts text keys by their SHA-256, so that long texts are not sent
-    through the shuffle.
+    through the shuffle. ``return_duplicates`` puts the most repeated keys, ``listed`` of them, into the metadata.
     """
 
     columns: Sequence[str]
@@ -428,6 +428,8 @@ class Uniqueness(Check):
     case_sensitive: bool = True
     trim_whitespace: bool = False
     digest_keys: bool = False
+    return_duplicates: bool = False
+    listed: int = 100
 
     kind = "uniqueness"
 
@@ -478,18 +480,23 @@ class Uniqueness(Check):
             "%d surplus row(s), %.2f%% of all, limit %s%%",
             surplus, rate, F.lit(f"{self.max_duplicate_percentage}"),
         )
+        metadata = {
+            "key_columns": F.lit(json.dumps(list(self.columns))),
+            "duplicate_count": surplus,
+            "duplicate_keys": m("keys"),
+            "duplicate_percentage": F.round(rate, 2),
+        }
+        if self.return_duplicates:
+            top = self.duplicates(df, self.listed).agg(
+                F.reverse(F.array_sort(F.collect_list(F.struct("count", *self.columns)))).alias("top"))
+            metadata["duplicates"] = top.scalar()
         return Verdict(
             passed=rate <= self.max_duplicate_percentage,
             value=F.round(1.0 - rate / 100.0, 3),
             rows_checked=rows,
             rows_failed=surplus,
             message=message,
-            metadata={
-                "key_columns": F.lit(json.dumps(list(self.columns))),
-                "duplicate_count": surplus,
-                "duplicate_keys": m("keys"),
-                "duplicate_percentage": F.round(rate, 2),
-            },
+            metadata=metadata,
         )
 
     def duplicates(self, df: DataFrame, limit: int = 100) -> DataFrame:  # a top-k report

@@ -84,7 +84,7 @@ def _freshness(entry: Mapping, common: dict) -> Check:
 
 def _uniqueness(entry: Mapping, common: dict) -> Check:
     same = ("max_duplicate_percentage", "exclude_nulls", "case_sensitive", "trim_whitespace", "null_as_distinct",
-            "digest_keys")
+            "digest_keys", "return_duplicates")
     return Uniqueness(
         columns=_columns(_first(entry, "key_columns", "unique_columns")),
         **{name: entry[name] for name in same if name in entry},
