@@ -27,10 +27,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.llm.common import per_batch, stored
 
 SAMPLE = 2048  # vectors the centres are chosen from
-LEAVES = 192
+LEAVES = 192  # at most; small tables have a leaf for PER_LEAF vectors
+PER_LEAF = 2048
 SHRINK = 1.3
-BLOCK = 4096  # candidates of a block, about
-GROUP = 512  # queries of a block, about
+BLOCK = 2048  # candidates of a block, about
+GROUP = 256  # queries of a block, about
 FIRST = 3  # leaves each query group meets before any pruning
 
 
@@ -57,18 +58,18 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squares, 0.0))
 
 
-def grow(sample: np.ndarray) -> Tree:
+def grow(sample: np.ndarray, leaves: int = LEAVES) -> Tree:
     """A cover tree's upper levels: centres of a level are further apart than its radius, and stay centres below."""
     centres = [0]
     nearest = distances(sample, sample[:1])[:, 0]
     radius = float(nearest.max())
     levels, parents = [np.array([0])], [np.array([0])]
-    while len(centres) < min(LEAVES, len(sample)) and nearest.max() > 0:
+    while len(centres) < min(leaves, len(sample)) and nearest.max() > 0:
         radius /= SHRINK
         if nearest.max() <= radius:
             continue
         above = np.array(centres)
-        while len(centres) < LEAVES and nearest.max() > radius:
+        while len(centres) < leaves and nearest.max() > radius:
             # The point farthest from all centres so far; it is farther than the radius.
             new = int(nearest.argmax())
             centres.append(new)
@@ -81,8 +82,19 @@ def grow(sample: np.ndarray) -> Tree:
     return Tree(sample[kept], [np.array([place[row] for row in level.tolist()]) for level in levels], parents)
 
 
-def _unpack(column: pa.Array, size: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.int64).reshape(-1, size)
+class Shape(NamedTuple):
+    """Components of a vector and the smallest integer type that holds them all."""
+
+    size: int
+    kind: str
+
+    @staticmethod
+    def of(size: int, low: int, high: int) -> Shape:
+        kind = next(kind for kind in ("i1", "i2", "i4", "i8") if np.iinfo(kind).min <= low and high <= np.iinfo(kind).max)
+        return Shape(max(size, 1), f"<{kind}")
+
+    def unpack(self, vectors: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(vectors), self.kind).reshape(-1, self.size)
 
 
 def quantised(vectors: DataFrame, key: str, vector: str, scale: float) -> DataFrame:
@@ -92,11 +104,11 @@ def quantised(vectors: DataFrame, key: str, vector: str, scale: float) -> DataFr
     return rows.select(F.col(key).cast("long").alias("id"), F.transform(vector, lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("long")).alias("vec")).distinct()
 
 
-def _packed(items: DataFrame, size: int) -> DataFrame:
+def _packed(items: DataFrame, shape: Shape) -> DataFrame:
     """The vectors as bytes, filled up with zeros."""
     def make():
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            vecs = [np.pad(np.asarray(v, np.int64), (0, size - len(v))).tobytes() for v in batch.column(1).to_pylist()]
+            vecs = [np.pad(np.asarray(v.as_py(), shape.kind), (0, shape.size - len(v))).tobytes() for v in batch.column(1)]
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(vecs, pa.binary())], ["id", "vec"])
 
         return each
@@ -104,7 +116,7 @@ def _packed(items: DataFrame, size: int) -> DataFrame:
     return per_batch(items, "id long, vec binary", make)
 
 
-def _placed(distinct: DataFrame, tree: Tree, size: int) -> DataFrame:
+def _placed(distinct: DataFrame, tree: Tree, shape: Shape) -> DataFrame:
     """The rows with their leaf and their distance to each centre on the way to it."""
     shared = distinct.sparkSession.sparkContext.broadcast((tree.centres, tree.levels[-1], tree.path()))
 
@@ -112,7 +124,7 @@ def _placed(distinct: DataFrame, tree: Tree, size: int) -> DataFrame:
         centres, leaves, path = shared.value
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            far = distances(_unpack(batch.column(0), size).astype(np.float64), centres)
+            far = distances(shape.unpack(batch.column(0).to_pylist()).astype(np.float64), centres)
             leaf = far[:, leaves].argmin(axis=1)
             steps = np.take_along_axis(far, path[leaf], axis=1)
             return pa.RecordBatch.from_arrays(
@@ -199,7 +211,7 @@ def _blocks(rows: DataFrame, sizes: dict[int, int], size: int, prefix: str, kept
     return rows.groupBy(F.col("leaf").alias(f"{prefix}leaf"), part.alias(f"{prefix}part")).agg(F.collect_list(F.struct(*kept)).alias(f"{prefix}rows"))
 
 
-def _meet(queries: DataFrame, candidates: DataFrame, pairs: set[tuple[int, int]], size: int, k: int) -> DataFrame:
+def _meet(queries: DataFrame, candidates: DataFrame, pairs: set[tuple[int, int]], shape: Shape, k: int) -> DataFrame:
     """(vec, id, score): the k best candidates of each query in each pair of blocks."""
     spark = queries.sparkSession
     listed = F.broadcast(spark.createDataFrame(pa.table({"qleaf": pa.array([a for a, _ in pairs], pa.int32()), "cleaf": pa.array([b for _, b in pairs], pa.int32())})))
@@ -213,7 +225,7 @@ def _meet(queries: DataFrame, candidates: DataFrame, pairs: set[tuple[int, int]]
             if key not in last:
                 last.clear()
                 rows = sorted(members.as_py(), key=lambda row: row["ids"][0])
-                vecs = np.frombuffer(b"".join(row["vec"] for row in rows), np.int64).reshape(-1, size)
+                vecs = shape.unpack([row["vec"] for row in rows])
                 last[key] = vecs, [row["ids"] for row in rows], np.array([row["ids"][0] for row in rows])
             return last[key]
 
@@ -231,7 +243,7 @@ def _meet(queries: DataFrame, candidates: DataFrame, pairs: set[tuple[int, int]]
             for i in range(batch.num_rows):
                 held, every, smallest = candidates_of((batch.column(0)[i].as_py(), batch.column(1)[i].as_py()), batch.column(3)[i])
                 asked = batch.column(2)[i].as_py()
-                query = np.frombuffer(b"".join(row["vec"] for row in asked), np.int64).reshape(-1, size)
+                query = shape.unpack([row["vec"] for row in asked])
                 scores = products(query, held)
                 places = best(scores)
                 top = np.take_along_axis(scores, places, axis=1)
@@ -254,7 +266,8 @@ def _meet(queries: DataFrame, candidates: DataFrame, pairs: set[tuple[int, int]]
 
     def products(a, b):
         """Exact integer products, in floating point where that is exact."""
-        peak = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(size, 1)
+        a, b = a.astype(np.int64), b.astype(np.int64)
+        peak = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * shape.size
         if peak < 2 ** 53:
             kind = np.float32 if peak < 2 ** 24 else np.float64
             return (a.astype(kind) @ b.astype(kind).T).astype(np.int64)
@@ -272,11 +285,11 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: float = 64.0,
     spark = vectors.sparkSession
     best_first = [F.desc("score"), F.asc("id")]
     items = stored(quantised(vectors, key, vector, scale), "vectors")
-    size = items.agg(F.max(F.size("vec"))).first()[0]
-    if size is None:
+    found = items.agg(F.max(F.size("vec")).alias("size"), F.min(F.array_min("vec")).alias("low"), F.max(F.array_max("vec")).alias("high"), F.count("*").alias("n")).first()
+    if not found.n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    size = max(size, 1)
-    items = stored(_packed(items, size), "vectors-packed")
+    shape = Shape.of(found.size, found.low or 0, found.high or 0)
+    items = stored(_packed(items, shape), "vectors-packed")
     asked = F.col("id") % every == 0
     # One more than k, since a query's own id is dropped only at the end.
     few = _leading(items, "vec", k + 1, [F.asc("id")]).groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids"))
@@ -285,8 +298,8 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: float = 64.0,
     distinct = stored(distinct, "vectors-distinct")
 
     sample = distinct.select("vec").orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE).toArrow()
-    tree = grow(_unpack(sample.column(0).combine_chunks() if sample.num_rows else pa.array([], pa.binary()), size).astype(np.float64))
-    placed = stored(_placed(distinct, tree, size), "vectors-placed")
+    tree = grow(shape.unpack(sample.column(0).to_pylist()).astype(np.float64), min(LEAVES, 8 + found.n // PER_LEAF))
+    placed = stored(_placed(distinct, tree, shape), "vectors-placed")
     depth = len(tree.levels)
     radii = placed.groupBy("leaf").agg(
         F.count("*").alias("n"), F.count_if("asked").alias("n_asked"),
@@ -299,13 +312,13 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: float = 64.0,
     held = stored(_blocks(placed, sizes, BLOCK, "c", ["vec", "ids"]), "blocks")
     groups = stored(_blocks(placed.filter("asked"), {row.leaf: row.n_asked for row in radii if row.n_asked}, GROUP, "q", ["vec"]), "query-blocks")
     first = bounds.first(sizes, k + 1)
-    near = stored(_leading(_meet(groups, held, first, size, k + 1), "vec", k + 1, best_first), "near")
+    near = stored(_leading(_meet(groups, held, first, shape, k + 1), "vec", k + 1, best_first), "near")
     kth = near.groupBy("vec").agg(F.count("*").alias("n"), F.min("score").alias("kth"))
     worst = placed.filter("asked").select("vec", "leaf").join(kth, "vec").groupBy("leaf").agg(F.min(F.when(F.col("n") > k, F.col("kth").cast("double")).otherwise(float("-inf"))).alias("kth"))
     rest = bounds.open_pairs({row.leaf: row.kth for row in worst.collect()}) - first
-    found = near.drop("rank")
+    best = near.drop("rank")
     if rest:
-        found = found.union(_meet(groups, held, rest, size, k + 1))
-    top = stored(_leading(found, "vec", k + 1, best_first).drop("rank"), "top")
+        best = best.union(_meet(groups, held, rest, shape, k + 1))
+    top = stored(_leading(best, "vec", k + 1, best_first).drop("rank"), "top")
     own = queries.select(F.col("id").alias("query_id"), "vec").join(top, "vec").filter("id <> query_id")
     return _leading(own, "query_id", k, best_first).select("query_id", "rank", F.col("id").alias("vec_id"), "score")
