@@ -63,8 +63,8 @@ def load_watermark(spark, folder):
     source = order_source(spark, folder)
     # The two marks are fetched, as a run does, so that each costs one scan and prunes the next.
     saved = incremental.last_watermark(yearly_marks(spark, folder), PIPELINE, TABLE).first().last_watermark
-    low = F.lit(saved) if saved else full.moment(incremental.EPOCH)
-    high = F.lit(incremental.new_watermark(source, "o_orderdate", full.moment("2000-12-31 00:00:00")).first()[0])
+    low = full.moment(str(saved or incremental.EPOCH))
+    high = full.moment(str(incremental.new_watermark(source, "o_orderdate", full.moment("2000-12-31 00:00:00")).first()[0]))
     found = incremental.batch_statistics(source, "o_orderdate", low, high)
     return found.select(low.alias("last_watermark"), high.alias("new_watermark"), "records_loaded")
 
