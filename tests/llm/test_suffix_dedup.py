@@ -38,7 +38,7 @@ def check(spark, texts, length, limit):
     return sum(map(len, expected))
 
 
-@pytest.mark.parametrize("limit", [1, 32_768])
+@pytest.mark.parametrize("limit", [1, 8192])
 @pytest.mark.parametrize("length", [40, 60])
 def test_pasted_passages_against_brute_force(spark, length, limit):
     random.seed(length)
@@ -56,7 +56,7 @@ def test_pasted_passages_against_brute_force(spark, length, limit):
 
 
 def test_odd_documents(spark):
-    assert check(spark, cases.odd_texts(), 400, 32_768) > 10
+    assert check(spark, cases.odd_texts(), 400, 8192) > 10
 
 
 def test_other_columns_and_repeated_rows(spark):

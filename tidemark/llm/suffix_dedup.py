@@ -13,8 +13,8 @@ with one hash whose texts agree on ``left`` bytes before and ``right`` bytes fro
    interval tree. In every interval the members are scanned by what stands before them; each set that agrees
    on enough bytes to the left, differs beyond (left diversity) and spans two children (right diversity) is a
    maximal repeat, reported with all its occurrences.
-3. A hash with more than ``limit`` contexts is not gathered: its contexts are dealt out as hashed strings, one per
-   place of the anchor in the string, and counted. That is exact too and linear.
+3. A hash with more than ``limit`` contexts is not gathered: digests of strings around the anchor are counted for
+   ranges of places of the anchor in the string, which are narrowed until settled. That is exact too and linear.
 4. Occurrences meet their document again by a 128-bit key of the text, and spans are cut out.
 
 Null text is empty. A text shorter than ``length`` is kept whole. Repeated rows repeat their whole text, so they lose all of
@@ -24,6 +24,7 @@ it if it is long enough. An empty table gives no rows. Other columns travel in o
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tidemark.llm.common import per_batch, stored, text_key, utf8
 
 GRAM = 32
+CUTS = 8
 CHUNK = 1 << 17  # string starts handled at once
 FILTER_BITS = 1 << 27  # of the set of hashes whose contexts are fetched: 16 MB, whatever the input
 FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
@@ -244,9 +246,11 @@ def maximal_repeats(before: list[bytes], after: list[bytes], length: int) -> Ite
 
 
 def repeats(found: DataFrame, length: int) -> DataFrame:
-    """(hash, context, repeat, left, right): the occurrences of each maximal repeat among the contexts of a hash.
+    """(hash, context, repeat, left, right): the occurrences of the maximal repeats among the contexts of a hash.
 
-    The rows of a hash stand together, sorted by ``after``; a partition is read as a stream.
+    An occurrence is one row however many nested repeats it is part of: ``left`` and ``right`` are how far they
+    reach together, ``repeat`` numbers the one with most occurrences. The rows of a hash stand together, sorted by
+    ``after``; a partition is read as a stream.
     """
     schema = "hash long, context long, repeat int, left long, right long"
 
@@ -265,50 +269,79 @@ def repeats(found: DataFrame, length: int) -> DataFrame:
 
     def runs(table, bounds):
         hashes, found = table.column(0).to_numpy(), table.column(1).to_numpy()
-        before, after = table.column(2).to_pylist(), table.column(3).to_pylist()
-        at, number, lefts, rights = [], [], [], []
+        lefts, rights, sizes = (np.zeros(len(hashes), np.int64) for _ in range(3))
+        number = np.zeros(len(hashes), np.int32)
         for a, b in zip(bounds, bounds[1:], strict=False):
             if b - a < 2:
                 continue
-            for i, (members, left, right) in enumerate(maximal_repeats(before[a:b], after[a:b], length)):
-                at.append(members + a)
-                number += [i] * len(members)
-                lefts += [left] * len(members)
-                rights += [right] * len(members)
-        at = np.concatenate(at) if at else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(hashes[at]), pa.array(found[at]), pa.array(number, pa.int32()), pa.array(lefts, pa.int64()), pa.array(rights, pa.int64())],
-            ["hash", "context", "repeat", "left", "right"],
-        )
+            before, after = (table.column(i).slice(a, b - a).to_pylist() for i in (2, 3))
+            for i, (members, left, right) in enumerate(maximal_repeats(before, after, length)):
+                at = members + a
+                number[at] = np.where(sizes[at] < len(at), i, number[at])
+                sizes[at] = np.maximum(sizes[at], len(at))
+                lefts[at] = np.maximum(lefts[at], left)
+                rights[at] = np.maximum(rights[at], right)
+        at = np.flatnonzero(sizes)
+        yield pa.RecordBatch.from_arrays([pa.array(column[at]) for column in (hashes, found, number, lefts, rights)], ["hash", "context", "repeat", "left", "right"])
 
     return found.repartition("hash").sortWithinPartitions("hash", "after").mapInArrow(run, schema)
 
 
-def dealt_strings(found: DataFrame, length: int) -> DataFrame:
-    """(hash, context, left, right) as ``repeats`` finds them, for hashes with too many contexts to gather."""
+def _places(frame: DataFrame, length: int) -> DataFrame:
+    """For each (context, lo, hi) the string that all strings with lo to hi bytes before the anchor share, and the
+    string they cover together, as digests; null where the text ends before it. Rows without the first are dropped."""
     def make():
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            at, digests, lefts = [], [], []
-            for i, (before, after) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                text = before[::-1] + after
-                for left in range(max(0, length - len(after)), len(before) + 1):
-                    start = len(before) - left
-                    at.append(i)
-                    lefts.append(left)
-                    digests.append(xxhash.xxh3_128_digest(text[start:start + length]))
+            at, shared, covered = [], [], []
+            for i, (lo, hi, before, after) in enumerate(zip(*(batch.column(c).to_pylist() for c in (2, 3, 4, 5)), strict=True)):
+                if len(before) < lo or len(after) < length - hi:
+                    continue
+                text, anchor = before[::-1] + after, len(before)
+                at.append(i)
+                shared.append(xxhash.xxh3_128_digest(text[anchor - lo:anchor + length - hi]))
+                whole = len(before) >= hi and len(after) >= length - lo
+                covered.append(xxhash.xxh3_128_digest(text[anchor - hi:anchor + length - lo]) if whole else None)
             rows = pa.array(at, pa.int64())
             return pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(digests, pa.binary()), pa.array(lefts, pa.int64())],
-                ["hash", "context", "string", "left"],
+                [*[batch.column(c).take(rows) for c in range(4)], pa.array(shared, pa.binary()), pa.array(covered, pa.binary())],
+                ["hash", "context", "lo", "hi", "shared", "covered"],
             )
 
         return each
 
-    strings = stored(per_batch(found, "hash long, context long, string binary, left long", make), "strings")
-    # By place of the anchor too: a periodic text has several anchors in one string, and equal strings agree on all of them.
-    twice = strings.groupBy("hash", "string", "left").agg(F.count("*").alias("n")).filter("n > 1")
-    again = strings.join(twice, ["hash", "string", "left"], "left_semi")
-    return again.groupBy("hash", "context").agg(F.max("left").alias("left"), (F.lit(length) - F.min("left")).alias("right"))
+    return per_batch(frame, "hash long, context long, lo int, hi int, shared binary, covered binary", make)
+
+
+def narrowed(found: DataFrame, length: int) -> DataFrame:
+    """(hash, context, left, right) as ``repeats`` finds them, for hashes with too many contexts to gather.
+
+    A string through the anchor is named by the number of bytes before it. A range of such numbers is settled
+    when the string it covers occurs twice, dropped when the part all its strings share does not, and else cut into
+    ``CUTS`` ranges. Every step only counts digests, so no hash is gathered; a context keeps a few ranges per step.
+    """
+    at = found.select("hash", "context", F.lit(0).alias("lo"), F.lit(length - GRAM).alias("hi"))
+    settled, width = [], length - GRAM + 1
+    while True:
+        places = stored(_places(at.join(found, ["hash", "context"]).select("hash", "context", "lo", "hi", "before", "after"), length), "string-ranges")
+        twice = places.filter("covered IS NOT NULL").groupBy("hash", "lo", "hi", "covered").agg(F.count("*").alias("n")).filter("n > 1")
+        known = stored(places.join(twice, ["hash", "lo", "hi", "covered"], "left_semi").select("hash", "context", "lo", "hi"), "settled-ranges")
+        settled.append(known)
+        if width == 1:
+            break
+        # Settled contexts go on as long as one they share a string with is not: they may be all it repeats.
+        flagged = places.join(known.withColumn("done", F.lit(True)), ["hash", "context", "lo", "hi"], "left")
+        alive = flagged.groupBy("hash", "lo", "hi", "shared").agg(F.count("*").alias("n"), F.count_if(F.col("done").isNull()).alias("open"))
+        going = places.join(alive.filter("n > 1 AND open > 0"), ["hash", "lo", "hi", "shared"], "left_semi")
+        step = -(-width // CUTS)
+        cuts = F.sequence(F.col("lo"), F.col("hi"), F.lit(step))
+        at = going.select("hash", "context", "hi", F.explode(cuts).alias("lo")).select(
+            "hash", "context", "lo", F.least("hi", F.col("lo") + step - 1).alias("hi"))
+        at, width = stored(at, "string-cuts"), step
+        if at.isEmpty():
+            break
+    every = reduce(DataFrame.union, settled)
+    return every.groupBy("hash", "context").agg(
+        F.max("hi").cast("long").alias("left"), (F.lit(length) - F.min("lo")).cast("long").alias("right"))
 
 
 def occurrences(texts: DataFrame, length: int, limit: int) -> DataFrame:
@@ -316,7 +349,9 @@ def occurrences(texts: DataFrame, length: int, limit: int) -> DataFrame:
     every = stored(indexed(texts, length), "anchors")
     counted = every.groupBy("hash").agg(F.count("*").alias("n"), (F.min("context") != F.max("context")).alias("differ"))
     counted = stored(counted.filter("n > 1").select("hash", "differ"), "repeated-anchors")
-    again = stored(every.join(counted, "hash").groupBy("hash", "context", "k", "at", "differ").agg(F.count("*").alias("n")), "places")
+    # Dealt anew after the join: rows of one frequent hash need not stay in one task.
+    again = every.join(counted, "hash").repartition("hash", "context", "k", "at")
+    again = stored(again.groupBy("hash", "context", "k", "at", "differ").agg(F.count("*").alias("n")), "places")
     known = stored(again.groupBy("hash", "context", "differ").agg(F.sum("n").alias("n")), "contexts")
 
     mixed = known.filter("differ").select("hash", "context")
@@ -325,7 +360,8 @@ def occurrences(texts: DataFrame, length: int, limit: int) -> DataFrame:
     sizes = mixed.groupBy("hash").agg(F.count("*").alias("n"))
     over = stored(sizes.filter(F.col("n") > limit).select("hash"), "crowded")
     reached = repeats(fetched.join(over, "hash", "left_anti"), length).select("hash", "context", "left", "right")
-    reached = reached.union(dealt_strings(fetched.join(over, "hash", "left_semi"), length))
+    if not over.isEmpty():
+        reached = reached.union(narrowed(stored(fetched.join(over, "hash", "left_semi"), "crowded-contexts"), length))
     # A context that occurs twice is repeated as far as it reaches.
     whole = known.filter("n > 1").select("hash", "context", F.lit(length).cast("long").alias("left"), F.lit(length).cast("long").alias("right"))
     reached = reached.union(whole).groupBy("hash", "context").agg(F.max("left").alias("left"), F.max("right").alias("right"))
@@ -353,7 +389,7 @@ def cut(text: bytes, spans: list[dict], length: int) -> tuple[list[tuple[int, in
     return [tuple(run) for run in removed], b"".join(kept)
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", limit: int = 32_768) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", limit: int = 8192) -> DataFrame:
     """(row, n_bytes, spans, kept): each row without its text, the text's size, the removed byte runs and the rest."""
     texts = _texts(docs, text)
     found = stored(occurrences(texts, length, limit), "repeat-spans")
