@@ -303,13 +303,13 @@ def _places(frame: DataFrame, length: int) -> DataFrame:
                 covered.append(xxhash.xxh3_128_digest(text[anchor - hi:anchor + length - lo]) if whole else None)
             rows = pa.array(at, pa.int64())
             return pa.RecordBatch.from_arrays(
-                [*[batch.column(c).take(rows) for c in range(4)], pa.array(shared, pa.binary()), pa.array(covered, pa.binary())],
-                ["hash", "context", "lo", "hi", "shared", "covered"],
+                [*[batch.column(c).take(rows) for c in (0, 1, 2, 3, 6)], pa.array(shared, pa.binary()), pa.array(covered, pa.binary())],
+                ["hash", "context", "lo", "hi", "weight", "shared", "covered"],
             )
 
         return each
 
-    return per_batch(frame, "hash long, context long, lo int, hi int, shared binary, covered binary", make)
+    return per_batch(frame, "hash long, context long, lo int, hi int, weight int, shared binary, covered binary", make)
 
 
 def narrowed(found: DataFrame, length: int) -> DataFrame:
@@ -317,25 +317,28 @@ def narrowed(found: DataFrame, length: int) -> DataFrame:
 
     A string through the anchor is named by the number of bytes before it. A range of such numbers is settled
     when the string it covers occurs twice, dropped when the part all its strings share does not, and else cut into
-    ``CUTS`` ranges. Every step only counts digests, so no hash is gathered; a context keeps a few ranges per step.
+    ``CUTS`` ranges. Every step only counts digests, so no hash is gathered; a context keeps a few ranges per step,
+    and of contexts settled by one string a single one, counted as two, stays for others to meet.
     """
-    at = found.select("hash", "context", F.lit(0).alias("lo"), F.lit(length - GRAM).alias("hi"))
+    at = found.select("hash", "context", F.lit(0).alias("lo"), F.lit(length - GRAM).alias("hi"), F.lit(1).alias("weight"))
     settled, width = [], length - GRAM + 1
     while True:
-        places = stored(_places(at.join(found, ["hash", "context"]).select("hash", "context", "lo", "hi", "before", "after"), length), "string-ranges")
-        twice = places.filter("covered IS NOT NULL").groupBy("hash", "lo", "hi", "covered").agg(F.count("*").alias("n")).filter("n > 1")
-        known = stored(places.join(twice, ["hash", "lo", "hi", "covered"], "left_semi").select("hash", "context", "lo", "hi"), "settled-ranges")
-        settled.append(known)
+        named = at.join(found, ["hash", "context"]).select("hash", "context", "lo", "hi", "before", "after", "weight")
+        places = stored(_places(named, length), "string-ranges")
+        twice = places.filter("covered IS NOT NULL").groupBy("hash", "lo", "hi", "covered").agg(
+            F.sum("weight").alias("n"), F.min("context").alias("stands")).filter("n > 1")
+        marked = stored(places.join(twice, ["hash", "lo", "hi", "covered"], "left"), "marked-ranges")
+        settled.append(marked.filter("stands IS NOT NULL").select("hash", "context", "lo", "hi"))
         if width == 1:
             break
-        # Settled contexts go on as long as one they share a string with is not: they may be all it repeats.
-        flagged = places.join(known.withColumn("done", F.lit(True)), ["hash", "context", "lo", "hi"], "left")
-        alive = flagged.groupBy("hash", "lo", "hi", "shared").agg(F.count("*").alias("n"), F.count_if(F.col("done").isNull()).alias("open"))
-        going = places.join(alive.filter("n > 1 AND open > 0"), ["hash", "lo", "hi", "shared"], "left_semi")
+        # Of contexts that are settled by the same string one goes on for all, as what others may repeat.
+        going = marked.filter("stands IS NULL OR stands = context").withColumn("weight", F.when(F.col("stands").isNull(), F.col("weight")).otherwise(2))
+        alive = going.groupBy("hash", "lo", "hi", "shared").agg(F.sum("weight").alias("n"), F.count_if(F.col("stands").isNull()).alias("open"))
+        going = going.join(alive.filter("n > 1 AND open > 0"), ["hash", "lo", "hi", "shared"], "left_semi")
         step = -(-width // CUTS)
         cuts = F.sequence(F.col("lo"), F.col("hi"), F.lit(step))
-        at = going.select("hash", "context", "hi", F.explode(cuts).alias("lo")).select(
-            "hash", "context", "lo", F.least("hi", F.col("lo") + step - 1).alias("hi"))
+        at = going.select("hash", "context", "hi", "weight", F.explode(cuts).alias("lo")).select(
+            "hash", "context", "lo", F.least("hi", F.col("lo") + step - 1).alias("hi"), "weight")
         at, width = stored(at, "string-cuts"), step
         if at.isEmpty():
             break
