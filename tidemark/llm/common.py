@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tidemark.session import workspace
 
+PIECE_BYTES = 4 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -36,12 +37,17 @@ def text_key(text: Column) -> Column:
 
 
 def per_batch(frame: DataFrame, schema: str | T.StructType, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
-    """mapInArrow with state per task: ``make`` runs once in the task and returns the batch function."""
+    """mapInArrow with state per task: ``make`` runs once in the task and returns the batch function.
+
+    Batches are worked on in pieces of about PIECE_BYTES, which bounds what a worker holds besides its input.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        each = make()
+        each, pool = make(), pa.default_memory_pool()
         for batch in batches:
-            if batch.num_rows:
-                yield each(batch)
+            step = max(1, batch.num_rows * PIECE_BYTES // max(batch.nbytes, 1))
+            for first in range(0, batch.num_rows, step):
+                yield each(batch.slice(first, step))
+            pool.release_unused()
 
     return frame.mapInArrow(run, schema)
 

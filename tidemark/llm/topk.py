@@ -212,7 +212,8 @@ def _blocks(rows: DataFrame, sizes: dict[int, int], size: int, prefix: str, kept
 
 
 def _meet(queries: DataFrame, candidates: DataFrame, pairs: set[tuple[int, int]], shape: Shape, k: int) -> DataFrame:
-    """(vec, id, score): the k best candidates of each query in each pair of blocks."""
+    """(vec, id, score): the k best candidates of each query in each pair of blocks, without those below the
+    query's own ``kth`` score so far."""
     spark = queries.sparkSession
     listed = F.broadcast(spark.createDataFrame(pa.table({"qleaf": pa.array([a for a, _ in pairs], pa.int32()), "cleaf": pa.array([b for _, b in pairs], pa.int32())})))
     wanted = queries.select("qleaf", "qpart").join(listed, "qleaf").join(candidates.select("cleaf", "cpart"), "cleaf")
@@ -247,13 +248,14 @@ def _meet(queries: DataFrame, candidates: DataFrame, pairs: set[tuple[int, int]]
                 scores = products(query, held)
                 places = best(scores)
                 top = np.take_along_axis(scores, places, axis=1)
+                enough = top >= np.array([row["kth"] for row in asked])[:, None]
                 if len(every) == sum(map(len, every)):
-                    vecs += [row["vec"] for row in asked for _ in range(places.shape[1])]
-                    ids.append(smallest[places].ravel())
-                    found.append(top.ravel())
+                    vecs += [asked[row]["vec"] for row in np.nonzero(enough)[0].tolist()]
+                    ids.append(smallest[places[enough]])
+                    found.append(top[enough])
                     continue
                 for row, at, values in zip(asked, places.tolist(), top.tolist(), strict=True):
-                    ranked = sorted((-value, one) for place, value in zip(at, values, strict=True) for one in every[place])[:k]
+                    ranked = sorted((-value, one) for place, value in zip(at, values, strict=True) if value >= row["kth"] for one in every[place])[:k]
                     vecs += [row["vec"]] * len(ranked)
                     ids.append(np.array([one for _, one in ranked], np.int64))
                     found.append(np.array([-value for value, _ in ranked], np.int64))
@@ -310,15 +312,19 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: float = 64.0,
     bounds = Bounds(tree, {row.leaf: row.far for row in radii if row.n_asked}, {row.leaf: row.held for row in radii})
 
     held = stored(_blocks(placed, sizes, BLOCK, "c", ["vec", "ids"]), "blocks")
-    groups = stored(_blocks(placed.filter("asked"), {row.leaf: row.n_asked for row in radii if row.n_asked}, GROUP, "q", ["vec"]), "query-blocks")
+    asked_sizes = {row.leaf: row.n_asked for row in radii if row.n_asked}
+    no_score = F.lit(-(2 ** 63)).cast("long")
+    groups = stored(_blocks(placed.filter("asked").withColumn("kth", no_score), asked_sizes, GROUP, "q", ["vec", "kth"]), "query-blocks")
     first = bounds.first(sizes, k + 1)
     near = stored(_leading(_meet(groups, held, first, shape, k + 1), "vec", k + 1, best_first), "near")
-    kth = near.groupBy("vec").agg(F.count("*").alias("n"), F.min("score").alias("kth"))
-    worst = placed.filter("asked").select("vec", "leaf").join(kth, "vec").groupBy("leaf").agg(F.min(F.when(F.col("n") > k, F.col("kth").cast("double")).otherwise(float("-inf"))).alias("kth"))
+    kth = near.groupBy("vec").agg(F.when(F.count("*") > k, F.min("score")).otherwise(no_score).alias("kth"))
+    reached = stored(placed.filter("asked").select("vec", "leaf").join(kth, "vec"), "kth-scores")
+    worst = reached.groupBy("leaf").agg(F.min(F.col("kth").cast("double")).alias("kth"))
     rest = bounds.open_pairs({row.leaf: row.kth for row in worst.collect()}) - first
     best = near.drop("rank")
     if rest:
-        best = best.union(_meet(groups, held, rest, shape, k + 1))
+        again = stored(_blocks(reached, asked_sizes, GROUP, "q", ["vec", "kth"]), "query-blocks-again")
+        best = best.union(_meet(again, held, rest, shape, k + 1))
     top = stored(_leading(best, "vec", k + 1, best_first).drop("rank"), "top")
     own = queries.select(F.col("id").alias("query_id"), "vec").join(top, "vec").filter("id <> query_id")
     return _leading(own, "query_id", k, best_first).select("query_id", "rank", F.col("id").alias("vec_id"), "score")

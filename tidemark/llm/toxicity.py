@@ -30,6 +30,7 @@ from tidemark.llm.common import per_batch, stored
 ROWS = 8000  # labelled ids the lexicon is learned from, at most
 ENTRIES = 2000
 STEMS = range(3, 9)  # lengths of word stems
+HELD = 100_000  # terms a task counts before it hands them on
 LEAST = 4  # toxic documents an entry must occur in
 
 # Letters of other scripts that look like Latin ones, and what digits and signs stand for.
@@ -95,10 +96,12 @@ def _counted(sample: DataFrame, of) -> DataFrame:
     def run(batches):
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts[label > 0].update(of(fold(text)))
-            yield packed(*counts)
-            counts = (Counter(), Counter())
+            for text, label in zip(batch.column(0), batch.column(1), strict=True):
+                counts[label.as_py() > 0].update(of(fold(text.as_py())))
+                if len(counts[0]) + len(counts[1]) > HELD:  # what a task holds; Spark adds the parts up
+                    yield packed(*counts)
+                    counts = (Counter(), Counter())
+        yield packed(*counts)
 
     def packed(clean, toxic):
         found = list(clean.keys() | toxic.keys())
@@ -173,7 +176,7 @@ def _weighed(sample: DataFrame, entries: dict[str, float], exceptions: list[str]
         built = automaton(entries, exceptions)
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [weigh(fold(text), built) for text in batch.column(0).to_pylist()]
+            found = [weigh(fold(text.as_py()), built) for text in batch.column(0)]
             return pa.RecordBatch.from_arrays([pa.array(found, pa.float64()), batch.column(1)], ["weight", "label"])
 
         return each
@@ -205,8 +208,8 @@ def score(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
         built = automaton(entries, exceptions)
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = batch.column(0).field(at).to_pylist()
-            margins = np.array([slope * math.log1p(weigh(fold(text or ""), built)) + intercept for text in texts])
+            texts = batch.column(0).field(at)
+            margins = np.array([slope * math.log1p(weigh(fold(text.as_py() or ""), built)) + intercept for text in texts])
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(1.0 / (1.0 + np.exp(-np.clip(margins, -30, 30))))], ["row", "score"])
 
         return each
