@@ -78,3 +78,13 @@ def test_odd_and_empty_documents(spark):
         pipeline.STAGES[-1][1](spark, docs, FOLDER).collect()
     kept = pipeline.drop_near_duplicates(spark, cases.documents(spark, ["same words here now"] * 4), FOLDER)
     assert kept.count() == 1 and kept.first().doc_id == 0
+
+
+@pytest.mark.parametrize("labels", [
+    [], [(10_000, 1), (10_001, 0)], [(i, 1) for i in range(60)], [(i, 0) for i in range(60)],
+    [(i, int(i % 4 > 0)) for i in range(60)],  # mostly toxic, and no word tells them apart
+])
+def test_nothing_is_dropped_as_toxic_by_an_empty_lexicon(spark, tmp_path, labels):
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = cases.documents(spark, ["the same few words"] * 60)
+    assert pipeline.drop_toxic(spark, docs, str(tmp_path)).count() == docs.count()

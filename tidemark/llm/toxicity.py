@@ -9,8 +9,9 @@ The lexicon is learned from a bounded sample of labelled documents (``ROWS`` ids
 class by Spark, those that a likelihood-ratio test singles out are kept (``ENTRIES`` at most), and phrases that
 hold an entry yet occur only in harmless texts become exceptions. Scoring is a projection over whole texts.
 
-Null and empty texts hold nothing and get the lowest score. Repeated rows get equal scores, an empty table no rows. Without
-labelled rows the lexicon is empty and all scores are equal.
+Null and empty texts hold nothing and get the lowest score. Repeated rows get equal scores, an empty table no rows. Where
+nothing can be learned (no labelled row, labels of one class, no telling term) the lexicon is empty and all scores are
+equal and below one half: that nothing matched is no evidence of toxicity.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ ENTRIES = 2000
 STEMS = range(3, 9)  # lengths of word stems
 HELD = 100_000  # terms a task counts before it hands them on
 LEAST = 4  # toxic documents an entry must occur in
+UNMATCHED = -math.log(3.0)  # highest margin of an empty lexicon, a score of 0.25
 
 # Letters of other scripts that look like Latin ones, and what digits and signs stand for.
 LOOKALIKES = str.maketrans({
@@ -140,13 +142,18 @@ def choose(counted: list[tuple[str, int, int]], rate: float, distinct: int) -> d
     return chosen
 
 
+def _empty(n_toxic: int, n_clean: int) -> Lexicon:
+    """A lexicon that matches nothing, so that its score says at most the share of toxic rows, and never toxic."""
+    return Lexicon({}, [], 1.0, min(math.log((n_toxic + 0.5) / (n_clean + 0.5)), UNMATCHED))
+
+
 def learn(sample: DataFrame) -> Lexicon:
     """A lexicon from rows (key, text, label), which the caller has bounded."""
     sample = stored(sample.select("text", "label"), "toxicity-sample")
     sizes = dict(sample.groupBy((F.col("label") > 0).alias("toxic")).count().collect())
     n_toxic, n_clean = sizes.get(True, 0), sizes.get(False, 0)
     if not n_toxic or not n_clean:
-        return Lexicon({}, [], 1.0, 0.0 if not sizes else math.log((n_toxic + 0.5) / (n_clean + 0.5)))
+        return _empty(n_toxic, n_clean)
     rate = n_toxic / (n_toxic + n_clean)
     counted = stored(_counted(sample, lambda words: terms(set(words))), "toxicity-terms")
     telling = counted.filter((F.col("toxic") >= LEAST) & (F.col("toxic") > 2 * F.col("clean")))
@@ -154,6 +161,8 @@ def learn(sample: DataFrame) -> Lexicon:
     best = telling.orderBy(F.desc(F.col("toxic") - 2 * F.col("clean")), "term").limit(20 * ENTRIES).collect()
     distinct = counted.filter((F.col("toxic") + F.col("clean")) >= LEAST).count()
     entries = choose([tuple(row) for row in best], rate, distinct)
+    if not entries:
+        return _empty(n_toxic, n_clean)
     matcher = {"entries": entries}
 
     def phrases(words: list[str]) -> set[str]:
