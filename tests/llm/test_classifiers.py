@@ -103,3 +103,12 @@ def test_quality_fit_moves_towards_the_labels():
         at, x = quality.features(text)
         assert (weights[at] @ x > 0) == bool(label)
     assert (weights == 0).mean() > 0.9
+
+
+def test_sample_has_one_row_per_id(spark):
+    texts = [(i, f"t{i}") for i in range(50)] + [(3, f"other {i % 9}") for i in range(400)] + [(4, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int")
+    found = [sorted(labelled.sample(rows, labels, "toxic", 50, 99, 40).collect()) for rows in (docs, docs.repartition(7))]
+    assert found[0] == found[1] and len(found[0]) == len({r.key for r in found[0]}) == 40
+    assert all((r.key, r.text or None) in texts and r.label == r.key % 2 for r in found[0])
