@@ -65,3 +65,17 @@ def test_files_can_be_read_back(spark):
 
 def test_empty_table(spark):
     assert warc.derive(warc.responses(spark.createDataFrame([], "page_id long, url string, html string"))).collect() == []
+
+
+def test_all_character_references(spark):
+    expected = {
+        "caf&eacute;": "café", "a&hellip;b &ndash; &apos;": "a…b – '", "&#8217;&#x27;&#X2019;": "’'’", "a&#160;b&nbsp;c&#xA0;d": "a b c d",
+        "&amp;lt; &amp;#39; &#38;amp;": "&lt; &#39; &amp;", "&copy 1 &copycat; &notin; &notit;": "&copy 1 &copycat; ∉ &notit;",
+        "&nosuch; & &; &#; &#x; &#xZ;": "&nosuch; & &; &#; &#x; &#xZ;",
+        "&#0;&#xD800;&#x110000;&#128;&#1;&#x1F600;": "���€\x01😀", "&#" + "9" * 5000 + ";&#000065;": "�A",
+        "&lt;p&gt; &NotEqualTilde; &CounterClockwiseContourIntegral;": "<p> ≂̸ ∳", "a&NewLine;b&Tab;c": "a\nb c",
+    }
+    pages = spark.createDataFrame([(i, "http://e.test", f"<p>{html}</p>") for i, html in enumerate(expected)], "page_id long, url string, html string")
+    records = warc.derive(warc.responses(pages)).filter("warc_type = 'conversion'").orderBy("key").collect()
+    assert [r.block for r in records] == list(expected.values())
+    assert all(r.content_length == len(r.block.encode()) for r in records)
