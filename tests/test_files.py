@@ -59,6 +59,26 @@ def test_paths_agree_between_readers(spark, folder):
     assert all(r.file_hash and r.chunks == 1 and r.records_processed in (1, 3) for r in results.values())
 
 
+def test_results_of_all_files_whatever_the_case_of_their_suffix(spark, folder):
+    line = '{"transaction_id": "T5", "quantity": 1}\n'
+    (folder / "X.CSV").write_bytes((folder / "sales_data_1.csv").read_bytes())
+    (folder / "Y.Json").write_text(line * 2)
+    (folder / "blank.csv").write_text(HEADER + "T1,C1,P1,2,10.50\n\nT2,C2,P2,1,3.00\n")
+    (folder / "long.json").write_text(line * 2500)
+    (folder / "none.csv").write_text(HEADER)
+    landed = landing.read_landing(spark, str(folder), landing.landing_schema(), "csv").drop("filepath")
+    for name, part in (("Z.PARQUET", landed), ("z0.parquet", landed.limit(0))):
+        part.coalesce(1).write.parquet(str(folder / "parts" / name))
+        (folder / name).write_bytes(next((folder / "parts" / name).glob("part-*")).read_bytes())
+    found = landing.processing_results(spark, str(folder), landing.landing_schema())
+    results = {r.filepath.split("/")[-1]: r for r in found.filter("filepath NOT LIKE '%/parts/%'").collect()}
+    assert {n: (r.estimated_records, r.records_processed, r.chunks, r.status) for n, r in results.items()} == {
+        "sales_data_1.csv": (3, 3, 1, "success"), "sales_data_2.json": (1, 1, 1, "success"), "X.CSV": (3, 3, 1, "success"),
+        "Y.Json": (2, 2, 1, "success"), "blank.csv": (3, 2, 1, "mismatch"), "long.json": (2500, 2500, 2, "success"),
+        "none.csv": (0, 0, 1, "success"), "Z.PARQUET": (8, 8, 1, "success"), "z0.parquet": (0, 0, 1, "success"),
+    }
+
+
 def test_routes(spark):
     files = spark.createDataFrame(
         [("a.csv", 9.99, True), ("b.csv", 10.0, True), ("c.txt", 50.0, False), (None, None, None)],

@@ -92,9 +92,14 @@ def file_metadata(spark: SparkSession, path: str, whole: int = WHOLE_FILE_BYTES)
     )
 
 
-def line_estimates(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+def _suffix_glob(file_format: str) -> str:
+    """Names with this suffix in either case, as ``file_suffix`` judges them."""
+    return "*." + "".join(f"[{c.lower()}{c.upper()}]" for c in file_format)
+
+
+def line_estimates(spark: SparkSession, path: str, header: bool = True, names: str = "*") -> DataFrame:
     """Records per text file: its lines less the header. Large files are read in splits."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", names).text(path)
     counted = lines.groupBy(_source_file().alias("filepath")).agg(F.count(F.lit(1)).alias("lines"))
     return counted.select("filepath", (F.col("lines") - F.lit(1 if header else 0)).alias("estimated_records"))
 
@@ -121,7 +126,7 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType, file_form
     if f".{file_format}" not in SUPPORTED_FORMATS:
         raise ValueError(f"unsupported file format: {file_format!r}")
     reader = spark.read.schema(schema).option("recursiveFileLookup", "true")
-    reader = reader.option("pathGlobFilter", f"*.{file_format}")
+    reader = reader.option("pathGlobFilter", _suffix_glob(file_format))
     if file_format == "csv":
         reader = reader.option("header", "true")
     return reader.format(file_format).load(path).select("*", _source_file().alias("filepath"))
@@ -142,13 +147,26 @@ def content_id(files: DataFrame) -> Column:
     return files["file_hash"]
 
 
+def record_estimates(spark: SparkSession, path: str) -> DataFrame:
+    """Records per accepted file without parsing it: lines of text, less the header of CSV; row counts of Parquet footers."""
+    lines = line_estimates(spark, path, True, _suffix_glob("csv")).unionByName(
+        line_estimates(spark, path, False, _suffix_glob("json")))
+    footers = processed_records(read_landing(spark, path, T.StructType([]), "parquet"))
+    return lines.unionByName(footers.withColumnRenamed("records_processed", "estimated_records"))
+
+
 def processing_results(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """One row per supported file: how it is routed, its records as estimated and as read, its chunks and its hash."""
+    """One row per supported file: how it is routed, its records as estimated and as read, its chunks and its hash.
+
+    The status is ``success`` where both counts agree, else ``mismatch`` (a blank line, for one, is counted but not read).
+    """
     files = with_route(file_metadata(spark, path)).filter("is_supported_format")
-    read = processed_records(read_all_formats(spark, path, schema))
-    joined = files.join(read, "filepath", "left").withColumn("records_processed", F.coalesce("records_processed", F.lit(0)))
-    counted = with_chunks(joined.withColumn("estimated_records", F.col("records_processed"))).drop("estimated_records")
-    return counted.select("filepath", "route", "records_processed", "chunks", "file_hash", F.lit("success").alias("status"))
+    counts = {"estimated_records": record_estimates(spark, path), "records_processed": processed_records(read_all_formats(spark, path, schema))}
+    for name, found in counts.items():
+        files = files.join(found, "filepath", "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    status = F.when(F.col("estimated_records") == F.col("records_processed"), "success").otherwise("mismatch")
+    return with_chunks(files).select(
+        "filepath", "route", "estimated_records", "records_processed", "chunks", "file_hash", status.alias("status"))
 
 
 def unseen_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
