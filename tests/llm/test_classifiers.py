@@ -55,6 +55,21 @@ def test_folding_finds_disguised_words(spark, rude):
     assert plain == cyrillic == digits == capital > 0.5 > clean == nothing == null
 
 
+def test_disguised_words_beside_punctuation():
+    built = toxicity.automaton({" vermit ": 2.0, " scum ": 3.0, " fools ": 5.0, " as": 7.0}, [" scum bag "])
+
+    def total(text):
+        words, others = toxicity.readings(text)
+        assert words == toxicity.fold(text)
+        return toxicity.weigh(words, built, others) * (1.0 + np.log1p(len(words) / 100.0))
+
+    for text, expected in {
+        "vermi7,": 2, "vermi7.": 2, "vermi7 here": 2, "(5cum": 3, '"5cum': 3, "$cum!": 3, "fool$": 5, "fool$.": 5, "so fool$ there": 5,
+        "fool": 0, "as$": 7, "as@ as": 14, "25cum": 0, "vermi72": 0, "(5cum) bag": 0, "5cum$": 3, "$5 fool $5": 0,
+    }.items():
+        assert total(text) == pytest.approx(expected), text
+
+
 def test_exception_phrases_do_not_count(spark, rude):
     assert any("nitwit beetle" in phrase for phrase in rude.exceptions)
     spared, counted = scores(spark, rude, ["a noble nitwit beetle", "a noble beetle, nitwit"])

@@ -1,7 +1,9 @@
 """Toxicity scores from a weighted lexicon, matched by an Aho-Corasick automaton over folded text.
 
 Folding lower-cases, replaces look-alike letters of other scripts, reads digits and signs inside words as the letters
-they stand for, and puts one space between words. An entry is a word (`` word ``) or a word stem (`` stem``), so matches start
+they stand for, and puts one space between words. At a word's edge they count where no letter or digit follows or precedes;
+a closing ``$`` or ``@`` may be mere punctuation, so the word is tried without it and, if nothing matches, with it as a
+letter. 2, 6, 8, 9 and ``|`` are read as no letter. An entry is a word (`` word ``) or a word stem (`` stem``), so matches start
 at a word. Exception phrases are matched by the same automaton: entries inside one do not count. The weights found are
 added up and divided by a slowly growing measure of the text's length; a logistic curve turns that into a score.
 
@@ -19,6 +21,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Sequence
+from itertools import accumulate
 from typing import NamedTuple
 
 import ahocorasick
@@ -42,7 +46,8 @@ LOOKALIKES = str.maketrans({
     "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ı": "i", "ɡ": "g", "ⅼ": "l",
 })
 SIGNS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
-SIGN = re.compile(r"(?<=[^\W\d_])[013457@$!]+(?=[^\W\d_])|(?<![^\s])[013457@$]+(?=[^\W\d_])|(?<=[^\W\d_])[013457]+(?![^\s])")
+SIGN = re.compile(r"(?<=[^\W\d_])[013457@$!]+(?=[^\W\d_])|(?<![^\W_])[013457@$]+(?=[^\W\d_])|(?<=[^\W\d_])[013457]+(?![^\W_])")
+CLOSED = re.compile(r"([^\W\d_]+)([@$]*)(?![^\W_])|[^\W\d_]+")
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -53,12 +58,26 @@ class Lexicon(NamedTuple):
     intercept: float
 
 
-def fold(text: str) -> list[str]:
-    """The folded words of a text."""
+def _signs_read(text: str) -> str:
     text = text.lower()
     if not text.isascii():
         text = text.translate(LOOKALIKES)
-    return WORD.findall(SIGN.sub(lambda found: found[0].translate(SIGNS), text))
+    return SIGN.sub(lambda found: found[0].translate(SIGNS), text)
+
+
+def fold(text: str) -> list[str]:
+    """The folded words of a text."""
+    return WORD.findall(_signs_read(text))
+
+
+def readings(text: str) -> tuple[list[str], list[tuple[int, str]]]:
+    """The folded words, and for those closed by signs their place and the word with the signs as letters."""
+    text = _signs_read(text)
+    if "$" not in text and "@" not in text:
+        return WORD.findall(text), []
+    found = list(CLOSED.finditer(text))
+    others = [(i, (one[1] + one[2]).translate(SIGNS)) for i, one in enumerate(found) if one[2]]
+    return [one[1] or one[0] for one in found], others
 
 
 def automaton(entries: dict[str, float], exceptions: list[str]):
@@ -74,16 +93,31 @@ def automaton(entries: dict[str, float], exceptions: list[str]):
     return built
 
 
-def weigh(words: list[str], built) -> float:
-    """The weights of the entries outside exception phrases, by length."""
-    if built is None or not words:
-        return 0.0
+def _hits(words: list[str], built) -> tuple[set[int], list[tuple[int, float]]]:
+    """Where entries start in the joined words, and those outside exception phrases with their weights."""
     hits, spared = [], []
     for end, (size, weight) in built.iter(f" {' '.join(words)} "):
         (spared if weight is None else hits).append((end - size + 1, end, weight))
+    starts = {hit[0] for hit in hits}
     if spared:
         hits = [hit for hit in hits if not any(a <= hit[0] and hit[1] <= b for a, b, _ in spared)]
-    return sum(weight for _, _, weight in hits) / (1.0 + math.log1p(len(words) / 100.0))
+    return starts, [(start, weight) for start, _, weight in hits]
+
+
+def weigh(words: list[str], built, others: Sequence[tuple[int, str]] = ()) -> float:
+    """The weights of the entries outside exception phrases, by length. Where a word matches nothing, its other reading may."""
+    if built is None or not words:
+        return 0.0
+    starts, hits = _hits(words, built)
+    total = sum(weight for _, weight in hits)
+    if others:
+        places = list(accumulate((len(word) + 1 for word in words), initial=0))
+        for i, other in others:
+            if places[i] not in starts:
+                before = words[max(i - 1, 0):i]
+                at = sum(len(word) + 1 for word in before)
+                total += sum(weight for start, weight in _hits([*before, other, *words[i + 1:i + 2]], built)[1] if start == at)
+    return total / (1.0 + math.log1p(len(words) / 100.0))
 
 
 def terms(words: set[str]) -> set[str]:
@@ -185,7 +219,10 @@ def _weighed(sample: DataFrame, entries: dict[str, float], exceptions: list[str]
         built = automaton(entries, exceptions)
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [weigh(fold(text.as_py()), built) for text in batch.column(0)]
+            found = []
+            for text in batch.column(0):
+                words, others = readings(text.as_py())
+                found.append(weigh(words, built, others))
             return pa.RecordBatch.from_arrays([pa.array(found, pa.float64()), batch.column(1)], ["weight", "label"])
 
         return each
@@ -218,7 +255,8 @@ def score(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = batch.column(0).field(at)
-            margins = np.array([slope * math.log1p(weigh(fold(text.as_py() or ""), built)) + intercept for text in texts])
+            read = (readings(text.as_py() or "") for text in texts)
+            margins = np.array([slope * math.log1p(weigh(words, built, others)) + intercept for words, others in read])
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(1.0 / (1.0 + np.exp(-np.clip(margins, -30, 30))))], ["row", "score"])
 
         return each
