@@ -21,9 +21,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df, *columns):
-    """The rows as sorted tuples, NULLs first."""
-    chosen = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in chosen.collect()), key=lambda r: tuple((v is not None, str(v)) for v in r))

@@ -3,7 +3,7 @@
 import hashlib
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import sunday_week
