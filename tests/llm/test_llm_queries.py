@@ -16,7 +16,7 @@ def duck():
 def test_registry():
     import __spark_entry__ as contract
 
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in (*range(1, 11), 13)} == {name.split("_")[0] for name in QUERIES}
     assert contract.queries().keys() >= QUERIES.keys() | {"pipeline"}
     assert contract.oracle_sql().keys() >= ORACLES.keys()
 
@@ -31,5 +31,5 @@ def test_query(spark, duck, name):
         assert "Python" not in plan and "Arrow" not in plan
     if name in ORACLES:
         assert oracle.compare(frame, duck, ORACLES[name]) is None
-    else:
+    elif not name.startswith("op11_"):
         assert frame.count() == duck.execute(f"SELECT count(*) FROM {'pages' if name.startswith('op1_') else 'documents'}").fetchone()[0]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, labelled, line_dedup, quality, simhash, suffix_dedup, topk, toxicity, url_filter, warc
+from tidemark.llm import bpe, decontaminate, labelled, lexical, line_dedup, quality, simhash, suffix_dedup, topk, toxicity, url_filter, warc
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -231,3 +231,39 @@ SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 @query("op4_topk", OP4_SQL)
 def op4_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), k=20, every=20, scale=64.0)
+
+
+TERMS_SQL = "coalesce(regexp_extract_all(" + LOWER_SQL.format("text") + ", '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), [])"
+
+OP13_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS p, doc_id, {TERMS_SQL} AS words FROM documents
+), total AS (
+  SELECT count(*) AS n_docs, sum(len(words)) AS n_terms FROM docs WHERE len(words) > 0
+), items AS (
+  SELECT row_number() OVER () AS q, item_id, list_distinct({TERMS_SQL}) AS words FROM benchmark
+), wanted AS (
+  SELECT q, unnest(words) AS term FROM items
+), counted AS (
+  SELECT p, doc_id, n, term, count(*) AS tf
+  FROM (SELECT p, doc_id, len(words) AS n, unnest(words) AS term FROM docs)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM counted, total GROUP BY term
+), gains AS (
+  SELECT p, doc_id, term, CAST(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))) AS BIGINT) AS gain
+  FROM counted JOIN weights USING (term), total
+), scored AS (
+  SELECT q, p, any_value(doc_id) AS doc_id, CAST(sum(gain) AS BIGINT) AS score FROM wanted JOIN gains USING (term) GROUP BY q, p
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS place FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked JOIN items USING (q) WHERE place <= 10
+"""
+
+
+@query("op13_lexical_search", OP13_SQL)
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    found = lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("key").alias("doc_id"), "score")
