@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, labelled, lexical, line_dedup, quality, simhash, suffix_dedup, topk, toxicity, url_filter, warc
+from tidemark.llm import bpe, decontaminate, labelled, lexical, line_dedup, quality, simhash, spelling, suffix_dedup, topk, toxicity, url_filter, warc
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -267,3 +267,8 @@ SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked JOIN i
 def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     found = lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
     return found.select(F.col("item").alias("item_id"), "rank", F.col("key").alias("doc_id"), "score")
+
+
+@query("op11_spelling_variants")
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"), min_chars=7, min_count=2, ratio=10, slips=31)
