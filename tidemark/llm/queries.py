@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, labelled, lexical, line_dedup, quality, simhash, spelling, suffix_dedup, topk, toxicity, url_filter, warc
+from tidemark.llm import bpe, decontaminate, labelled, lexical, line_dedup, mixing, quality, simhash, spelling, suffix_dedup, topk, toxicity, url_filter, warc
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -272,3 +272,12 @@ def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_spelling_variants")
 def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(table(spark, folder, "documents"), min_chars=7, min_count=2, ratio=10, slips=31)
+
+
+@query("op12_context_mixing")
+def op12_context_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = mixing.scores(docs, labelled.fold(F.col("doc_id"), 10) == 0)
+    return found.select(
+        "row.doc_id", F.col("held").alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte",
+    )
