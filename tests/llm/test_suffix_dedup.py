@@ -87,3 +87,11 @@ def test_anchors_do_not_depend_on_the_chunk(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "CHUNK", 1000)
     parts = suffix_dedup.anchors(text, 100)
     assert whole[0].tolist() == parts[0].tolist() and whole[1].tolist() == parts[1].tolist()
+
+
+@pytest.mark.parametrize("limit", [2, 8192])
+def test_one_text_in_a_third_of_the_rows(spark, limit):
+    random.seed(9)
+    hot = "".join(random.choice("abcdefgh ") for _ in range(300))
+    others = ["".join(random.choice("abcdefgh ") for _ in range(120)) + (hot[50:150] if i % 5 == 0 else "") for i in range(60)]
+    assert check(spark, [hot] * 30 + others, 60, limit) >= 42

@@ -347,14 +347,29 @@ def narrowed(found: DataFrame, length: int) -> DataFrame:
         F.max("hi").cast("long").alias("left"), (F.lit(length) - F.min("lo")).cast("long").alias("right"))
 
 
+def combined(places: DataFrame) -> DataFrame:
+    """(hash, context, k, at, differ, n): equal rows counted as far as they stand together."""
+    def run(batches):
+        for batch in batches:
+            counted = pa.Table.from_batches([batch]).group_by(batch.schema.names).aggregate([([], "count_all")]).combine_chunks()
+            columns = [column.chunk(0) for column in counted.columns]
+            k = pa.StructArray.from_arrays(columns[2:4], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([*columns[:2], k, *columns[4:]], ["hash", "context", "k", "at", "differ", "n"])
+
+    flat = places.select("hash", "context", F.col("k.a").alias("a"), F.col("k.b").alias("b"), "at", "differ")
+    schema = T.StructType([*[places.schema[name] for name in ("hash", "context", "k", "at", "differ")], T.StructField("n", T.LongType())])
+    return flat.mapInArrow(run, schema)
+
+
 def occurrences(texts: DataFrame, length: int, limit: int) -> DataFrame:
     """(k, spans): for each text, (at, left, right) of every anchor of a repeat."""
     every = stored(indexed(texts, length), "anchors")
     counted = every.groupBy("hash").agg(F.count("*").alias("n"), (F.min("context") != F.max("context")).alias("differ"))
     counted = stored(counted.filter("n > 1").select("hash", "differ"), "repeated-anchors")
-    # Dealt anew after the join: rows of one frequent hash need not stay in one task.
-    again = every.join(counted, "hash").repartition("hash", "context", "k", "at")
-    again = stored(again.groupBy("hash", "context", "k", "at", "differ").agg(F.count("*").alias("n")), "places")
+    # Dealt anew after the join: rows of one frequent hash need not stay in one task, and copies of one text are
+    # counted before they meet.
+    again = combined(every.join(counted, "hash")).repartition("hash", "context", "k", "at")
+    again = stored(again.groupBy("hash", "context", "k", "at", "differ").agg(F.sum("n").alias("n")), "places")
     known = stored(again.groupBy("hash", "context", "differ").agg(F.sum("n").alias("n")), "contexts")
 
     mixed = known.filter("differ").select("hash", "context")
@@ -368,6 +383,7 @@ def occurrences(texts: DataFrame, length: int, limit: int) -> DataFrame:
     # A context that occurs twice is repeated as far as it reaches.
     whole = known.filter("n > 1").select("hash", "context", F.lit(length).cast("long").alias("left"), F.lit(length).cast("long").alias("right"))
     reached = reached.union(whole).groupBy("hash", "context").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    reached = stored(reached, "reached")  # a join with nothing between it and its shuffles is split where a context is frequent
     spans = again.join(reached, ["hash", "context"])
     return spans.groupBy("k").agg(F.collect_set(F.struct("at", "left", "right")).alias("spans"))
 
