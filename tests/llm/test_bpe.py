@@ -63,3 +63,33 @@ def test_documents_round_trip(spark, vocabulary, library):
 
 def test_empty_table(spark, vocabulary):
     assert bpe.digests(bpe.decode(bpe.encode(cases.empty(spark), vocabulary, public_tokenizers.PATTERN), vocabulary)).collect() == []
+
+
+def test_one_pass_equals_two(spark, vocabulary):
+    """Kept columns may have the names of the results; extra ones are not kept."""
+    docs = cases.documents(spark).withColumnRenamed("k", "ids").withColumnRenamed("fp", "decoded")
+    keep = ("doc_id", "ids", "decoded")
+    once = bpe.round_trip(docs, vocabulary, public_tokenizers.PATTERN, keep=keep).collect()
+    twice = bpe.decode(bpe.encode(docs, vocabulary, public_tokenizers.PATTERN, keep=keep), vocabulary).collect()
+    assert sorted(map(str, once)) == sorted(map(str, twice))
+    assert {(r.row.ids, r.row.decoded) for r in once} == {(2, 1)}
+
+
+def test_a_full_memo_keeps_what_is_asked_for_again(vocabulary, library):
+    memo = bpe.Memo(vocabulary, 20)
+    encode = bpe.encoder(vocabulary, public_tokenizers.PATTERN, memo)
+    for i in range(300):
+        text = f"again word{i} zq{i}x {'long' * 40}"
+        assert [*memoryview(encode(text)).cast("i")] == library.encode_ordinary(text)
+        assert len(memo) <= 10 and len(memo.old) <= 10
+    assert "again" in memo or "again" in memo.old
+    assert not any(len(piece) > bpe.LONG for piece in memo)
+
+
+def test_an_unknown_id_is_an_error(vocabulary):
+    import pyarrow as pa
+
+    pieces = bpe.Pieces({b"a": 0, b"bc": 2})
+    assert pieces.decode(pa.array([[0, 2], [], [2]], pa.list_(pa.int32())).slice(1)).to_pylist() == [b"", b"bc"]
+    with pytest.raises(ValueError):
+        pieces.decode(pa.array([[1]], pa.list_(pa.int32())))

@@ -6,7 +6,7 @@ doubly linked list of its bytes. Both tiers are small arrays which the driver bu
 broadcasts; their size is the vocabulary's, whatever the input.
 
 Null text counts as empty and gives no tokens. Rows are independent: repeated rows give repeated results,
-an empty table an empty one, and columns other than the named ones are passed through by the caller.
+an empty table an empty one. Kept columns travel in one struct, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from tidemark.llm.common import per_batch
 
 # The white space of the splitting engine, spelled out: Python's own class also holds U+001C to U+001F.
 WHITE_SPACE = r"\t-\r \x85\xa0  -     　"
-MEMO = 500_000  # pre-tokens a task remembers before it starts over
+MEMO = 1_000_000  # pre-tokens a worker process remembers
 LONG = 64  # longer pre-tokens are not remembered
 
 
@@ -83,13 +83,12 @@ class PerfectHash:
 
 
 class Vocabulary:
-    """What a task needs to encode and decode: the perfect hash, ranks by slot, ranks of merges, bytes by id."""
+    """What a task needs to encode: the perfect hash, ranks by slot, ranks of merges."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.whole = PerfectHash(list(ranks))
         self.rank_of_slot = [ranks[key] for key in self.whole.keys]
-        self.pieces = {rank: token for token, rank in ranks.items()}
 
     def plain(self) -> dict:
         """The same as built-in types, for a broadcast."""
@@ -100,7 +99,6 @@ class Vocabulary:
         own = cls({})
         own.ranks, own.whole.table, own.whole.keys = plain["ranks"], plain["table"], plain["keys"]
         own.rank_of_slot = [own.ranks[key] for key in own.whole.keys]
-        own.pieces = {rank: token for token, rank in own.ranks.items()}
         return own
 
     def encode_piece(self, piece: bytes) -> list[int]:
@@ -140,74 +138,119 @@ class Vocabulary:
         return ids
 
 
-def encoder(vocabulary: Vocabulary, pattern: str) -> Callable[[str], bytes]:
-    """Text to its ids as packed 32-bit integers. Remembers the ids of short pre-tokens."""
-    split, memo = regex.compile(splitting_pattern(pattern)).findall, {}
+class Memo(dict):
+    """Pre-token to packed ids. What is asked for again outlives a full generation; long pre-tokens are not kept."""
 
-    def encode(text: str) -> bytes:
-        pieces = split(text)
-        if len(memo) > MEMO:
-            memo.clear()
-        brief = []
-        for piece in set(pieces):
-            if piece not in memo:
-                memo[piece] = np.array(vocabulary.encode_piece(piece.encode()), np.int32).tobytes()
-                if len(piece) > LONG:
-                    brief.append(piece)
-        packed = b"".join(map(memo.__getitem__, pieces))
-        for piece in brief:
-            del memo[piece]
+    def __init__(self, vocabulary: Vocabulary, size: int = MEMO):
+        self.ids_of, self.size, self.old = vocabulary.encode_piece, size // 2, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        packed = self.old.get(piece)
+        if packed is None:
+            packed = np.array(self.ids_of(piece.encode()), np.int32).tobytes()
+            if len(piece) > LONG:
+                return packed
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[piece] = packed
         return packed
 
+
+def encoder(vocabulary: Vocabulary, pattern: str, memo: Memo | None = None) -> Callable[[str], bytes]:
+    """Text to its ids as packed 32-bit integers."""
+    split, known = regex.compile(splitting_pattern(pattern)).findall, (Memo(vocabulary) if memo is None else memo).__getitem__
+
+    def encode(text: str) -> bytes:
+        return b"".join(map(known, split(text)))
+
     return encode
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns of each row and ``ids array<int>``, the token ids of its whole text."""
+class Pieces:
+    """The bytes of every id in one array, so that decoding is a gather."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        pieces: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            pieces[rank] = token
+        self.pieces = pa.array(pieces, pa.binary())
+
+    def decode(self, ids: pa.ListArray) -> pa.BinaryArray:
+        """The bytes of each list of ids. An id that is none of the vocabulary's is an error."""
+        ends = ids.offsets.to_numpy()
+        found = self.pieces.take(ids.values[ends[0]:ends[-1]])
+        if found.null_count:
+            raise ValueError("an id is not in the vocabulary")
+        # The gathered pieces lie behind one another: only the borders between texts are needed.
+        _, borders, data = found.buffers()
+        borders = np.frombuffer(borders, np.int32, len(found) + 1, found.offset * 4) if borders else np.zeros(1, np.int32)
+        return pa.BinaryArray.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(borders[ends - ends[0]].astype(np.int32)), data or pa.py_buffer(b"")])
+
+
+def _held(shared: dict, name: str, make: Callable[[], object]) -> object:
+    """Kept beside a broadcast value, so that the tasks of a worker process share it."""
+    if name not in shared:
+        shared[name] = make()
+    return shared[name]
+
+
+def _encoded(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str, keep: Sequence[str], decoded: bool) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary.plain())
-    frame = docs.select(*[F.col(name) for name in keep], F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
-    kept = T.StructType([docs.schema[name] for name in keep])
-    schema = T.StructType([*kept.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    row, body = F.struct(*[F.col(f"`{name}`") for name in keep]).alias("row"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text")
+    frame = docs.select(row, body)
+    schema = T.StructType([frame.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    if decoded:
+        schema = schema.add("decoded", T.BinaryType())
 
     def make():
-        to_ids = encoder(Vocabulary.of(shared.value), pattern)
+        own = _held(shared.value, "vocabulary", lambda: Vocabulary.of(shared.value))
+        to_ids = encoder(own, pattern, _held(shared.value, "memo", lambda: Memo(own)))
+        pieces = _held(shared.value, "pieces", lambda: Pieces(shared.value["ranks"]))
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            packed = [to_ids(value.as_py()) for value in batch.column(batch.num_columns - 1)]
+            packed = [to_ids(value.as_py()) for value in batch.column(1)]
             ends = np.cumsum([0] + [len(ids) // 4 for ids in packed])
             values = np.frombuffer(b"".join(packed), np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
-            return pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], [*kept.names, "ids"])
+            return pa.RecordBatch.from_arrays([batch.column(0), ids, *([pieces.decode(ids)] if decoded else [])], schema.names)
 
         return each
 
     return per_batch(frame, schema, make)
 
 
+def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """(row, ids): the ``keep`` columns of each row, and the token ids of its whole text."""
+    return _encoded(docs, vocabulary, pattern, text, keep, decoded=False)
+
+
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """(row, ids, decoded): what ``decode`` makes of ``encode``, without a second way through Python."""
+    return _encoded(docs, vocabulary, pattern, text, keep, decoded=True)
+
+
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """The rows of ``encode`` with ``decoded binary``, the bytes their ids stand for."""
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary.plain())
-    schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
-    at = encoded.columns.index("ids")
+    frame = encoded.select("row", "ids")
+    schema = T.StructType([*frame.schema.fields, T.StructField("decoded", T.BinaryType())])
 
     def make():
-        piece = Vocabulary.of(shared.value).pieces.__getitem__
+        pieces = _held(shared.value, "pieces", lambda: Pieces(shared.value["ranks"]))
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids = batch.column(at)
-            values, ends = ids.values.to_numpy(), ids.offsets.to_numpy()
-            decoded = [b"".join(map(piece, values[a:b].tolist())) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            return pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], schema.names)
+            return pa.RecordBatch.from_arrays([*batch.columns, pieces.decode(batch.column(1))], schema.names)
 
         return each
 
-    return per_batch(encoded, schema, make)
+    return per_batch(frame, schema, make)
 
 
-def digests(decoded: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """Token count and digests of ids and decoded bytes."""
+def digests(decoded: DataFrame, ids: bool = False) -> DataFrame:
+    """The kept columns, the token ids if wanted, their number and digest, and the digest of the decoded bytes."""
     return decoded.select(
-        *keep,
+        "row.*", *(["ids"] if ids else []),
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -38,8 +38,7 @@ def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_byte_bpe")
 def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = bpe.Vocabulary(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
-    encoded = bpe.encode(table(spark, folder, "documents"), vocabulary, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(encoded, vocabulary))
+    return bpe.digests(bpe.round_trip(table(spark, folder, "documents"), vocabulary, public_tokenizers.PATTERN))
 
 
 def _text_sql(html: str) -> str:
