@@ -49,8 +49,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of each document, their number and digest, and the digest of the text they decode to."""
     vocabulary = bpe.Vocabulary(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
-    decoded = bpe.decode(bpe.encode(docs, vocabulary, public_tokenizers.PATTERN), vocabulary)
-    return bpe.digests(decoded, keep=("doc_id", "ids"))
+    return bpe.digests(bpe.round_trip(docs, vocabulary, public_tokenizers.PATTERN), ids=True)
 
 
 STAGES = [
