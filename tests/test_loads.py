@@ -11,7 +11,7 @@ from tidemark.operators.quality import relations
 from tidemark.operators.quality import relations
 from tidemark.operators.quality.results import QualityError
 from tidemark.sources import tables
-from tidemark.sources.stored import StoredTable
+from tidemark.sources.stored import StaleTableError, StoredTable
 
 
 def source(spark, *changes):
@@ -417,3 +417,81 @@ def test_bound_parameters(spark):
 def test_series(spark):
     assert tables.day_series(spark, "2024-02-28", "2024-03-01").count() == 3
     assert [r.i for r in tables.number_series(spark, 2, 4).collect()] == [2, 3, 4]
+
+
+def numbered(spark, first, count, p="a"):
+    return spark.range(first, first + count).select(F.col("id").cast("int").alias("k"), F.lit(p).alias("p"))
+
+
+def test_of_two_stagings_of_one_state_the_second_is_refused(spark, tmp_path):
+    table = StoredTable(spark, str(tmp_path / "t"))
+    table.rewrite(numbered(spark, 0, 3))
+    one, two = (table.stage(numbered(spark, first, 3), kind="delta") for first in (10, 20))
+    one.publish()
+    with pytest.raises(StaleTableError):
+        two.publish()
+    assert [r[0] for r in rows(table.read(), "k")] == [0, 1, 10, 11, 12, 2]
+    # Staged again against what is there now, nothing is lost or doubled.
+    table.stage(two.read(), kind="delta").publish()
+    assert table.read().count() == 9
+
+
+def test_a_staging_overtaken_by_a_rewrite_is_refused(spark, tmp_path):
+    table = StoredTable(spark, str(tmp_path / "t"))
+    table.rewrite(numbered(spark, 0, 3))
+    staged = table.stage(numbered(spark, 10, 2), kind="delta")
+    table.rewrite(numbered(spark, 100, 5))
+    with pytest.raises(StaleTableError):
+        staged.publish()
+    assert table.read().count() == 5
+
+
+def test_versions_that_appear_at_the_same_moment_do_not_replace_each_other(spark, tmp_path, monkeypatch):
+    table = StoredTable(spark, str(tmp_path / "t"))
+    table.rewrite(numbered(spark, 0, 3))
+    one, two = (table.stage(numbered(spark, first, 3), kind="delta") for first in (10, 20))
+    # Neither sees the other when it looks; the file's name decides.
+    monkeypatch.setattr(StoredTable, "_numbers", lambda self: [1])
+    one.publish()
+    with pytest.raises(StaleTableError):
+        two.publish()
+    monkeypatch.undo()
+    assert table.newest().number == 2 and sorted(r.k for r in table.read().collect()) == [0, 1, 2, 10, 11, 12]
+
+
+def test_clean_up_leaves_staged_folders_alone(spark, tmp_path):
+    table = StoredTable(spark, str(tmp_path / "t"))
+    table.rewrite(numbered(spark, 0, 3))
+    table.rewrite(numbered(spark, 5, 3))
+    staged = table.stage(numbered(spark, 10, 2), kind="delta")
+    assert table.remove_old_folders() == 1
+    staged.publish()
+    assert sorted(r.k for r in table.read().collect()) == [5, 6, 7, 10, 11]
+    left = table.stage(numbered(spark, 20, 2), kind="delta")
+    assert table.remove_old_folders(abandoned_after_hours=-1) == 1 and len(table.newest().entries) == 2
+    assert left.entries[0].folder not in table._names("data")
+
+
+def test_a_batch_touches_the_parts_of_its_keys_only(spark, tmp_path):
+    """Ten parts of ten keys; a batch with keys of two of them adds to two, and folding it reads and rewrites two."""
+    place, table = F.floor(F.col("k") / 10), StoredTable(spark, str(tmp_path / "t"))
+    base = spark.range(100).select(F.col("id").cast("int").alias("k"), F.lit("old").alias("v"), F.lit(1).alias("at"))
+    table.rewrite(base, place)
+    assert len(table.entries()) == 10
+    batch = spark.createDataFrame([(12, "new", 2), (12, "newer", 3), (57, "new", 2), (59, "new", 2)], "k int, v string, at int")
+    incremental.upsert_batch(table, batch, ["k"], ["at"], place)
+    assert {e.part for e in table.entries() if e.kind == "delta"} == {"1", "5"}
+    expected = [(k, "newer" if k == 12 else "new" if k in (57, 59) else "old") for k in range(100)]
+    assert sorted((r.k, r.v) for r in incremental.merged(table, ["k"]).collect()) == expected
+
+    def parts_of(frame):
+        return {bytes.fromhex(name.split("__part=x")[1].split("/")[0]).decode() for name in frame.inputFiles()}
+
+    assert parts_of(incremental.merged(table, ["k"], {"1", "5"}.__contains__)) == {"1", "5"}
+    before = files(tmp_path / "t" / "data")
+    assert incremental.compact(table, ["k"], place=place)
+    added = files(tmp_path / "t" / "data").keys() - before.keys()
+    assert len({name.split("__part=")[1].split("/")[0] for name in added}) == 2
+    kept = {e.part: e.folder for e in table.entries()}
+    assert len(kept) == 10 and sum(folder.startswith("v00000001") for folder in kept.values()) == 8
+    assert sorted((r.k, r.v) for r in incremental.merged(table, ["k"]).collect()) == expected

@@ -100,14 +100,14 @@ def write_promotion(judged: DataFrame, path: str, keys: Sequence[str], batch: st
     target = StoredTable(spark, path)
     good = F.size("reject_reasons") == 0
     accepted = first_per_key(judged.filter(good), keys, [])
-    others = [entry for entry in target.entries() if entry.part != batch]
-    if others:
-        known = target.read(lambda entry: entry.part != batch).filter("outcome = 'accepted'").select(*keys)
+    version = target.newest()
+    if any(entry.part != batch for entry in version.entries):
+        known = target.read(lambda entry: entry.part != batch, version).filter("outcome = 'accepted'").select(*keys)
         accepted = accepted.join(known, list(keys), "left_anti")
     outcome = accepted.withColumn("outcome", F.lit("accepted")).unionByName(
         judged.filter(~good).withColumn("outcome", F.lit("rejected")))
     is_good = F.col("outcome") == "accepted"
-    counts = target.replace(outcome.withColumn("batch", F.lit(batch)), "batch", [batch], loaded=F.count_if(is_good),
+    counts = target.replace(outcome.withColumn("batch", F.lit(batch)), "batch", [batch], version, loaded=F.count_if(is_good),
                             rejected=F.count_if(~is_good))
     return log_row(spark, pipeline, table, execution_date, "incremental", counts["rows"], counts["loaded"], counts["rejected"])
 

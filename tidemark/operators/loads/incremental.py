@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -10,7 +10,7 @@ from tidemark.functions.keyed import first_per_key, latest_per_key
 from tidemark.operators.loads.full import moment
 from tidemark.operators.quality.relations import duplicate_gate
 from tidemark.operators.quality.results import QualityError
-from tidemark.sources.stored import StoredTable
+from tidemark.sources.stored import StoredTable, Version
 from tidemark.sources.tables import reduce_union
 
 EPOCH = "1970-01-01 00:00:00"
@@ -109,57 +109,70 @@ def upsert_keeping(target: DataFrame, batch: DataFrame, key: str, replaced: Sequ
     return joined.select(*columns)
 
 
-def merged(table: StoredTable, keys: Sequence[str]) -> DataFrame:
-    """The rows of an incrementally loaded table: its base, replaced by what later batches brought."""
-    deltas = [entry for entry in table.entries() if entry.kind == "delta"]
-    base = table.read(lambda entry: entry.kind != "delta")
+def merged(table: StoredTable, keys: Sequence[str], choose: Callable[[str], bool] = lambda part: True,
+           version: Version | None = None) -> DataFrame:
+    """The rows of an incrementally loaded table, or of the chosen parts: its base, replaced by what later batches brought.
+
+    Parts that no batch has touched since the last compaction are read as they are, without a join.
+    """
+    version = version or table.newest()
+    deltas = [entry for entry in version.entries if entry.kind == "delta" and choose(entry.part)]
+    touched = {entry.part for entry in deltas}
+    base = [table.read(lambda entry, within=within: entry.kind != "delta" and choose(entry.part) and (entry.part in touched) == within, version)
+            for within in (False, True)]
     if not deltas:
-        return base
-    # Folder names sort by commit; a later batch wins whatever its change times are.
+        return base[0]
+    # Folder names sort by version; a later batch wins whatever its change times are.
     numbered = [
-        table.read(lambda entry, folder=delta.folder: entry.folder == folder).withColumn("__batch", F.lit(number))
-        for number, delta in enumerate(sorted(deltas, key=lambda entry: entry.folder))
+        table.read(lambda entry, folder=folder: choose(entry.part) and entry.folder.startswith(folder), version).withColumn("__batch", F.lit(number))
+        for number, folder in enumerate(sorted({entry.folder.split("/")[0] for entry in deltas}))
     ]
     newest = latest_per_key(reduce_union(numbered), keys, ["__batch"]).drop("__batch")
-    return replace_rows(base, newest, keys)
+    return base[0].unionByName(replace_rows(base[1], newest, keys))
 
 
-def upsert_batch(table: StoredTable, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> None:
+def upsert_batch(table: StoredTable, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str], place: Column | None = None) -> None:
     """Add a batch to the table; costs what the batch costs, since the folders before it stay as they are.
 
-    The batch is written, checked for duplicate keys, and only then becomes part of the table.
+    The batch is written, checked for duplicate keys, and only then becomes part of the table. ``place`` is the part
+    a row belongs to, an expression of its keys such as a range of ids or a period: the batch touches the parts it
+    has rows for and no others.
     """
-    staged = table.stage(latest_per_key(batch, keys, order_by), kind="delta")
+    staged = table.stage(latest_per_key(batch, keys, order_by), place, "delta")
     gate = duplicate_gate(staged.read(), keys).first()
     if not gate.passed:
         raise QualityError(f"{gate.duplicate_keys} duplicate key(s) in {table.path}")
-    if staged.metrics["rows"]:
+    if staged.entries:
         staged.publish()
 
 
-def compact(table: StoredTable, keys: Sequence[str], after: int = 0) -> bool:
-    """Fold the batches into the base once there are more than ``after`` of them."""
-    if sum(entry.kind == "delta" for entry in table.entries()) <= after:
+def compact(table: StoredTable, keys: Sequence[str], after: int = 0, place: Column | None = None) -> bool:
+    """Fold the batches into the base once there are more than ``after`` of them. Only the parts they touch are read and rewritten."""
+    version = table.newest()
+    deltas = [entry for entry in version.entries if entry.kind == "delta"]
+    if len({entry.folder.split("/")[0] for entry in deltas}) <= after:
         return False
-    table.rewrite(merged(table, keys))
+    touched = {entry.part for entry in deltas}
+    staged = table.stage(merged(table, keys, touched.__contains__, version), place, version=version)
+    staged.publish(lambda entry: entry.part not in touched)
     return True
 
 
 def run_incremental(spark: SparkSession, source: DataFrame, changed_at: str, target_path: str, marks_path: str,
                     keys: Sequence[str], pipeline: str, table: str, execution_date: str,
-                    buffer: str | None = None, compact_after: int = 8) -> int:
+                    buffer: str | None = None, compact_after: int = 8, place: Column | None = None) -> int:
     """One incremental run: extract, upsert, check, and only then save the mark.
 
     A run that fails on the way leaves the old mark, so the next one repeats its rows,
-    which the upsert absorbs. Returns the number of changed rows.
+    which the upsert absorbs; so does one that another run overtook (StaleTableError). Returns the number of changed rows.
     """
     # One value, fetched so that the scan of the source is pruned by a plain constant.
     saved = last_watermark(spark.read.parquet(marks_path), pipeline, table).first().last_watermark
     low = F.lit(saved) if saved else moment(EPOCH)
     high = moment(execution_date)
     target = StoredTable(spark, target_path)
-    upsert_batch(target, changed_between(source, changed_at, low, high, buffer), keys, [changed_at])
-    compact(target, keys, compact_after)
+    upsert_batch(target, changed_between(source, changed_at, low, high, buffer), keys, [changed_at], place)
+    compact(target, keys, compact_after, place)
     changed = changed_between(source, changed_at, low, high)
     batch_found = changed.agg(F.count(F.lit(1)).alias("records"), F.max(changed_at).alias("newest")).first()
     mark = F.lit(batch_found.newest) if batch_found.records else new_watermark(source, changed_at, high).scalar()

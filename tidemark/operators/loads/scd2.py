@@ -174,10 +174,10 @@ def run_load(spark: SparkSession, path: str, staged: DataFrame, key: str, attrib
     A repeated load changes nothing, and a load that fails leaves the table as it was.
     """
     table = StoredTable(spark, path)
-    before = str(date.fromisoformat(day) - timedelta(days=1))
-    touched = [entry.part for entry in table.entries() if entry.part >= before]
-    affected = table.read(lambda entry: entry.part in touched)
-    table.replace(apply_changes(affected, staged, key, attributes, day, compat), "valid_to", touched)
+    version, before = table.newest(), str(date.fromisoformat(day) - timedelta(days=1))
+    touched = {entry.part for entry in version.entries if entry.part >= before}
+    affected = table.read(lambda entry: entry.part in touched, version)
+    table.replace(apply_changes(affected, staged, key, attributes, day, compat), "valid_to", touched, version)
 
 
 def write_versions(versions: DataFrame, path: str) -> None:

@@ -57,16 +57,21 @@ def append_arrivals(path: str) -> BatchWriter:
     return write
 
 
-def append_newest(path: str, keys: Sequence[str], order_by: Sequence[str]) -> BatchWriter:
+def append_newest(path: str, keys: Sequence[str], order_by: Sequence[str], compact_after: int = 16) -> BatchWriter:
     """Keep the newest row per key of each micro-batch.
 
     A batch only adds its own folder, however large the state has become; readers
-    reduce over the folders with ``current_state``. A repeated batch replaces its folder, and if that was
+    reduce over the folders with ``current_state``. Beyond ``compact_after`` folders of batches they are folded together, so
+    what a batch commits is bounded. A repeated batch replaces its folder, and if that was
     compacted away meanwhile, the newest row per key is the same with it.
     """
     def write(rows: DataFrame, batch: int) -> None:
-        own = f"batch-{batch}"
-        staged = StoredTable(rows.sparkSession, path).stage(latest_per_key(rows, keys, order_by), kind=own)
+        own, table = f"batch-{batch}", StoredTable(rows.sparkSession, path)
+        version = table.newest()
+        if sum(entry.kind != "base" for entry in version.entries) >= compact_after:
+            compact_state(rows.sparkSession, path, keys, order_by)
+            version = table.newest()
+        staged = table.stage(latest_per_key(rows, keys, order_by), kind=own, version=version)
         staged.publish(lambda entry: entry.kind != own)
 
     return write
@@ -79,7 +84,9 @@ def current_state(spark: SparkSession, path: str, keys: Sequence[str], order_by:
 
 def compact_state(spark: SparkSession, path: str, keys: Sequence[str], order_by: Sequence[str]) -> None:
     """Fold all batches into one folder; the stream goes on at the same path."""
-    StoredTable(spark, path).rewrite(current_state(spark, path, keys, order_by))
+    table = StoredTable(spark, path)
+    version = table.newest()
+    table.rewrite(latest_per_key(table.read(version=version), keys, order_by), version=version)
 
 
 def check_batches(path: str, checks: Sequence[Check], rules: Mapping[str, str], as_of: str) -> BatchWriter:
