@@ -495,3 +495,17 @@ def test_a_batch_touches_the_parts_of_its_keys_only(spark, tmp_path):
     kept = {e.part: e.folder for e in table.entries()}
     assert len(kept) == 10 and sum(folder.startswith("v00000001") for folder in kept.values()) == 8
     assert sorted((r.k, r.v) for r in incremental.merged(table, ["k"]).collect()) == expected
+
+
+def test_attributes_of_unchanged_keys_are_not_shuffled(spark):
+    """Keys, dates and hashes are exchanged; the versions themselves meet a broadcast of the changed keys."""
+    versions = scd2.as_versions(spark.range(1000).select(F.col("id").alias("k"), F.lit("x").alias("a")), "k", ["a"], F.lit("2024-01-01").cast("date"))
+    versions = spark.createDataFrame(versions.collect(), versions.schema)
+    staged = spark.range(1000).select(F.col("id").alias("k"), F.when(F.col("id") < 5, "y").otherwise("x").alias("a"))
+    judged = scd2._judged(versions, staged, "k", ["a"], "2024-02-01", False)
+    exchanges = [line for line in judged._jdf.queryExecution().executedPlan().toString().splitlines() if "HashAggregate" in line]
+    assert exchanges and "SortAggregate" not in judged._jdf.queryExecution().executedPlan().toString()
+    after = scd2.apply_changes(versions, staged, "k", ["a"], "2024-02-01")
+    plan = after._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and plan.count("BroadcastHashJoin") >= 2
+    assert after.count() == 1005 and after.filter("is_current").count() == 1000

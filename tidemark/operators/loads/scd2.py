@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tidemark.functions.columns import OPEN_END, record_hash
 from tidemark.functions.keyed import latest_per_key, lookup_join
 from tidemark.operators.loads.full import end_of_day
+from tidemark.session import workspace
 from tidemark.sources.stored import StoredTable
 
 
@@ -52,43 +53,46 @@ def detect_changes(staged: DataFrame, current: DataFrame, key: str, attributes:
     return changed.select(key, *attributes, "record_hash", is_new.alias("is_new"))
 
 
-def _paired(versions: DataFrame, staged: DataFrame, key: str, attributes: Sequence[str], day: str, compat: bool) -> DataFrame:
-    """(key, old, new): a key's versions in order and its staged row, if any, brought together by one aggregation.
+def _judged(versions: DataFrame, staged: DataFrame, key: str, attributes: Sequence[str], day: str, compat: bool) -> DataFrame:
+    """What the load for ``day`` does to each key, from keys, dates and hashes alone.
 
-    A key has as many versions as loads that changed it, so its list stays short however many rows there are.
+    Attributes stay where they are: only a key, two dates and a hash per row are exchanged, combined before the shuffle
+    into numbers of fixed size. ``covers_from`` and ``covers_to`` are the version the day falls into, ``ends`` is
+    the last day of a version opened on it, ``acts`` whether there is one.
     """
-    incoming = as_versions(staged, key, attributes, _day(day), compat)
-    fields = [c for c in incoming.columns if c != key]
-    rows = versions.select(F.col(key), F.lit(False).alias("staged"), F.struct(*fields).alias("v")).unionByName(
-        incoming.select(F.col(key), F.lit(True).alias("staged"), F.struct(*fields).alias("v")))
-    listed = rows.groupBy(key).agg(
-        F.collect_list(F.when(~F.col("staged"), F.col("v"))).alias("old"), F.max_by("v", F.col("staged")).alias("last"),
-        F.bool_or("staged").alias("present"),
+    on, before = _day(day), F.date_sub(_day(day), 1)
+
+    def halves(text: Column) -> list[Column]:
+        """128 bits that stand for a hash, as two numbers."""
+        return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
+
+    covers = on.between(F.col("valid_from"), F.col("valid_to"))
+    first, second = halves(F.col("record_hash"))
+    old = versions.select(
+        key, F.lit(False).alias("staged"), "valid_from", "valid_to", "is_current", covers.alias("covers"), first.alias("h1"), second.alias("h2"))
+    first, second = halves(record_hash(attributes, compat))
+    new = staged.select(
+        key, F.lit(True).alias("staged"), *[F.lit(None).cast("date").alias(c) for c in ("valid_from", "valid_to")],
+        F.lit(False).alias("is_current"), F.lit(False).alias("covers"), first.alias("h1"), second.alias("h2"))
+    compared = F.col("staged") | F.col("covers")
+
+    def of_covering(name: str) -> Column:
+        return F.max(F.when(F.col("covers"), F.col(name)))
+
+    judged = old.unionByName(new).groupBy(key).agg(
+        F.bool_or("staged").alias("present"), F.count_if(~F.col("staged")).alias("n_old"),
+        of_covering("valid_from").alias("covers_from"), of_covering("valid_to").alias("covers_to"),
+        of_covering("is_current").alias("covers_current"),
+        F.min(F.when(F.col("valid_from") > on, F.col("valid_from"))).alias("following"),
+        *[F.min(F.when(compared, F.col(h))).alias(f"min_{h}") for h in ("h1", "h2")],
+        *[F.max(F.when(compared, F.col(h))).alias(f"max_{h}") for h in ("h1", "h2")],
+        F.count_if(F.col("valid_to") == before).alias("n_expired"), F.count_if("is_current").alias("n_current"),
     )
-    return listed.select(key, "old", F.when(F.col("present"), F.col("last")).alias("new"))
-
-
-def _applied(paired: DataFrame, day: str) -> DataFrame:
-    """``paired`` with what the load for ``day`` does: ``is_new``, ``is_changed`` and the versions ``after`` it."""
-    on = _day(day)
-    covers = F.get(F.filter("old", lambda v: on.between(v["valid_from"], v["valid_to"])), F.lit(0))
-    following = F.array_min(F.transform(F.filter("old", lambda v: v["valid_from"] > on), lambda v: v["valid_from"]))
-    rows = paired.withColumns({"covers": covers, "following": following})
-    same = F.col("covers").isNotNull() & (F.col("covers")["record_hash"] == F.col("new")["record_hash"])
-    rows = rows.withColumn("acts", F.col("new").isNotNull() & ~F.coalesce(same, F.lit(False)))
+    same = F.col("covers_from").isNotNull() & (F.col("min_h1") == F.col("max_h1")) & (F.col("min_h2") == F.col("max_h2"))
     # Up to the end of the version it falls into, else to the day before the next one, else open.
-    ends = F.coalesce(F.col("covers")["valid_to"], F.date_sub("following", 1), _day(OPEN_END))
-    opened = F.col("new").withField("valid_to", ends).withField("is_current", ends == _day(OPEN_END))
-    replaced = lambda v: on.between(v["valid_from"], v["valid_to"]) & (v["valid_from"] == on)
-    closed = lambda v: F.when(
-        on.between(v["valid_from"], v["valid_to"]),
-        v.withField("valid_to", F.date_sub(on, 1)).withField("is_current", F.lit(False)),
-    ).otherwise(v)
-    changed = F.concat(F.transform(F.filter("old", lambda v: ~replaced(v)), closed), F.array(opened))
-    return rows.withColumns({
-        "is_new": F.col("acts") & (F.size("old") == 0), "is_changed": F.col("acts") & (F.size("old") > 0),
-        "after": F.when(F.col("acts"), changed).otherwise(F.col("old")),
-    })
+    ends = F.coalesce("covers_to", F.date_sub("following", 1), _day(OPEN_END))
+    return judged.select(key, "covers_from", "covers_current", "n_old", "n_expired", "n_current",
+                         ends.alias("ends"), (F.col("present") & ~same).alias("acts"))
 
 
 def apply_changes(versions: DataFrame, staged: DataFrame, key: str, attributes: Sequence[str], day: str,
@@ -99,12 +103,26 @@ def apply_changes(versions: DataFrame, staged: DataFrame, key: str, attributes:
     others pass through. A staged row that differs from the version its day falls into ends that
     version the day before and takes over to its end, so a load for an earlier day goes
     between the versions around it. A version that starts on the day itself is replaced, since closing it
-    would end it before it began. Both inputs are used once, so loads chained one after another stay linear.
+    would end it before it began.
+
+    Keys that change are found first and written to the shared folder, so that their number is known: while they fit a
+    broadcast, neither side's attributes are shuffled. Both inputs are read twice; store what a
+    chain of loads passes on.
     """
-    applied = _applied(_paired(versions, staged, key, attributes, day, compat), day)
-    rows = applied.select(key, F.explode("after").alias("v")).select(key, "v.*")
+    on, changed = _day(day), workspace(versions.sparkSession, "scd2-changes")
+    judged = _judged(versions, staged, key, attributes, day, compat)
+    acting = judged.filter("acts").select(key, F.col("covers_from").alias("__covers"), F.col("ends").alias("__ends"))
+    acting.write.parquet(changed)
+    acting = versions.sparkSession.read.schema(acting.schema).parquet(changed)
     order = [key, *attributes, "valid_from", "valid_to", "is_current", "record_hash", "surrogate_key"]
-    return rows.select(*order)
+    ended = F.coalesce(F.col("valid_from") == F.col("__covers"), F.lit(False))
+    kept = versions.join(acting, key, "left").filter(~(ended & (F.col("valid_from") == on)))
+    kept = kept.withColumns({
+        "valid_to": F.when(ended, F.date_sub(on, 1)).otherwise(F.col("valid_to")), "is_current": F.col("is_current") & ~ended,
+    })
+    opened = as_versions(staged, key, attributes, on, compat).join(acting, key)
+    opened = opened.withColumns({"valid_to": F.col("__ends"), "is_current": F.col("__ends") == _day(OPEN_END)})
+    return kept.select(*order).unionByName(opened.select(*order))
 
 
 def catch_up(source: DataFrame, key: str, changed_at: str, attributes: Sequence[str], days: Sequence[str],
@@ -141,13 +159,16 @@ def catch_up(source: DataFrame, key: str, changed_at: str, attributes: Sequence[
 def processing_log(versions: DataFrame, staged: DataFrame, key: str, attributes: Sequence[str], day: str, pipeline: str,
                    table: str, compat: bool = False) -> DataFrame:
     """New, changed, expired and total current records of the load for ``day``, in one pass over its inputs."""
-    applied = _applied(_paired(versions, staged, key, attributes, day, compat), day)
-    before = F.date_sub(_day(day), 1)
-    counted = applied.agg(
-        F.count_if("is_new").alias("new_records"),
-        F.count_if("is_changed").alias("changed_records"),
-        F.coalesce(F.sum(F.size(F.filter("after", lambda v: v["valid_to"] == before))), F.lit(0)).alias("expired_records"),
-        F.coalesce(F.sum(F.size(F.filter("after", lambda v: v["is_current"]))), F.lit(0)).alias("total_current_records"),
+    judged = _judged(versions, staged, key, attributes, day, compat)
+    ends = F.col("acts") & F.col("covers_from").isNotNull()
+    closes = ends & (F.col("covers_from") != _day(day))
+    opens = (F.col("acts") & (F.col("ends") == _day(OPEN_END))).cast("long")
+    current = F.col("n_current") - (ends & F.col("covers_current")).cast("long") + opens
+    counted = judged.agg(
+        F.count_if(F.col("acts") & (F.col("n_old") == 0)).alias("new_records"),
+        F.count_if(F.col("acts") & (F.col("n_old") > 0)).alias("changed_records"),
+        F.coalesce(F.sum(F.col("n_expired") + closes.cast("long")), F.lit(0)).alias("expired_records"),
+        F.coalesce(F.sum(F.coalesce(current, F.col("n_current") + opens)), F.lit(0)).alias("total_current_records"),
     )
     return counted.select(
         F.lit(pipeline).alias("pipeline_name"),

@@ -32,10 +32,17 @@ def loaded(spark, folder, days=DAYS):
     first, *later = days
     versions = scd2.as_versions(staged(spark, folder, first), KEY, ATTRIBUTES, F.lit(first).cast("date"))
     for day in later:
-        versions = scd2.apply_changes(versions, staged(spark, folder, day), KEY, ATTRIBUTES, day)
+        versions = scd2.apply_changes(written(versions, "versions"), written(staged(spark, folder, day), "staged"), KEY, ATTRIBUTES, day)
     return versions
 
 
+def written(frame, name):
+    """The rows by way of the shared folder: they are read more than once."""
+    path = workspace(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def history(spark, folder, days=DAYS):
     """The same dimension in one pass over the feed.
 
@@ -89,7 +96,7 @@ def scd2_table(spark, folder):
     path = workspace(spark, "dim_customer_scd2")
     scd2.write_versions(loaded(spark, folder, DAYS[:1]), path)
     for day in (*DAYS[1:], DAYS[-1]):
-        scd2.run_load(spark, path, staged(spark, folder, day), KEY, ATTRIBUTES, day)
+        scd2.run_load(spark, path, written(staged(spark, folder, day), "staged"), KEY, ATTRIBUTES, day)
     return plain(scd2.read_versions(spark, path).select(*SHOWN))
 
 
