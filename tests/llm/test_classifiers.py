@@ -127,3 +127,17 @@ def test_sample_has_one_row_per_id(spark):
     found = [sorted(labelled.sample(rows, labels, "toxic", 50, 99, 40).collect()) for rows in (docs, docs.repartition(7))]
     assert found[0] == found[1] and len(found[0]) == len({r.key for r in found[0]}) == 40
     assert all((r.key, r.text or None) in texts and r.label == r.key % 2 for r in found[0])
+
+
+def test_a_lexicon_of_any_number_of_entries(spark):
+    """More telling words, and more spared phrases, than any list was once cut to."""
+    letters = "bcdfghjklmnprstvwz"
+    words = [a + "u" + b + "o" + c for a in letters for b in letters for c in letters][:2400]
+    plain = " ".join(f"{word[::-1]}plain" for word in words[:50])
+    toxic, clean = " ".join(words), [plain + f" text {'q' * (i % 5)}" for i in range(90)]
+    rows = [(str(i), toxic, 1) for i in range(4)] + [(str(10 + i), text, 0) for i, text in enumerate(clean)]
+    lexicon = toxicity.learn(spark.createDataFrame(rows, "key string, text string, label int"))
+    assert len(lexicon.entries) > 2000
+    docs = spark.createDataFrame([(1, words[2399] + " " + words[2398]), (2, "text plain")], "doc_id int, text string")
+    found = {r.row.doc_id: r.score for r in toxicity.score(docs, lexicon).collect()}
+    assert found[1] > found[2]

@@ -60,3 +60,20 @@ def test_a_run_is_sorted(spark):
 
 def test_empty_table(spark):
     assert line_dedup.drop_common_lines(cases.empty(spark)).collect() == []
+
+
+def test_runs_go_on_after_compaction(spark, tmp_path):
+    """A new object takes over the listed runs, also when merging has left fewer of them than were written."""
+    def batch(n):
+        return spark.createDataFrame([(bytes([line]), 1) for line in range(n)], "h binary, n long")
+
+    runs = line_dedup.LineRuns(spark, str(tmp_path), common=3)
+    for n in (5, 4, 3, 2):
+        runs.add(batch(n))
+    assert len(runs.runs) == 1
+    later = line_dedup.LineRuns(spark, str(tmp_path), common=3, runs=runs.runs)
+    for n in (5, 6, 1, 1, 1):
+        later.add(batch(n))
+    assert sorted(bytes(r.h)[0] for r in later.common_lines().collect()) == [0, 1, 2, 3, 4]
+    counts = {bytes(r.h)[0]: r.n for r in later.counts().collect()}
+    assert counts[5] == 1 and counts[4] == 3

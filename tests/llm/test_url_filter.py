@@ -73,3 +73,10 @@ def test_no_rows_and_no_python(spark, weights):
     plan = judged._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
     assert json.dumps(weights)
+
+
+def test_a_bounded_sample_does_not_depend_on_row_order(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "MAX_LABELLED", 30)
+    rows = url_filter.labelled_table(spark).collect()
+    ordered, turned = (spark.createDataFrame(part, "url string, label int").coalesce(1) for part in (rows, rows[::-1]))
+    assert url_filter.train(ordered, epochs=2) == url_filter.train(turned.repartition(5), epochs=2)

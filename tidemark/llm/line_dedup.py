@@ -14,6 +14,8 @@ more. An empty table gives no rows. Other columns travel in one struct, so their
 
 from __future__ import annotations
 
+import uuid
+
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -41,11 +43,9 @@ class LineRuns:
     def __init__(self, spark: SparkSession, folder: str, common: int, fanout: int = 4, runs: list[tuple[int, str]] | None = None):
         self.spark, self.folder, self.common, self.fanout = spark, folder, common, fanout
         self.runs = list(runs or [])
-        self.made = len(self.runs)
 
     def _write(self, counts: DataFrame, level: int) -> tuple[int, str]:
-        path = f"{self.folder}/level={level}/run-{self.made:06d}"
-        self.made += 1
+        path = f"{self.folder}/level={level}/run-{uuid.uuid4().hex}"  # never the name of a run that was, or is not listed
         counts.repartitionByRange("h").sortWithinPartitions("h").write.parquet(path)
         return level, path
 

@@ -8,7 +8,7 @@ at a word. Exception phrases are matched by the same automaton: entries inside o
 added up and divided by a slowly growing measure of the text's length; a logistic curve turns that into a score.
 
 The lexicon is learned from a bounded sample of labelled documents (``ROWS`` ids): words and stems are counted per
-class by Spark, those that a likelihood-ratio test singles out are kept (``ENTRIES`` at most), and phrases that
+class by Spark, those that a likelihood-ratio test singles out are kept, and phrases that
 hold an entry yet occur only in harmless texts become exceptions. Scoring is a projection over whole texts.
 
 Null and empty texts hold nothing and get the lowest score. Repeated rows get equal scores, an empty table no rows. Where
@@ -33,7 +33,6 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tidemark.llm.common import per_batch, stored
 
 ROWS = 8000  # labelled ids the lexicon is learned from, at most
-ENTRIES = 2000
 STEMS = range(3, 9)  # lengths of word stems
 HELD = 100_000  # terms a task counts before it hands them on
 LEAST = 4  # toxic documents an entry must occur in
@@ -148,21 +147,17 @@ def _counted(sample: DataFrame, of) -> DataFrame:
     return counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _likelihood_ratio(toxic: int, clean: int, rate: float) -> float:
-    """Twice the gain in log-likelihood of the term's own rate over the common one."""
-    n = toxic + clean
-    own = sum(k * math.log(k / n) for k in (toxic, clean) if k)
-    return 2.0 * (own - toxic * math.log(rate) - clean * math.log(1.0 - rate))
+def _evidence(rate: float) -> Column:
+    """Twice the gain in log-likelihood of a term's own rate over the common one, of its rows ``toxic`` and ``clean``."""
+    n = F.col("toxic") + F.col("clean")
+    own = sum((F.when(F.col(k) > 0, F.col(k) * F.ln(F.col(k) / n)).otherwise(0.0) for k in ("toxic", "clean")), F.lit(0.0))
+    return 2.0 * (own - F.col("toxic") * math.log(rate) - F.col("clean") * math.log(1.0 - rate))
 
 
-def choose(counted: list[tuple[str, int, int]], rate: float, distinct: int) -> dict[str, float]:
-    """Entries and weights. Of a word and its stems only the most telling is kept, the longest if equal."""
-    least = 2.0 * math.log(max(distinct, 2))
-    ranked = []
-    for term, toxic, clean in counted:
-        ratio = _likelihood_ratio(toxic, clean, rate)
-        if toxic >= LEAST and toxic > 2 * clean and ratio > least:
-            ranked.append((-ratio, -len(term), term, math.log((toxic + 0.5) / (clean + 0.5) * (1.0 - rate) / rate)))
+def choose(counted: list[tuple[str, int, int, float]], rate: float) -> dict[str, float]:
+    """Entries and weights of (term, toxic, clean, evidence). Of a word and its stems only the most telling is kept, the longest if equal."""
+    ranked = [(-evidence, -len(term), term, math.log((toxic + 0.5) / (clean + 0.5) * (1.0 - rate) / rate))
+              for term, toxic, clean, evidence in counted]
     chosen: dict[str, float] = {}
     related: set[str] = set()  # chosen terms and all their beginnings
     for _, _, term, weight in sorted(ranked):
@@ -171,8 +166,6 @@ def choose(counted: list[tuple[str, int, int]], rate: float, distinct: int) -> d
             continue
         chosen[term] = weight
         related.update(beginnings)
-        if len(chosen) == ENTRIES:
-            break
     return chosen
 
 
@@ -191,10 +184,10 @@ def learn(sample: DataFrame) -> Lexicon:
     rate = n_toxic / (n_toxic + n_clean)
     counted = stored(_counted(sample, lambda words: terms(set(words))), "toxicity-terms")
     telling = counted.filter((F.col("toxic") >= LEAST) & (F.col("toxic") > 2 * F.col("clean")))
-    # Ordered by evidence and limited before anything comes to the driver; stems share a word, hence the spare room.
-    best = telling.orderBy(F.desc(F.col("toxic") - 2 * F.col("clean")), "term").limit(20 * ENTRIES).collect()
+    # More evidence than the best of so many terms would show by chance: the bar rises with the terms, and no number is cut off.
     distinct = counted.filter((F.col("toxic") + F.col("clean")) >= LEAST).count()
-    entries = choose([tuple(row) for row in best], rate, distinct)
+    best = telling.withColumn("evidence", _evidence(rate)).filter(F.col("evidence") > 2.0 * math.log(max(distinct, 2))).collect()
+    entries = choose([tuple(row) for row in best], rate)
     if not entries:
         return _empty(n_toxic, n_clean)
     matcher = {"entries": entries}
@@ -208,7 +201,7 @@ def learn(sample: DataFrame) -> Lexicon:
         return {f" {a} {b} " for a, b, h, k in zip(words, words[1:], hit, hit[1:], strict=False) if h or k}
 
     spared = _counted(sample, phrases).filter((F.col("toxic") == 0) & (F.col("clean") >= LEAST))
-    exceptions = [row.term for row in spared.orderBy(F.desc("clean"), "term").limit(ENTRIES).collect()]
+    exceptions = sorted(row.term for row in spared.collect())
     weighed = _weighed(sample, entries, exceptions).collect()
     slope, intercept = _curve(np.array([row.weight for row in weighed]), np.array([float(row.label > 0) for row in weighed]))
     return Lexicon(entries, exceptions, slope, intercept)

@@ -109,7 +109,9 @@ def labelled_table(spark: SparkSession, rows: Sequence[tuple[str, int]] = LABELL
 
 def train(labelled: DataFrame, epochs: int = EPOCHS, l2: float = 1e-3) -> list[float]:
     """Weights by bucket and the intercept, by whole-batch steps scaled by past gradients."""
-    rows = labelled.filter("url IS NOT NULL AND label IS NOT NULL").limit(MAX_LABELLED)
+    # The first by hash: which rows are taken does not depend on their order.
+    rows = labelled.select("url", "label").filter("url IS NOT NULL AND label IS NOT NULL")
+    rows = rows.orderBy(F.xxhash64("url"), "url", "label").limit(MAX_LABELLED)
     rows = features(rows.select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.col("label").cast("double").alias("label")))
     rows = rows.select("grams", "label").filter(F.size("grams") > 0).cache()
     weights, past = [0.0] * (BUCKETS + 1), [1e-8] * (BUCKETS + 1)
