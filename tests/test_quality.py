@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.quality import relations, reporting, results, suites
 from tidemark.operators.quality.checks import (
+    email_rule,
     Check, Completeness, Freshness, NullRate, Rule, Schema, Uniqueness, email_rule, null_rates, run_checks,
 )
 
@@ -408,3 +409,10 @@ def test_duplicates_in_the_result(spark):
     entry = {"type": "uniqueness", "table": "t", "key_columns": ["k"], "return_duplicates": True}
     row = one(df, suites.build_check(entry))
     assert details(row)["duplicates"] == [{"count": 3, "k": 1}, {"count": 2, "k": 2}]
+
+
+def test_address_shape(spark):
+    good = ["a@b.c", "a.b+c@d-e.f.gh", "é@ü.de"]
+    bad = ["", "a", "@b.c", "a@", "a@b", "a@b.", "a@.c", "a@b..c", "a@b@c.d", "a b@c.d", "a at b.c", "a@b.c d"]
+    df = spark.createDataFrame([(value,) for value in [*good, *bad]], "email string")
+    assert rows(df.filter(email_rule("t", "email").predicate)) == sorted((value,) for value in good)

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.columns import (
-    CASTABLE, EMAIL_PATTERN, age_hours, named_family, percent, type_family,
+    ADDRESS, CASTABLE, age_hours, named_family, percent, type_family,
 )
 from tidemark.operators.quality.results import Verdict, check_settings, result_struct
 from tidemark.sources.tables import reduce_union
@@ -408,7 +408,7 @@ class Rule(Check):
 
 
 def email_rule(table: str, column: str, **settings) -> Rule:
-    return Rule(table=table, name=f"{column}_format", predicate=f"{column} rlike r'{EMAIL_PATTERN}'", **settings)
+    return Rule(table=table, name=f"{column}_format", predicate=f"{column} rlike r'{ADDRESS}'", **settings)
 
 
 @dataclass(frozen=True, kw_only=True)
