@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.quality import relations, reporting, results, suites
 from tidemark.operators.quality.checks import (
-    email_rule,
     Check, Completeness, Freshness, NullRate, Rule, Schema, Uniqueness, email_rule, null_rates, run_checks,
 )
 
