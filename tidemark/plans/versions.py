@@ -27,12 +27,12 @@ def staged(spark, folder, day):
     return newest.select(KEY, "segment").join(fixed, KEY).select(KEY, *ATTRIBUTES)
 
 
-def loaded(spark, folder, days=DAYS):
-    """The dimension after one load per day, day by day."""
+def loaded(spark, folder, days=DAYS, handed_on=lambda frame, name: frame):
+    """The dimension after one load per day, day by day; ``handed_on`` may write what the next load reads."""
     first, *later = days
     versions = scd2.as_versions(staged(spark, folder, first), KEY, ATTRIBUTES, F.lit(first).cast("date"))
     for day in later:
-        versions = scd2.apply_changes(written(versions, "versions"), written(staged(spark, folder, day), "staged"), KEY, ATTRIBUTES, day)
+        versions = scd2.apply_changes(handed_on(versions, "versions"), handed_on(staged(spark, folder, day), "staged"), KEY, ATTRIBUTES, day)
     return versions
 
 
@@ -82,7 +82,7 @@ SHOWN_SQL = ", ".join(f"strftime({c}, '%Y-%m-%d') AS {c}" if c.startswith("valid
 
 @query("scd2_apply", f"{VERSIONS} SELECT {SHOWN_SQL} FROM versions")
 def scd2_apply(spark, folder):
-    return plain(loaded(spark, folder).select(*SHOWN))
+    return plain(loaded(spark, folder, handed_on=written).select(*SHOWN))
 
 
 @query("scd2_catch_up", f"{VERSIONS} SELECT {SHOWN_SQL} FROM versions")
