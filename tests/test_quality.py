@@ -296,6 +296,11 @@ def test_results_can_be_stored_and_read_back(spark, sales, tmp_path):
     assert stored.count() == 2
     newest = reporting.latest_results(stored, 1).first()
     assert str(newest.created_at) == "2024-06-02 00:00:00"
+    # Of the runs that are not asked for no file is read.
+    late = reporting.read_results(spark, path, lambda run: run > "2024-06-01")
+    assert rows(late, "run_id") == [("2024-06-02",)]
+    assert len(late.inputFiles()) < len(stored.inputFiles())
+    assert reporting.read_results(spark, path, lambda run: False).count() == 0
 
 
 def test_failures_are_stored_before_they_raise(spark, sales, tmp_path):

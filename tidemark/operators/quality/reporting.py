@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.operators.quality.results import SEVERITIES, enforce
@@ -54,14 +56,15 @@ def store_results(results: DataFrame, path: str, run: str) -> None:
     StoredTable(results.sparkSession, path).replace(results.withColumn("run_id", F.lit(run)), "run_id", [run])
 
 
-def read_results(spark: SparkSession, path: str) -> DataFrame:
-    return StoredTable(spark, path).read()
+def read_results(spark: SparkSession, path: str, runs: Callable[[str], bool] = lambda run: True) -> DataFrame:
+    """The stored results of the runs whose id ``runs`` accepts; the folders of other runs are neither listed nor scanned."""
+    return StoredTable(spark, path).read(lambda entry: runs(entry.part))
 
 
 def record(results: DataFrame, path: str, run: str) -> None:
     """Store results, failed ones too, and then raise on blocking failures."""
     store_results(results, path, run)
-    enforce(read_results(results.sparkSession, path).filter(F.col("run_id") == run))
+    enforce(read_results(results.sparkSession, path, lambda stored: stored == run))
 
 
 def latest_results(stored: DataFrame, count: int = 10) -> DataFrame:
