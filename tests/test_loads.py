@@ -378,6 +378,61 @@ def test_as_of_join(spark):
     assert [r[2] for r in rows(joined, "k", "sold", "city")] == [None, None, "x", "y"]
 
 
+@pytest.fixture(scope="module")
+def crowded(spark):
+    """A key with a version a day and half of the facts, one with few long versions, one open, one without versions."""
+    versions = spark.sql("""
+        SELECT 1 AS k, concat('v', id) AS city, date_add(DATE'2020-01-01', CAST(id AS INT)) AS valid_from, date_add(DATE'2020-01-01', CAST(id AS INT)) AS valid_to FROM range(1000)
+        UNION ALL SELECT 2, 'old', DATE'1960-03-01', DATE'2020-06-30' UNION ALL SELECT 2, 'new', DATE'2020-07-01', DATE'9999-12-31'
+        UNION ALL SELECT 3, 'open', DATE'2021-02-03', DATE'9999-12-31' UNION ALL SELECT 4, 'wrong', DATE'2021-02-03', DATE'2020-02-03'
+        UNION ALL SELECT 5, 'no end', DATE'2020-01-01', NULL UNION ALL SELECT NULL, 'no key', DATE'1960-01-01', DATE'9999-12-31'""")
+    facts = spark.sql("""
+        SELECT id, CASE WHEN id % 2 = 0 THEN 1 ELSE CAST(id % 13 AS INT) END AS k, date_add(DATE'2019-12-01', CAST(id % 1100 AS INT)) AS sold FROM range(3000)
+        UNION ALL SELECT 9001, NULL, DATE'2020-01-01' UNION ALL SELECT 9002, 1, NULL UNION ALL SELECT 9003, 2, DATE'1965-01-01'
+        UNION ALL SELECT 9003, 2, DATE'1965-01-01'""")
+    return facts, versions
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_anti"])
+@pytest.mark.parametrize("days", [1, 30, 5000])
+def test_as_of_join_by_period_gives_the_same_rows(spark, crowded, how, days):
+    expected = rows(scd2.as_of_join(*crowded, "k", "sold", how))
+    assert rows(scd2.as_of_join(*crowded, "k", "sold", how, period_days=days)) == expected
+
+
+def test_as_of_join_by_period_meets_few_versions(spark, crowded):
+    facts, versions = crowded
+    by_key = facts.join(versions, "k").count()
+    numbered, repeated = scd2._by_period(facts, versions, "sold", 30)
+    pairs = numbered.join(repeated, ["k", "__period"])
+    assert pairs.groupBy("id", "k", "sold").count().agg(F.max("count")).first()[0] <= 31
+    assert by_key > 1_400_000 and 20 * pairs.count() < by_key
+    # A key's rows: its versions and the periods between the first and the last fact.
+    assert numbered.count() == facts.count()
+    for k, n in repeated.groupBy("k").count().filter("k IS NOT NULL").collect():
+        assert n <= versions.filter(F.col("k") == k).count() + (1 + (22 + 35 + 3) * 366 // 30)
+
+
+def test_as_of_join_by_period_spreads_a_skewed_key(spark, crowded):
+    facts, versions = crowded
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = scd2.as_of_join(facts, versions, "k", "sold", period_days=30, skewed=True)
+        assert "__salt" in joined._jdf.queryExecution().toString()
+        found = rows(joined)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert found == rows(scd2.as_of_join(facts, versions, "k", "sold"))
+
+
+def test_as_of_join_by_period_of_empty_tables(spark, crowded):
+    facts, versions = crowded
+    assert scd2.as_of_join(facts.limit(0), versions, "k", "sold", period_days=7).collect() == []
+    found = scd2.as_of_join(facts, versions.limit(0), "k", "sold", period_days=7)
+    assert found.count() == facts.count() and found.filter("city IS NOT NULL").count() == 0
+
+
 def test_month_folders(spark, tmp_path):
     path = str(tmp_path / "by_month")
     df = source(spark, (1, "a", 1), (2, "b", 2))

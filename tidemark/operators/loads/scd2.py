@@ -228,7 +228,30 @@ def valid_on(versions: DataFrame, day: str) -> DataFrame:
     return versions.filter(_day(day).between(F.col("valid_from"), F.col("valid_to")))
 
 
-def as_of_join(facts: DataFrame, versions: DataFrame, key: str, day: str, how: str = "left") -> DataFrame:
-    """Facts with the attributes their key had on the fact's day."""
+def _by_period(facts: DataFrame, versions: DataFrame, day: str, days: int) -> tuple[DataFrame, DataFrame]:
+    """Facts with the period of their day, and versions once per period they reach into, between the facts' first and last day."""
+    def period(moment: Column) -> Column:
+        return F.floor(F.unix_date(moment) / F.lit(days))
+
+    on, begin, end = F.to_date(day), F.to_date("valid_from"), F.to_date("valid_to")
+    first, last = (F.lit(moment).cast("date") for moment in facts.agg(F.min(on), F.max(on)).first())
+    met = versions.filter((begin <= last) & (end >= first) & (begin <= end))
+    periods = F.sequence(period(F.greatest(begin, first)), period(F.least(end, last)))
+    return facts.withColumn("__period", period(on)), met.withColumn("__period", F.explode(periods))
+
+
+def as_of_join(facts: DataFrame, versions: DataFrame, key: str, day: str, how: str = "left", period_days: int | None = None,
+               skewed: bool = False) -> DataFrame:
+    """Facts with the attributes their key had on the fact's day.
+
+    By key alone a fact meets all versions of its key. With ``period_days`` it meets those that are valid in its own period of so
+    many days: at most ``period_days`` where each version begins on a day of its own, plus the one that was valid before. Facts are not
+    repeated; versions are, once per period, so a key has at most as many rows as versions and periods together, as long as its versions do
+    not overlap. The facts' first and last day bound the open versions; they are found by one pass over that column. The facts of a frequent
+    key are spread by its periods, and with ``skewed`` beyond that. NULL keys and days meet nothing either way.
+    """
     within = F.col(day).between(F.col("valid_from"), F.col("valid_to"))
-    return lookup_join(facts, versions, [key], how, residual=within)
+    if period_days is None:
+        return lookup_join(facts, versions, [key], how, residual=within, skewed=skewed)
+    numbered, repeated = _by_period(facts, versions, day, period_days)
+    return lookup_join(numbered, repeated, [key, "__period"], how, residual=within, skewed=skewed).drop("__period")

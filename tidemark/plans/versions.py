@@ -253,13 +253,26 @@ def scd2_valid_on(spark, folder):
     return plain(scd2.valid_on(history(spark, folder).select(*SHOWN), "1999-12-31"))
 
 
-@query("scd2_asof_join", f"""{VERSIONS}
+AS_OF_SQL = f"""{VERSIONS}
     SELECT o_orderkey AS order_id, o_custkey AS customer_id, segment, strftime(valid_from, '%Y-%m-%d') AS valid_from
-    FROM orders LEFT JOIN versions ON o_custkey = customer_id AND CAST(o_orderdate AS DATE) BETWEEN valid_from AND valid_to""")
-def scd2_asof_join(spark, folder):
+    FROM orders LEFT JOIN versions ON o_custkey = customer_id AND CAST(o_orderdate AS DATE) BETWEEN valid_from AND valid_to"""
+
+
+def orders_as_of(spark, folder, period_days=None):
     facts = star.table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias(KEY), F.to_date("o_orderdate").alias("sold_on")
     )
     versions = history(spark, folder).select(KEY, "segment", "valid_from", "valid_to")
-    joined = scd2.as_of_join(facts, versions, KEY, "sold_on")
+    joined = scd2.as_of_join(facts, versions, KEY, "sold_on", period_days=period_days)
     return plain(joined.select("order_id", KEY, "segment", "valid_from"))
+
+
+@query("scd2_asof_join", AS_OF_SQL)
+def scd2_asof_join(spark, folder):
+    return orders_as_of(spark, folder)
+
+
+@query("scd2_asof_periods", AS_OF_SQL)
+def scd2_asof_periods(spark, folder):
+    """The same, each order meeting only the versions of its own half-year."""
+    return orders_as_of(spark, folder, period_days=183)
