@@ -1,4 +1,7 @@
+import math
+import re
 import zlib
+from collections import Counter
 
 import cases
 import numpy as np
@@ -120,6 +123,58 @@ def test_quality_fit_moves_towards_the_labels():
     assert (weights == 0).mean() > 0.9
 
 
+def plain_ftrl(examples, epochs, alpha, beta, l1, l2):
+    """The published per-coordinate update, one number at a time."""
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= l1:
+            return 0.0
+        sign = 1.0 if z[i] > 0 else -1.0
+        return (sign * l1 - z[i]) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(epochs):
+        for x, label in examples:
+            w = {i: weight(i) for i in x}
+            p = 1.0 / (1.0 + math.exp(-sum(w[i] * value for i, value in x.items())))
+            for i, value in x.items():
+                g = (p - label) * value
+                sigma = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / alpha
+                z[i] = z.get(i, 0.0) + g - sigma * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    return {i: weight(i) for i in z}
+
+
+def plain_features(text):
+    """Buckets and values by the rules of the module's text, counted in a dictionary."""
+    words = re.findall(rb"[A-Za-z0-9_\x80-\xff]+|[^\sA-Za-z0-9_\x80-\xff]+", text)
+    if not words:
+        return {0: 1.0}
+    wrap, hashes = 1 << 64, [zlib.crc32(word.lower()) for word in words]
+    counts = Counter()
+    for h in hashes:
+        counts[3 + (h * 0x9E3779B97F4A7C15 % wrap >> 64 - quality.BITS)] += 1
+    for a, b in zip(hashes, hashes[1:], strict=False):
+        counts[3 + ((a * 0x9E3779B97F4A7C15 % wrap ^ b * 0xC2B2AE3D27D4EB4F % wrap) >> 64 - quality.BITS)] += 1
+    counts[1] = sum(len(word) > 1 and word == word.upper() != word.lower() for word in words)
+    counts[2] = sum(a == b for a, b in zip(hashes, hashes[1:], strict=False))
+    norm = math.sqrt(sum(math.log1p(c) ** 2 for c in counts.values()))
+    return {0: 1.0, **{i: math.log1p(c) / norm for i, c in counts.items()}}
+
+
+def test_quality_against_a_plain_fit(spark):
+    texts = [(text or "").encode() for text in cases.odd_texts(6)] + [b"LOUD LOUD words!! -- here", b"%%% $$$ %%% | |"]
+    labels = [len(text) % 2 for text in texts]
+    expected = plain_ftrl([(plain_features(t), y) for t, y in zip(texts, labels, strict=True)],
+                          quality.EPOCHS, quality.ALPHA, quality.BETA, quality.L1, quality.L2)
+    weights = quality.fit([(*quality.features(t), y) for t, y in zip(texts, labels, strict=True)])
+    assert {i: pytest.approx(w, abs=1e-9) for i, w in expected.items() if w} == dict(zip(np.flatnonzero(weights).tolist(), weights[weights != 0], strict=True))
+    rows = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts)], "doc_id int, text string")
+    for row in quality.score(rows, weights).collect():
+        margin = sum(expected.get(i, 0.0) * value for i, value in plain_features(texts[row.row.doc_id]).items())
+        assert row.score == pytest.approx(1.0 / (1.0 + math.exp(-margin)), abs=1e-9)
+
+
 def test_sample_has_one_row_per_id(spark):
     texts = [(i, f"t{i}") for i in range(50)] + [(3, f"other {i % 9}") for i in range(400)] + [(4, None)]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
