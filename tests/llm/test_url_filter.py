@@ -80,3 +80,13 @@ def test_a_bounded_sample_does_not_depend_on_row_order(spark, monkeypatch):
     rows = url_filter.labelled_table(spark).collect()
     ordered, turned = (spark.createDataFrame(part, "url string, label int").coalesce(1) for part in (rows, rows[::-1]))
     assert url_filter.train(ordered, epochs=2) == url_filter.train(turned.repartition(5), epochs=2)
+
+
+def test_kept_columns_with_names_of_the_result(spark):
+    urls = spark.createDataFrame([(1, "http://a.net/x", "h", "g", 3.5, "dot"), (2, None, None, None, None, None)],
+                                 "page_id int, url string, Host string, grams string, score double, `a.b` string")
+    weights = [0.0] * (url_filter.BUCKETS + 1)
+    found = url_filter.judge(urls, [("block", "net", "/")], weights, keep=["page_id", "Host", "grams", "score", "a.b"])
+    assert found.columns == ["page_id", "kept_Host", "kept_grams", "kept_score", "a.b", "host", "path", "rule", "verdict", "score"]
+    assert [tuple(r) for r in found.orderBy("page_id").collect()] == [
+        (1, "h", "g", 3.5, "dot", "a.net", "/x", "net/", "block", 0.5), (2, None, None, None, None, "", "", None, "block", 0.5)]

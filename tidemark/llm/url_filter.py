@@ -93,6 +93,10 @@ def features(urls: DataFrame) -> DataFrame:
     return urls.withColumn("grams", F.concat(_grams(F.col("host"), "host"), _grams(F.col("path"), "path")))
 
 
+# Columns that ``judge`` makes.
+OWN = ("host", "path", "grams", "rule", "verdict", "score")
+
+
 def _score(grams: Column, weights: Sequence[float]) -> Column:
     """The probability to be blocked. The last weight is the intercept."""
     table = F.from_json(F.lit(json.dumps(list(weights))), "array<double>")
@@ -133,11 +137,14 @@ def train(labelled: DataFrame, epochs: int = EPOCHS, l2: float = 1e-3) -> list[f
 def judge(urls: DataFrame, rules: Sequence[tuple[str, str, str]], weights: Sequence[float], url: str = "url", keep: Sequence[str] = ("page_id",)) -> DataFrame:
     """The ``keep`` columns, host, path, rule, verdict and score of each URL.
 
+    A kept column that bears the name of one made here (``OWN``) comes back as ``kept_`` and its name.
     ``rules`` are (verdict, host, path prefix). A rule fits its host and the hosts below it; of those that
     fit the longest decides. Rules become one expression each, so the list should stay in the hundreds.
     """
-    rows = urls.select(*keep, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
-    rows = features(rows)
+    kept = [F.col(f"`{name}`").alias(f"kept_{name}" if name.lower() in OWN else name) for name in keep]
+    address = F.col(f"`{url}`").cast("string")
+    rows = features(urls.select(*kept, host_of(address).alias("host"), path_of(address).alias("path")))
+    names = [f"`{name}`" for name in rows.columns[:len(keep)]]
     rule = verdict = None
     for action, host, prefix in sorted(rules, key=lambda r: (-len(r[1] + r[2]), r)):
         fits = ((F.col("host") == host) | F.col("host").endswith(f".{host}")) & F.col("path").startswith(prefix)
@@ -146,7 +153,7 @@ def judge(urls: DataFrame, rules: Sequence[tuple[str, str, str]], weights: Seque
     score = _score(F.col("grams"), weights)
     learned = F.when(F.col("score") >= 0.5, "block").otherwise("allow")
     return rows.withColumn("score", score).select(
-        *keep, "host", "path",
+        *names, "host", "path",
         (F.lit(None).cast("string") if rule is None else rule).alias("rule"),
         (learned if verdict is None else F.coalesce(verdict, learned)).alias("verdict"),
         "score",
